@@ -32,6 +32,21 @@ def hash_uniform_sql(key_sql: str, salt: str) -> str:
             f" / 4294967296.0)")
 
 
+def hash_uniforms(key, salt: str, n: int = 4) -> list[Column]:
+    """Up to four independent uniforms from one md5 digest (32-bit slices),
+    a quarter of the hashing cost of four ``hash_uniform`` calls."""
+    if not 1 <= n <= 4:
+        raise ValueError("one digest yields 1..4 uniforms")
+    digest = F.md5(F.concat(_col(key).cast("string"), F.lit(":" + salt)))
+    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") / F.lit(TWO_POW_32)
+            for i in range(n)]
+
+
+def hash_uniforms_sql(key_sql: str, salt: str, n: int = 4) -> list[str]:
+    d = f"md5(CAST({key_sql} AS VARCHAR) || ':{salt}')"
+    return [f"(('0x' || substr({d}, {1 + 8 * i}, 8))::BIGINT / 4294967296.0)" for i in range(n)]
+
+
 def clip(c, lo=None, hi=None) -> Column:
     """Null-preserving clip (``greatest``/``least`` would turn NULL into the
     bound)."""

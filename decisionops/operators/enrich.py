@@ -1,7 +1,9 @@
 """Stable hash enrichment for operational fields a table lacks.
 
-Each draw is ``hash_uniform(id, salt)``: a function of the row key only, so
-results do not depend on partitioning, task order or retries.
+Every draw is a uniform from ``hash_uniforms(id, salt)``: a function of the
+row key only, so results do not depend on partitioning, task order or
+retries (a lost executor recomputes the same values).  The helpers below
+turn a uniform column into the wanted distribution; each has a DuckDB twin.
 """
 
 from __future__ import annotations
@@ -9,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_uniform, hash_uniform_sql
-
 
 def cumulative(weights) -> list[float]:
     """Running sums, accumulated left to right in double precision."""
@@ -38,7 +38,7 @@ def weighted_choice_sql(u: str, choices, weights) -> str:
 
 
 def gamma2(u1: Column, u2: Column, scale: float) -> Column:
-    """Gamma(shape=2, scale) by the exact sum of two exponentials:
+    """Gamma(shape=2, scale) as the exact sum of two exponentials:
     ``-scale * ln((1-u1)(1-u2))``; ``1-u`` lies in (0, 1]."""
     return F.lit(-float(scale)) * F.log((F.lit(1.0) - u1) * (F.lit(1.0) - u2))
 
@@ -47,29 +47,20 @@ def gamma2_sql(u1: str, u2: str, scale: float) -> str:
     return f"({-float(scale)!r} * ln((1.0 - {u1}) * (1.0 - {u2})))"
 
 
-def day_offset(key, salt: str, days: int) -> Column:
-    return F.floor(hash_uniform(key, salt) * days).cast("int")
-
-
-def day_offset_sql(key: str, salt: str, days: int) -> str:
-    return f"CAST(floor({hash_uniform_sql(key, salt)} * {days}) AS INTEGER)"
+def int_between(u: Column, lo: int, hi_inclusive: int) -> Column:
+    return (F.lit(lo) + F.floor(u * (hi_inclusive - lo + 1))).cast("int")
 
 
-def int_between(key, salt: str, lo: int, hi_inclusive: int) -> Column:
-    return (F.lit(lo) + F.floor(hash_uniform(key, salt) * (hi_inclusive - lo + 1))).cast("int")
+def int_between_sql(u: str, lo: int, hi_inclusive: int) -> str:
+    return f"CAST({lo} + floor({u} * {hi_inclusive - lo + 1}) AS INTEGER)"
 
 
-def int_between_sql(key: str, salt: str, lo: int, hi_inclusive: int) -> str:
-    return f"CAST({lo} + floor({hash_uniform_sql(key, salt)} * {hi_inclusive - lo + 1}) AS INTEGER)"
-
-
-def pick(key, salt: str, names) -> Column:
-    """Uniform pick from a fixed list (1-based element_at)."""
-    idx = (F.floor(hash_uniform(key, salt) * len(names)) + 1).cast("int")
+def pick(u: Column, names) -> Column:
+    """Uniform pick from a fixed list (1-based ``element_at``)."""
+    idx = (F.floor(u * len(names)) + 1).cast("int")
     return F.element_at(F.array(*[F.lit(n) for n in names]), idx)
 
 
-def pick_sql(key: str, salt: str, names) -> str:
+def pick_sql(u: str, names) -> str:
     arr = "[" + ", ".join(f"'{n}'" for n in names) + "]"
-    return f"{arr}[CAST(floor({hash_uniform_sql(key, salt)} * {len(names)}) AS INTEGER) + 1]"
-
+    return f"{arr}[CAST(floor({u} * {len(names)}) AS INTEGER) + 1]"

@@ -25,11 +25,12 @@ def add_v1_features(df: DataFrame, fill_income_nulls: bool = True) -> DataFrame:
     total = (F.coalesce(a, F.lit(0.0)) + F.coalesce(c, F.lit(0.0))) if fill_income_nulls else (a + c)
     df = df.withColumn("total_income", total)
     t = F.col("total_income")
-    return (df
-            .withColumn("log_total_income", F.log(F.lit(1.0) + clip(t, 0.0)))
-            .withColumn("log_loan_amount", F.log(F.lit(1.0) + clip(loan, 0.0)))
-            .withColumn("loan_to_annual_income", loan * 1000.0 / F.nullif(t * 12.0, F.lit(0.0)))
-            .withColumn("monthly_principal_proxy", loan * 1000.0 / F.nullif(term, F.lit(0.0))))
+    return df.select(
+        "*",
+        F.log(F.lit(1.0) + clip(t, 0.0)).alias("log_total_income"),
+        F.log(F.lit(1.0) + clip(loan, 0.0)).alias("log_loan_amount"),
+        (loan * 1000.0 / F.nullif(t * 12.0, F.lit(0.0))).alias("loan_to_annual_income"),
+        (loan * 1000.0 / F.nullif(term, F.lit(0.0))).alias("monthly_principal_proxy"))
 
 
 def cibil_band(c: Column) -> Column:

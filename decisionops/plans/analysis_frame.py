@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import clip, clip_sql, hash_uniform as U, hash_uniform_sql as US, nan_to_null
+from ..functions.columns import clip, clip_sql, hash_uniforms, hash_uniforms_sql, nan_to_null
 from ..operators import enrich
 from ..operators.features import add_v1_features
 from ..operators.globalrank import quantiles_from_counts
@@ -45,6 +46,11 @@ REASONS = ["SLA breach", "Low decision confidence", "Document friction",
            "High value at stake", "Standard review"]
 
 
+# Per-row draws of the operational layer (two md5 digests, four each).
+OPS_DRAWS = (["u_day", "u_hour", "u_minute", "u_channel"],
+             ["u_doc_noise", "u_analyst", "u_queue1", "u_queue2"])
+
+
 @dataclass(frozen=True)
 class OpsParams:
     simulation_end: str = SIMULATION_END
@@ -96,29 +102,55 @@ def loan_stats(apps: DataFrame, col: str = "loan_amount") -> DataFrame:
     return one.select("loan_median", (lo * 1000.0).alias("_lo"), (hi * 1000.0).alias("_hi"))
 
 
+_FRAMES: dict = {}
+
+
 def analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsParams(),
-                   scorecard: Scorecard = DEFAULT_SCORECARD, apps: DataFrame | None = None) -> DataFrame:
+                   scorecard: Scorecard = DEFAULT_SCORECARD) -> DataFrame:
+    """The scored frame, built once per (session, source, parameters) and
+    persisted (memory, spilling to disk) so every report reuses it -- the
+    same build-once contract as an in-process cache, but distributed.  A lost
+    executor's blocks are recomputed from the (deterministic) lineage."""
+    key = (spark.sparkContext.applicationId, sf_dir, params, repr(scorecard))
+    df = _FRAMES.get(key)
+    if df is None:
+        df = build_analysis_frame(spark, sf_dir, params, scorecard).persist(StorageLevel.MEMORY_AND_DISK)
+        _FRAMES[key] = df
+    return df
+
+
+def release_frames() -> None:
+    for df in _FRAMES.values():
+        df.unpersist()
+    _FRAMES.clear()
+
+
+def build_analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsParams(),
+                         scorecard: Scorecard = DEFAULT_SCORECARD, apps: DataFrame | None = None) -> DataFrame:
     apps = apps if apps is not None else applications_v1(spark, sf_dir)
     k = F.col("application_id")
     df = add_v1_features(apps)
     df = df.withColumn("approval_probability", nan_to_null(probability(scorecard)))
     df = df.crossJoin(F.broadcast(loan_stats(apps)))
+    df = df.select("*", *[u.alias(n) for n, u in zip(OPS_DRAWS[0], hash_uniforms(k, "ops1"))],
+                   *[u.alias(n) for n, u in zip(OPS_DRAWS[1], hash_uniforms(k, "ops2"))])
+    U = F.col
     p = F.col("approval_probability")
     df = df.select(
         "*",
         (F.upper(F.trim(F.col("loan_status"))) == "Y").alias("historical_approved"),
         (p >= 0.5).alias("predicted_approved_50"),
         (F.coalesce(F.col("loan_amount"), F.col("loan_median")) * 1000.0).alias("loan_value"),
-        enrich.day_offset(k, "day", params.simulation_days).alias("day_offset"),
-        enrich.int_between(k, "hour", 8, 18).alias("hour_offset"),
-        enrich.int_between(k, "minute", 0, 59).alias("minute_offset"),
+        F.floor(U("u_day") * params.simulation_days).cast("int").alias("day_offset"),
+        enrich.int_between(U("u_hour"), 8, 18).alias("hour_offset"),
+        enrich.int_between(U("u_minute"), 0, 59).alias("minute_offset"),
         sum(F.col(c).isNull().cast("int") for c in V1_PREDICTORS).alias("missing_fields"),
         clip(F.lit(1.0) - F.abs(p - 0.5) / 0.5, 0.0, 1.0).alias("uncertainty"),
         route(p, params.approve, params.reject).alias("baseline_route"),
     )
     day = F.date_sub(F.lit(params.simulation_end).cast("date"), F.col("day_offset"))
     recent = F.col("day_offset") <= params.recent_days
-    u_ch = U(k, "channel")
+    u_ch = U("u_channel")
     channel = F.when(recent, enrich.weighted_choice(u_ch, CHANNELS, RECENT_CHANNEL_WEIGHTS)) \
                .otherwise(enrich.weighted_choice(u_ch, CHANNELS, OLDER_CHANNEL_WEIGHTS))
     df = df.select(
@@ -137,13 +169,13 @@ def analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsPara
     df = df.withColumn(
         "document_completeness",
         clip(F.lit(1.0) - F.col("missing_fields") * 0.13 - F.col("doc_penalty")
-             - U(k, "doc_noise") * 0.08, 0.55, 1.0))
+             - U("u_doc_noise") * 0.08, 0.55, 1.0))
     df = df.select(
         "*",
-        F.when(manual, enrich.pick(k, "analyst", ANALYST_NAMES)).otherwise(F.lit("Automation")).alias("analyst"),
+        F.when(manual, enrich.pick(U("u_analyst"), ANALYST_NAMES)).otherwise(F.lit("Automation")).alias("analyst"),
         clip(F.when(manual, F.lit(8.0) + F.lit(20.0) * u).otherwise(F.lit(0.45) + F.lit(0.8) * u)
              + F.col("delay_hours") + (F.lit(1.0) - F.col("document_completeness")) * 42.0
-             + enrich.gamma2(U(k, "queue1"), U(k, "queue2"), 2.0), 0.2, 96.0).alias("processing_hours"),
+             + enrich.gamma2(U("u_queue1"), U("u_queue2"), 2.0), 0.2, 96.0).alias("processing_hours"),
         F.when(manual, F.lit(24.0)).otherwise(F.lit(2.0)).alias("sla_hours"),
         clip(F.lit(DEFAULT_REVIEW_MINUTES) + u * 24.0 + F.col("missing_fields") * 7.0
              + F.col("review_addon_minutes"), 8.0, 75.0).alias("estimated_review_minutes"),
@@ -160,7 +192,8 @@ def analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsPara
     reason = (F.when(F.col("sla_breached"), REASONS[0]).when(u >= 0.75, REASONS[1])
                .when(F.col("document_completeness") < 0.82, REASONS[2])
                .when(F.col("exposure_norm") >= 0.8, REASONS[3]).otherwise(REASONS[4]))
-    return df.withColumn("priority_reason", reason).drop("_lo", "_hi", "loan_median")
+    return df.withColumn("priority_reason", reason).drop("_lo", "_hi", "loan_median", *OPS_DRAWS[0],
+                                                         *OPS_DRAWS[1])
 
 
 # ---------------------------------------------------------------- DuckDB text
@@ -170,10 +203,12 @@ def analysis_frame_sql(params: OpsParams = OpsParams(), scorecard: Scorecard = D
     k = "application_id"
     missing = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in V1_PREDICTORS)
     p = "approval_probability"
-    u_ch = US(k, "channel")
+    u_ch = "u_channel"
     ch_recent = enrich.weighted_choice_sql(u_ch, CHANNELS, RECENT_CHANNEL_WEIGHTS)
     ch_older = enrich.weighted_choice_sql(u_ch, CHANNELS, OLDER_CHANNEL_WEIGHTS)
     end = params.simulation_end
+    draws = ", ".join([f"{u} AS {n}" for n, u in zip(OPS_DRAWS[0], hash_uniforms_sql(k, "ops1"))]
+                      + [f"{u} AS {n}" for n, u in zip(OPS_DRAWS[1], hash_uniforms_sql(k, "ops2"))])
     return SQL_APPLICATIONS_V1 + f""",
 {channel_params_sql()},
 feat AS (
@@ -192,7 +227,7 @@ feat2 AS (
 med AS (SELECT median(loan_amount) AS loan_median FROM applications_v1),
 s1 AS (
   SELECT f.*, (CASE WHEN isnan({probability_sql(scorecard)}) THEN NULL ELSE {probability_sql(scorecard)} END) AS {p},
-         med.loan_median
+         med.loan_median, {draws}
   FROM feat2 f CROSS JOIN med
 ),
 s2 AS (
@@ -200,9 +235,9 @@ s2 AS (
     upper(trim(loan_status)) = 'Y' AS historical_approved,
     {p} >= 0.5 AS predicted_approved_50,
     coalesce(loan_amount, loan_median) * 1000.0 AS loan_value,
-    {enrich.day_offset_sql(k, 'day', params.simulation_days)} AS day_offset,
-    {enrich.int_between_sql(k, 'hour', 8, 18)} AS hour_offset,
-    {enrich.int_between_sql(k, 'minute', 0, 59)} AS minute_offset,
+    CAST(floor(u_day * {params.simulation_days}) AS INTEGER) AS day_offset,
+    {enrich.int_between_sql('u_hour', 8, 18)} AS hour_offset,
+    {enrich.int_between_sql('u_minute', 0, 59)} AS minute_offset,
     {missing} AS missing_fields,
     {clip_sql(f'(1.0 - abs({p} - 0.5) / 0.5)', 0.0, 1.0)} AS uncertainty,
     {route_sql(p, params.approve, params.reject)} AS baseline_route
@@ -220,17 +255,17 @@ s3 AS (
 ),
 s4 AS (
   SELECT s3.*, cp.doc_penalty, cp.delay_hours, cp.review_addon_minutes,
-    {clip_sql(f'(1.0 - s3.missing_fields * 0.13 - cp.doc_penalty - {US("s3." + k, "doc_noise")} * 0.08)', 0.55, 1.0)}
+    {clip_sql('(1.0 - s3.missing_fields * 0.13 - cp.doc_penalty - s3.u_doc_noise * 0.08)', 0.55, 1.0)}
       AS document_completeness
   FROM s3 LEFT JOIN channel_params cp ON s3.channel = cp.channel
 ),
 s5 AS (
   SELECT *,
-    CASE WHEN baseline_route = '{ROUTE_MANUAL}' THEN {enrich.pick_sql(k, 'analyst', ANALYST_NAMES)}
+    CASE WHEN baseline_route = '{ROUTE_MANUAL}' THEN {enrich.pick_sql('u_analyst', ANALYST_NAMES)}
          ELSE 'Automation' END AS analyst,
     {clip_sql(f"((CASE WHEN baseline_route = '{ROUTE_MANUAL}' THEN 8.0 + 20.0 * uncertainty ELSE 0.45 + 0.8 * uncertainty END)"
               f" + delay_hours + (1.0 - document_completeness) * 42.0 + "
-              f"{enrich.gamma2_sql(US(k, 'queue1'), US(k, 'queue2'), 2.0)})", 0.2, 96.0)} AS processing_hours,
+              f"{enrich.gamma2_sql('u_queue1', 'u_queue2', 2.0)})", 0.2, 96.0)} AS processing_hours,
     CASE WHEN baseline_route = '{ROUTE_MANUAL}' THEN 24.0 ELSE 2.0 END::DOUBLE AS sla_hours,
     {clip_sql(f'({DEFAULT_REVIEW_MINUTES!r} + uncertainty * 24.0 + missing_fields * 7.0 + review_addon_minutes)', 8.0, 75.0)}
       AS estimated_review_minutes
@@ -251,7 +286,7 @@ s8 AS (
   FROM s7
 ),
 analysis AS (
-  SELECT * EXCLUDE (loan_median),
+  SELECT * EXCLUDE (loan_median, {", ".join(OPS_DRAWS[0] + OPS_DRAWS[1])}),
     CASE WHEN sla_breached THEN '{REASONS[0]}' WHEN uncertainty >= 0.75 THEN '{REASONS[1]}'
          WHEN document_completeness < 0.82 THEN '{REASONS[2]}'
          WHEN exposure_norm >= 0.8 THEN '{REASONS[3]}' ELSE '{REASONS[4]}' END AS priority_reason

@@ -23,8 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_uniform as U
-from ..functions.columns import hash_uniform_sql as US
+from ..functions.columns import hash_uniforms, hash_uniforms_sql
 from ..sources.tables import read_table
 
 # Fixed values of the fixture mapping (ours, documented in FIXTURES.md).
@@ -65,7 +64,9 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = (read_table(spark, sf_dir, "lineitem")
           .groupBy("l_orderkey")
           .agg(F.count(F.lit(1)).alias("n_lines"),
-               F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("disc_value"),
+               # whole units per line: an exact, order-independent sum
+               F.sum(F.floor(F.col("l_extendedprice") * F.col("l_discount"))).cast("double")
+               .alias("disc_value"),
                F.count_if(F.col("l_returnflag") == "R").alias("n_returned")))
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
@@ -73,39 +74,55 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
     region = F.broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    return (orders
-            .join(li, orders.o_orderkey == li.l_orderkey, "left")
-            .join(cust, orders.o_custkey == cust.c_custkey, "left")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left"))
+    joined = (orders
+              .join(li, orders.o_orderkey == li.l_orderkey, "left")
+              .join(cust, orders.o_custkey == cust.c_custkey, "left")
+              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+              .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left"))
+    o, c = F.col("o_orderkey"), F.col("c_custkey")
+    draws = [u.alias(n) for n, u in zip(_DRAWS["o1"], hash_uniforms(o, "app1"))]
+    draws += [u.alias(n) for n, u in zip(_DRAWS["o2"], hash_uniforms(o, "app2", 3))]
+    draws += [u.alias(n) for n, u in zip(_DRAWS["c1"], hash_uniforms(c, "cust1"))]
+    draws += [u.alias(n) for n, u in zip(_DRAWS["c2"], hash_uniforms(c, "cust2", 3))]
+    return joined.select("*", *draws)
+
+
+# Per-row draws for fields the source lacks: one md5 digest gives four.
+_DRAWS = {
+    "o1": ["u_credit", "u_label", "u_self", "u_loan"],
+    "o2": ["u_term", "u_self2", "u_status"],
+    "c1": ["u_gender", "u_married", "u_dependents", "u_cibil"],
+    "c2": ["u_dependents2", "u_commercial", "u_bank"],
+}
 
 
 def applications_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = order_base(spark, sf_dir)
-    o, c = F.col("o_orderkey"), F.col("c_custkey")
+    o = F.col("o_orderkey")
+    U = F.col
     area = F.lit(None).cast("string")
     for reg, val in AREA_BY_REGION.items():
         area = F.when(F.col("r_name") == reg, F.lit(val)).otherwise(area)
-    credit = (F.when(F.col("n_lines").isNull() | (U(o, "credit") < 0.08), F.lit(None).cast("double"))
+    credit = (F.when(F.col("n_lines").isNull() | (U("u_credit") < 0.08), F.lit(None).cast("double"))
               .when(F.col("n_returned") * 3 <= F.col("n_lines"), F.lit(1.0))
               .otherwise(F.lit(0.0)))
-    ul = U(o, "label")
+    ul = U("u_label")
     out = b.select(
         o.alias("application_id"),
-        F.when(U(c, "gender") < 0.18, "Female").when(U(c, "gender") < 0.98, "Male").alias("gender"),
-        F.when(U(c, "married") < 0.35, "No").when(U(c, "married") < 0.995, "Yes").alias("married"),
-        F.when(U(c, "dependents") < 0.57, "0").when(U(c, "dependents") < 0.74, "1")
-         .when(U(c, "dependents") < 0.90, "2").when(U(c, "dependents") < 0.975, "3+")
+        F.when(U("u_gender") < 0.18, "Female").when(U("u_gender") < 0.98, "Male").alias("gender"),
+        F.when(U("u_married") < 0.35, "No").when(U("u_married") < 0.995, "Yes").alias("married"),
+        F.when(U("u_dependents") < 0.57, "0").when(U("u_dependents") < 0.74, "1")
+         .when(U("u_dependents") < 0.90, "2").when(U("u_dependents") < 0.975, "3+")
          .alias("dependents"),
         F.when(F.col("c_mktsegment").isin(*GRADUATE_SEGMENTS), "Graduate")
          .otherwise("Not Graduate").alias("education"),
-        F.when(U(o, "self") < 0.05, F.lit(None).cast("string"))
+        F.when(U("u_self") < 0.05, F.lit(None).cast("string"))
          .when(F.col("o_orderpriority") == "1-URGENT", "Yes").otherwise("No").alias("self_employed"),
         F.col("c_acctbal").alias("applicant_income"),
-        F.round(F.col("disc_value"), 2).alias("coapplicant_income"),
-        F.when(U(o, "loan") < 0.035, F.lit(None).cast("double"))
-         .otherwise(F.round(F.col("o_totalprice") / 1000.0, 3)).alias("loan_amount"),
-        F.when(U(o, "term") < 0.02, F.lit(None).cast("double"))
+        F.col("disc_value").alias("coapplicant_income"),
+        F.when(U("u_loan") < 0.035, F.lit(None).cast("double"))
+         .otherwise(F.col("o_totalprice") / 1000.0).alias("loan_amount"),
+        F.when(U("u_term") < 0.02, F.lit(None).cast("double"))
          .otherwise((F.col("n_lines") * 60).cast("double")).alias("loan_amount_term"),
         credit.alias("credit_history"),
         area.alias("property_area"),
@@ -119,27 +136,28 @@ def applications_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def applications_v2_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The v2 layout as it arrives: blank-prefixed names and values."""
     b = order_base(spark, sf_dir)
-    o, c = F.col("o_orderkey"), F.col("c_custkey")
-    cibil = (F.lit(300) + F.floor(U(c, "cibil") * 13) * 50).cast("int")
-    ul = U(o, "status")
+    o = F.col("o_orderkey")
+    U = F.col
+    cibil = (F.lit(300) + F.floor(U("u_cibil") * 13) * 50).cast("int")
+    ul = U("u_status")
     status = (F.when(ul < 0.002, F.lit(" Pending"))
               .when(cibil >= 550, F.when(ul < 0.9, " Approved").otherwise(" Rejected"))
               .otherwise(F.when(ul < 0.1, " Approved").otherwise(" Rejected")))
     return b.select(
         o.alias("loan_id"),
-        F.floor(U(c, "dependents2") * 6).cast("int").alias(" no_of_dependents"),
+        F.floor(U("u_dependents2") * 6).cast("int").alias(" no_of_dependents"),
         F.when(F.col("c_mktsegment").isin(*GRADUATE_SEGMENTS), " Graduate")
          .otherwise(" Not Graduate").alias(" education"),
-        F.when(U(o, "self2") < 0.3, " Yes").otherwise(" No").alias(" self_employed"),
+        F.when(U("u_self2") < 0.3, " Yes").otherwise(" No").alias(" self_employed"),
         ((F.floor(F.col("c_acctbal") / 1000.0) + 2) * 1000000.0).alias(" income_annum"),
         ((F.floor(F.col("o_totalprice") / 100000.0) + 1) * 1000000.0).alias(" loan_amount"),
         F.when(F.col("n_lines") > 4, F.lit(20)).otherwise(F.col("n_lines") * 5).cast("int")
          .alias(" loan_term"),
         cibil.alias(" cibil_score"),
         (F.floor(F.col("c_acctbal") / 2000.0) * 1000000.0).alias(" residential_assets_value"),
-        (F.floor(U(c, "commercial") * 4) * 1000000.0).alias(" commercial_assets_value"),
+        (F.floor(U("u_commercial") * 4) * 1000000.0).alias(" commercial_assets_value"),
         (F.floor(F.col("c_acctbal") / 2500.0) * 2000000.0 + 1000000.0).alias(" luxury_assets_value"),
-        (F.floor(U(c, "bank") * 5) * 1000000.0).alias(" bank_asset_value"),
+        (F.floor(U("u_bank") * 5) * 1000000.0).alias(" bank_asset_value"),
         status.alias(" loan_status"),
     )
 
@@ -153,7 +171,7 @@ order_base AS (
          c.c_custkey, c.c_nationkey, c.c_acctbal, c.c_mktsegment, r.r_name
   FROM orders o
   LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines,
-                    sum(l_extendedprice * l_discount) AS disc_value,
+                    CAST(sum(floor(l_extendedprice * l_discount)) AS DOUBLE) AS disc_value,
                     count_if(l_returnflag = 'R') AS n_returned
              FROM lineitem GROUP BY l_orderkey) li ON o.o_orderkey = li.l_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -162,9 +180,25 @@ order_base AS (
 )"""
 
 
+def _sql_draws() -> str:
+    out = []
+    for grp, key, salt in (("o1", "o_orderkey", "app1"), ("o2", "o_orderkey", "app2"),
+                           ("c1", "c_custkey", "cust1"), ("c2", "c_custkey", "cust2")):
+        names = _DRAWS[grp]
+        out += [f"{u} AS {n}" for n, u in zip(names, hash_uniforms_sql(key, salt, len(names)))]
+    return ",\n    ".join(out)
+
+
+SQL_ORDER_BASE = SQL_ORDER_BASE.replace("order_base AS (", "order_base0 AS (") + f""",
+order_base AS (
+  SELECT *,
+    {_sql_draws()}
+  FROM order_base0
+)"""
+
+
 def _sql_v1() -> str:
-    uo = lambda s: US("o_orderkey", s)
-    uc = lambda s: US("c_custkey", s)
+    uo = uc = lambda s: "u_" + s
     segs = ", ".join(f"'{s}'" for s in GRADUATE_SEGMENTS)
     area = "CASE " + " ".join(f"WHEN r_name = '{k}' THEN '{v}'" for k, v in AREA_BY_REGION.items()) + " END"
     credit = (f"CASE WHEN n_lines IS NULL OR {uo('credit')} < 0.08 THEN CAST(NULL AS DOUBLE) "
@@ -182,8 +216,8 @@ applications_v1 AS (
     CASE WHEN c_mktsegment IN ({segs}) THEN 'Graduate' ELSE 'Not Graduate' END AS education,
     CASE WHEN {uo('self')} < 0.05 THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 'Yes' ELSE 'No' END AS self_employed,
     c_acctbal AS applicant_income,
-    round(disc_value, 2) AS coapplicant_income,
-    CASE WHEN {uo('loan')} < 0.035 THEN CAST(NULL AS DOUBLE) ELSE round(o_totalprice / 1000.0, 3) END AS loan_amount,
+    disc_value AS coapplicant_income,
+    CASE WHEN {uo('loan')} < 0.035 THEN CAST(NULL AS DOUBLE) ELSE o_totalprice / 1000.0 END AS loan_amount,
     CASE WHEN {uo('term')} < 0.02 THEN CAST(NULL AS DOUBLE) ELSE CAST(n_lines * 60 AS DOUBLE) END AS loan_amount_term,
     credit_history_ AS credit_history,
     {area} AS property_area,
@@ -195,8 +229,7 @@ applications_v1 AS (
 
 
 def _sql_v2() -> str:
-    uo = lambda s: US("o_orderkey", s)
-    uc = lambda s: US("c_custkey", s)
+    uo = uc = lambda s: "u_" + s
     segs = ", ".join(f"'{s}'" for s in GRADUATE_SEGMENTS)
     return f"""
 app_v2_pre AS (

@@ -9,14 +9,16 @@ from ..operators import policy as pol
 from .analysis_frame import ROUTE_MANUAL, analysis_frame, analysis_frame_sql, route, route_sql
 
 # Scenarios compared side by side (name, approve, reject,
-# analysts, productive hours, volume multiplier).
+# analysts, productive hours, volume multiplier).  Whole-number volume
+# multipliers keep money totals off half-cent ties, so the rounded values
+# do not depend on summation order.
 SCENARIOS = [
     ("Baseline", 0.75, 0.25, 1, 6.0, 1.0),
-    ("Current", 0.80, 0.20, 2, 6.5, 1.5),
+    ("Current", 0.80, 0.20, 2, 6.5, 2.0),
     ("Conservative", 0.90, 0.10, 3, 7.0, 1.0),
     ("Aggressive", 0.60, 0.40, 1, 6.0, 2.0),
 ]
-OPTIMISED_STAFFING = (2, 6.5, 1.5)       # staffing the optimised policy is searched with
+OPTIMISED_STAFFING = (2, 6.5, 2.0)       # staffing the optimised policy is searched with
 STRESS_MULTIPLIERS = [0.75, 1.0, 1.5, 2.0]
 INFEASIBLE_GUARDRAIL = 0.999
 
