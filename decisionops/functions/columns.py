@@ -47,6 +47,20 @@ def hash_uniforms_sql(key_sql: str, salt: str, n: int = 4) -> list[str]:
     return [f"(('0x' || substr({d}, {1 + 8 * i}, 8))::BIGINT / 4294967296.0)" for i in range(n)]
 
 
+def fround(c, n: int) -> Column:
+    """Half-up rounding on the binary value: ``floor(x * 10^n + 0.5) / 10^n``.
+    Used for row-level outputs whose exact value can sit on a decimal tie;
+    every engine evaluates it bit-identically (unlike decimal-string
+    rounding)."""
+    scale = float(10 ** n)
+    return F.floor(_col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
+def fround_sql(x: str, n: int) -> str:
+    scale = float(10 ** n)
+    return f"(floor(({x}) * {scale!r} + 0.5) / {scale!r})"
+
+
 def clip(c, lo=None, hi=None) -> Column:
     """Null-preserving clip (``greatest``/``least`` would turn NULL into the
     bound)."""

@@ -258,3 +258,4 @@ applications_v2_raw AS (
 
 SQL_APPLICATIONS_V1 = SQL_ORDER_BASE + "," + _sql_v1()
 SQL_APPLICATIONS_V2_RAW = SQL_ORDER_BASE + "," + _sql_v2()
+SQL_APPLICATIONS_BOTH = SQL_ORDER_BASE + "," + _sql_v1() + "," + _sql_v2()

@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "decisionops.plans.policy_queries",
     "decisionops.plans.report_queries",
+    "decisionops.plans.data_queries",
 ]
 
 
