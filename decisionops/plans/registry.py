@@ -8,6 +8,7 @@ _MODULES = [
     "decisionops.plans.policy_queries",
     "decisionops.plans.report_queries",
     "decisionops.plans.data_queries",
+    "decisionops.plans.model_queries",
 ]
 
 
