@@ -9,6 +9,7 @@ _MODULES = [
     "decisionops.plans.report_queries",
     "decisionops.plans.data_queries",
     "decisionops.plans.model_queries",
+    "decisionops.plans.scorecard_queries",
 ]
 
 
