@@ -378,3 +378,79 @@ QUERIES = {
     "champion": (champion, sql_champion),
     "blend_search": (blend_search, sql_blend_search),
 }
+
+
+# ------------------------------------------------------------ permutation
+
+PERMUTATION_REPEATS = 3
+
+
+def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop in holdout accuracy when one raw predictor is permuted, mean and
+    population std over repeats.  Permutation (feature f, repeat r): the
+    row at position i in id order receives f from the row at position i in
+    md5(id:f:r) order.  Both orders are distributed ranks; every (f, r) is
+    one stratum of a long table, scored by one projection."""
+    from ..operators.globalrank import running_before, value_counts
+    sc = DEFAULT_SCORECARD
+    b = applications_v1(spark, sf_dir).withColumn("y", (F.trim(F.col("loan_status")) == "Y").cast("int"))
+    s = sp.stratified_split(b.select("application_id", "y"), "application_id", "y", TEST_SIZE, SPLIT_SEED)
+    t = b.join(s.where(F.col("split") == "test").select("application_id"), "application_id")
+    ids = running_before(value_counts(t, "application_id"), "application_id", ["_cnt"])
+    t = t.join(ids.select("application_id", F.col("_cnt_before").alias("pos")), "application_id")
+    combos = spark.createDataFrame([(f, r) for f in V1_PREDICTORS for r in range(PERMUTATION_REPEATS)],
+                                   "feature string, repeat int")
+    x = t.crossJoin(F.broadcast(combos)).withColumn(
+        "stratum", F.concat_ws(":", "feature", F.col("repeat").cast("string")))
+    x = x.withColumn("pkey", F.concat_ws(":", F.col("application_id").cast("string"), "feature",
+                                         F.col("repeat").cast("string")))
+    ranked = sp.stratified_rank(x.withColumn("_id", F.col("pkey")), "_id", "stratum", "perm")
+    donors = ranked.select("feature", "repeat", F.col("_rank").alias("pos"),
+                           F.struct(*V1_PREDICTORS).alias("d"))
+    rec = x.join(donors, ["feature", "repeat", "pos"])
+    cols = [F.when(F.col("feature") == g, F.col(f"d.{g}")).otherwise(F.col(g)).alias(g) for g in V1_PREDICTORS]
+    v = add_v1_features(rec.select("feature", "repeat", "y", *cols))
+    acc = v.groupBy("feature", "repeat").agg(
+        F.avg(((probability(sc) >= 0.5).cast("int") == F.col("y")).cast("double")).alias("acc"))
+    base = add_v1_features(t).agg(
+        F.avg(((probability(sc) >= 0.5).cast("int") == F.col("y")).cast("double")).alias("base_acc"))
+    d = acc.crossJoin(F.broadcast(base)).withColumn("drop", F.col("base_acc") - F.col("acc"))
+    return (d.groupBy("feature").agg(F.round(F.avg("drop"), 6).alias("importance_mean"),
+                                     F.round(F.stddev_pop("drop"), 6).alias("importance_std"))
+            .orderBy(F.col("importance_mean").desc(), "feature"))
+
+
+def sql_permutation_importance() -> str:
+    sc = DEFAULT_SCORECARD
+    combos = ", ".join(f"('{f}', {r})" for f in V1_PREDICTORS for r in range(PERMUTATION_REPEATS))
+    dcols = ", ".join(f"{g} AS d_{g}" for g in V1_PREDICTORS)
+    rcols = ", ".join(f"CASE WHEN x.feature = '{g}' THEN d.d_{g} ELSE x.{g} END AS {g}" for g in V1_PREDICTORS)
+    pkey = ("('0x' || substr(md5(CAST(CAST(application_id AS VARCHAR) || ':' || feature || ':' || "
+            "CAST(repeat AS VARCHAR) AS VARCHAR) || ':perm'), 1, 15))::BIGINT")
+    pid = "CAST(application_id AS VARCHAR) || ':' || feature || ':' || CAST(repeat AS VARCHAR)"
+    return "WITH " + SQL_APPLICATIONS_V1 + f""",
+lab AS (SELECT *, CAST(trim(loan_status) = 'Y' AS INTEGER) AS y FROM applications_v1),
+rk AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sp.order_key_sql('application_id', SPLIT_SEED)},
+                 application_id) - 1 AS rn, count(*) OVER (PARTITION BY y) AS n FROM lab),
+t AS (SELECT * EXCLUDE (rn, n), row_number() OVER (ORDER BY application_id) - 1 AS pos
+      FROM rk WHERE rn < floor(n * {TEST_SIZE} + 0.5)),
+combos AS (SELECT * FROM (VALUES {combos}) AS c(feature, repeat)),
+x AS (SELECT t.*, c.feature, c.repeat FROM t CROSS JOIN combos c),
+d AS (SELECT feature, repeat, row_number() OVER (PARTITION BY feature, repeat ORDER BY {pkey}, {pid}) - 1 AS pos,
+             {dcols} FROM x),
+rec AS (SELECT x.feature, x.repeat, x.y, {rcols} FROM x JOIN d USING (feature, repeat, pos)),
+rf1 AS (SELECT *, coalesce(applicant_income, 0.0) + coalesce(coapplicant_income, 0.0) AS total_income FROM rec),
+rf AS (SELECT *, ln(1.0 + {clip_sql('total_income', 0.0)}) AS log_total_income,
+              ln(1.0 + {clip_sql('loan_amount', 0.0)}) AS log_loan_amount FROM rf1),
+acc AS (SELECT feature, repeat, avg(CASE WHEN CAST({probability_sql(sc)} >= 0.5 AS INTEGER) = y THEN 1.0 ELSE 0.0 END)
+               AS acc FROM rf GROUP BY 1, 2),
+tf1 AS (SELECT *, coalesce(applicant_income, 0.0) + coalesce(coapplicant_income, 0.0) AS total_income FROM t),
+tf AS (SELECT *, ln(1.0 + {clip_sql('total_income', 0.0)}) AS log_total_income,
+              ln(1.0 + {clip_sql('loan_amount', 0.0)}) AS log_loan_amount FROM tf1),
+base AS (SELECT avg(CASE WHEN CAST({probability_sql(sc)} >= 0.5 AS INTEGER) = y THEN 1.0 ELSE 0.0 END) AS base_acc
+         FROM tf)
+SELECT feature, round(avg(base_acc - acc), 6) AS importance_mean, round(stddev_pop(base_acc - acc), 6) AS importance_std
+FROM acc CROSS JOIN base GROUP BY feature"""
+
+
+QUERIES["permutation_importance"] = (permutation_importance, sql_permutation_importance)
