@@ -118,6 +118,18 @@ def feature_baselines(df: DataFrame, categorical, numeric) -> DataFrame:
     """Mode of each categorical (ties -> smallest value, none -> 'Unknown')
     and exact median of each numeric (none -> 0), as (feature, kind,
     category, number).  Long-form grouped aggregates."""
+    spark = df.sparkSession
+    parts = []
+    if categorical:
+        parts.append(_modes(df, categorical))
+    if numeric:
+        parts.append(_medians(df, numeric))
+    if not parts:
+        raise ValueError("no columns")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _modes(df: DataFrame, categorical) -> DataFrame:
     spark = df.sparkSession
     cat = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v"))
                                         for c in categorical])).alias("p")).select("p.*")
@@ -127,6 +139,11 @@ def feature_baselines(df: DataFrame, categorical, numeric) -> DataFrame:
     modes = names.join(modes, "feature", "left").select(
         "feature", F.lit("categorical").alias("kind"), F.coalesce("category", F.lit("Unknown")).alias("category"),
         F.lit(None).cast("double").alias("number"))
+    return modes
+
+
+def _medians(df: DataFrame, numeric) -> DataFrame:
+    spark = df.sparkSession
     num = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
                                         for c in numeric])).alias("p")).select("p.*")
     med = exact_quantiles(num, "v", [0.5], ["feature"]).select("feature", F.col("value").alias("number"))
@@ -134,7 +151,7 @@ def feature_baselines(df: DataFrame, categorical, numeric) -> DataFrame:
     meds = nnames.join(med, "feature", "left").select(
         "feature", F.lit("numeric").alias("kind"), F.lit(None).cast("string").alias("category"),
         F.coalesce("number", F.lit(0.0)).alias("number"))
-    return modes.unionByName(meds)
+    return meds
 
 
 def mean_std_over_folds(fold_metrics: DataFrame, group_cols, metrics) -> DataFrame:

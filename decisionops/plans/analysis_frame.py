@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..functions.columns import clip, clip_sql, hash_uniforms, hash_uniforms_sql, nan_to_null
 from ..operators import enrich
 from ..operators.features import add_v1_features
@@ -108,20 +109,19 @@ _FRAMES: dict = {}
 def analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsParams(),
                    scorecard: Scorecard = DEFAULT_SCORECARD) -> DataFrame:
     """The scored frame, built once per (session, source, parameters) and
-    persisted (memory, spilling to disk) so every report reuses it -- the
-    same build-once contract as an in-process cache, but distributed.  A lost
-    executor's blocks are recomputed from the (deterministic) lineage."""
+    checkpointed to the shared folder so every report reuses it -- the same
+    build-once contract as an in-process cache, but distributed and durable:
+    a lost executor does not force a recompute, and report plans start from
+    a small leaf instead of the whole derivation."""
     key = (spark.sparkContext.applicationId, sf_dir, params, repr(scorecard))
     df = _FRAMES.get(key)
     if df is None:
-        df = build_analysis_frame(spark, sf_dir, params, scorecard).persist(StorageLevel.MEMORY_AND_DISK)
+        df = materialize(build_analysis_frame(spark, sf_dir, params, scorecard), "analysis_frame", key)
         _FRAMES[key] = df
     return df
 
 
 def release_frames() -> None:
-    for df in _FRAMES.values():
-        df.unpersist()
     _FRAMES.clear()
 
 

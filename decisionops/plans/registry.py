@@ -10,6 +10,7 @@ _MODULES = [
     "decisionops.plans.data_queries",
     "decisionops.plans.model_queries",
     "decisionops.plans.scorecard_queries",
+    "decisionops.plans.ml_queries",
 ]
 
 

@@ -24,10 +24,13 @@ BASE_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "decisionops") -> SparkSession:
+              app_name: str = "decisionops", driver_memory: str | None = "8g") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        # only effective when this call starts the JVM (local runs, tests)
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -55,3 +58,25 @@ def shared_table_path(spark: SparkSession, name: str) -> str:
     """A location for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+_MATERIALIZED: dict = {}
+
+
+def materialize(df, name: str, key=()):
+    """Cut the lineage of a derived table that many plans reuse: a reliable
+    ``checkpoint()`` into the shared checkpoint folder, once per session and
+    key.  Later plans start from the written data (small logical plan, no
+    recomputation after an executor loss).  Never ``localCheckpoint``."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    k = (spark.sparkContext.applicationId, name, key)
+    out = _MATERIALIZED.get(k)
+    if out is None:
+        out = df.checkpoint(eager=True)
+        _MATERIALIZED[k] = out
+    return out
+
+
+def forget_materialized() -> None:
+    _MATERIALIZED.clear()
