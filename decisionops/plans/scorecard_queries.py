@@ -88,11 +88,13 @@ def _baseline_row(spark, sf_dir) -> DataFrame:
 
 def local_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each raw predictor replaced by its baseline (mode / median), the row
-    re-scored; top-6 |delta| per row.  All variants are one exploded
-    long table scored by one projection."""
+    re-scored; top-6 |delta| per row.  Row-local: the ten variant scores are
+    columns of one projection, sorted inside an array and sliced -- no
+    explode before the ranking and no shuffle by id."""
     sc = DEFAULT_SCORECARD
-    base = _base(spark, sf_dir).withColumn("p", probability(sc))
-    x = base.crossJoin(F.broadcast(_baseline_row(spark, sf_dir)))
+    apps = applications_v1(spark, sf_dir)
+    x = add_v1_features(apps).withColumn("p", probability(sc))
+    x = x.crossJoin(F.broadcast(_baseline_row(spark, sf_dir)))
 
     def val(g, f):
         if g != f:
@@ -100,16 +102,42 @@ def local_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
         b = F.col(f"b_{g}")
         return b.cast("double") if g == "credit_history" else b
 
-    variants = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), *[val(g, f).alias(g) for g in V1_PREDICTORS])
-                                   for f in V1_PREDICTORS]))
-    v = x.select("application_id", "p", variants.alias("v")).select("application_id", "p", "v.*")
-    v = add_v1_features(v).withColumn("delta", F.col("p") - probability(sc))
-    # exact ties (two swaps moving the logit by the same amount) are ordered
-    # by feature name: rank on |delta| rounded to 9 places
-    w = Window.partitionBy("application_id").orderBy(F.abs(fround("delta", 9)).desc(), F.col("feature"))
-    return (v.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_FACTORS)
-             .select("application_id", F.col("rank").cast("long"), "feature",
-                     F.round("delta", 6).alias("delta")))
+    def variant_p(f):
+        a, c = val("applicant_income", f), val("coapplicant_income", f)
+        loan = val("loan_amount", f)
+        total = F.coalesce(a, F.lit(0.0)) + F.coalesce(c, F.lit(0.0))
+        cols = {g: val(g, f) for g in V1_PREDICTORS}
+        cols["log_total_income"] = F.log(F.lit(1.0) + F.when(total < 0, F.lit(0.0)).otherwise(total))
+        cols["log_loan_amount"] = F.log(F.lit(1.0) + F.when(loan < 0, F.lit(0.0)).otherwise(loan))
+        return _probability_of(sc, cols)
+
+    items = [F.struct(F.abs(fround(F.col("p") - variant_p(f), 9)).alias("mag"), F.lit(f).alias("feature"),
+                      (F.col("p") - variant_p(f)).alias("delta")) for f in V1_PREDICTORS]
+    srt = F.array_sort(F.array(*items), lambda a, b: F.when(a.mag > b.mag, -1).when(a.mag < b.mag, 1)
+                       .when(a.feature < b.feature, -1).when(a.feature > b.feature, 1).otherwise(0))
+    top = F.slice(srt, 1, TOP_FACTORS)
+    return (x.select("application_id", F.posexplode(top).alias("pos", "v"))
+             .select("application_id", (F.col("pos") + 1).cast("long").alias("rank"),
+                     F.col("v.feature").alias("feature"), F.round("v.delta", 6).alias("delta")))
+
+
+def _probability_of(sc: Scorecard, cols: dict):
+    """The scorecard probability over given column expressions."""
+    z = F.lit(float(sc.intercept))
+    for f in sc.features:
+        c = cols[f]
+        if f in sc.categorical:
+            levels = sc.categorical[f]
+            lv = c.cast("int").cast("string") if f == "credit_history" else c
+            e = F.when(lv.isNull(), F.lit(float(levels.get(None, 0.0))))
+            for lvl, coef in levels.items():
+                if lvl is not None:
+                    e = e.when(lv == lvl, F.lit(float(coef)))
+            z = z + e.otherwise(F.lit(0.0))
+        else:
+            slope, centre = sc.numeric[f]
+            z = z + F.coalesce(F.lit(float(slope)) * (c - F.lit(float(centre))), F.lit(0.0))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
 def _encoded_long(spark, sf_dir) -> DataFrame:
