@@ -11,6 +11,7 @@ _MODULES = [
     "decisionops.plans.model_queries",
     "decisionops.plans.scorecard_queries",
     "decisionops.plans.ml_queries",
+    "decisionops.plans.stream_queries",
 ]
 
 

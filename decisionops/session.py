@@ -61,6 +61,7 @@ def shared_table_path(spark: SparkSession, name: str) -> str:
 
 
 _MATERIALIZED: dict = {}
+_PATHS: dict = {}
 
 
 def materialize(df, name: str, key=()):
@@ -78,8 +79,13 @@ def materialize(df, name: str, key=()):
         df.write.mode("overwrite").parquet(path)
         out = spark.read.parquet(path)
         _MATERIALIZED[k] = out
+        _PATHS[k] = path
     return out
 
 
+def materialized_path(spark, name: str, key=()):
+    return _PATHS.get((spark.sparkContext.applicationId, name, key))
+
+
 def forget_materialized() -> None:
     _MATERIALIZED.clear()
