@@ -111,8 +111,10 @@ def local_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
         cols["log_loan_amount"] = F.log(F.lit(1.0) + F.when(loan < 0, F.lit(0.0)).otherwise(loan))
         return _probability_of(sc, cols)
 
-    items = [F.struct(F.abs(fround(F.col("p") - variant_p(f), 9)).alias("mag"), F.lit(f).alias("feature"),
-                      (F.col("p") - variant_p(f)).alias("delta")) for f in V1_PREDICTORS]
+    # each variant score is evaluated once, as a column of one projection
+    x = x.select("application_id", *[(F.col("p") - variant_p(f)).alias(f"d_{f}") for f in V1_PREDICTORS])
+    items = [F.struct(F.abs(fround(F.col(f"d_{f}"), 9)).alias("mag"), F.lit(f).alias("feature"),
+                      F.col(f"d_{f}").alias("delta")) for f in V1_PREDICTORS]
     srt = F.array_sort(F.array(*items), lambda a, b: F.when(a.mag > b.mag, -1).when(a.mag < b.mag, 1)
                        .when(a.feature < b.feature, -1).when(a.feature > b.feature, 1).otherwise(0))
     top = F.slice(srt, 1, TOP_FACTORS)
