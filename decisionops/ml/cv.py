@@ -114,3 +114,9 @@ def holdout_eval(train: DataFrame, name: str, quality: str = "fast") -> DataFram
     m = ev.classification_metrics(pred, "y", "p", 0.5)
     return m.crossJoin(ev.auc(pred, "y", "p")).crossJoin(ev.brier(pred, "y", "p")) \
             .select(F.lit(name).alias("model"), "*")
+
+
+def merge_candidates(base: DataFrame, tuned: DataFrame, key: str = "model") -> DataFrame:
+    """Candidate table where a tuned entry replaces the untuned entry of the
+    same name (left-anti + union; both tables are one row per model)."""
+    return base.join(tuned.select(key), key, "left_anti").unionByName(tuned, allowMissingColumns=True)
