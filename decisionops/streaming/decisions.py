@@ -26,15 +26,18 @@ def decisions(apps: DataFrame, approve: float = DEFAULT_APPROVE, reject: float =
     day = F.date_sub(F.lit(SIMULATION_END).cast("date"), F.floor(u[0] * SIMULATION_DAYS).cast("int"))
     hour = (F.lit(8) + F.floor(u[1] * 11)).cast("int")
     minute = F.floor(u[2] * 60).cast("int")
-    ts = F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), hour, minute, F.lit(0))
+    # event instant fixed in UTC (not the session time zone); the day label
+    # comes from the date itself, so results never depend on the session zone
+    ts = F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), hour, minute, F.lit(0), F.lit("UTC"))
     x = add_v1_features(apps).withColumn("p", probability(DEFAULT_SCORECARD))
-    return x.select("application_id", route("p", approve, reject).alias("route"), ts.alias("created_ts"))
+    return x.select("application_id", route("p", approve, reject).alias("route"), ts.alias("created_ts"),
+                    F.date_format(day, "yyyy-MM-dd").alias("day"))
 
 
 def daily_route_counts(decided: DataFrame, watermark: str = "2 days") -> DataFrame:
     return (decided.withWatermark("created_ts", watermark)
             .dropDuplicatesWithinWatermark(["application_id"])
-            .groupBy(F.window("created_ts", "1 day"), "route").count())
+            .groupBy(F.window("created_ts", "1 day"), "day", "route").count())
 
 
 def run_available_now(spark: SparkSession, source_path: str, out_path: str, checkpoint: str,
@@ -46,8 +49,7 @@ def run_available_now(spark: SparkSession, source_path: str, out_path: str, chec
     agg = daily_route_counts(decisions(stream))
 
     def sink(batch: DataFrame, _epoch: int) -> None:
-        (batch.select(F.date_format(F.col("window.start"), "yyyy-MM-dd").alias("day"), "route",
-                      F.col("count").cast("long").alias("applications"))
+        (batch.groupBy("day", "route").agg(F.sum("count").cast("long").alias("applications"))
          .write.mode("overwrite").parquet(out_path))
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
