@@ -251,3 +251,41 @@ QUERIES = {
     "scenario_comparison": (scenario_comparison, sql_scenario_comparison),
     "demand_stress": (demand_stress, sql_demand_stress),
 }
+
+
+def validate_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenario rules over the compared scenarios (the optimised one comes
+    from the data) plus one deliberately inverted copy of each, so both
+    outcomes are exercised."""
+    from ..operators.validate import scenario_violations
+    sc = scenario_comparison(spark, sf_dir).select(
+        "scenario", "approve_threshold", "reject_threshold", "analysts",
+        F.col("productive_hours_per_day").alias("productive_hours"), "volume_multiplier",
+        F.lit("channel").alias("segment_dimension"))
+    inverted = sc.select(F.concat(F.col("scenario"), F.lit(" (inverted)")).alias("scenario"),
+                         F.col("reject_threshold").alias("approve_threshold"),
+                         F.col("approve_threshold").alias("reject_threshold"), "analysts", "productive_hours",
+                         "volume_multiplier", F.lit("gender").alias("segment_dimension"))
+    return scenario_violations(sc.unionByName(inverted)).select("scenario", "violations", "valid")
+
+
+def sql_validate_scenarios() -> str:
+    checks = [("approve_threshold", "a > 0.5 AND a < 1.0"), ("reject_threshold", "r > 0.0 AND r < 0.5"),
+              ("threshold_order", "r < a"), ("analysts", "analysts >= 1 AND analysts <= 500"),
+              ("productive_hours", "h > 0.5 AND h <= 12.0"), ("volume_multiplier", "v > 0.1 AND v <= 10.0"),
+              ("segment_dimension", "d IN ('channel', 'property_area', 'education', 'self_employed', "
+                                    "'credit_history')")]
+    fails = ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, c in checks)
+    ok = " AND ".join(f"coalesce({c}, false)" for _, c in checks)
+    return "WITH " + analysis_frame_sql() + _scenario_cte() + f""",
+sv AS (
+  SELECT scenario, approve_threshold AS a, reject_threshold AS r, analysts, productive_hours_per_day AS h,
+         volume_multiplier AS v, 'channel' AS d FROM scenarios
+  UNION ALL
+  SELECT scenario || ' (inverted)', reject_threshold, approve_threshold, analysts, productive_hours_per_day,
+         volume_multiplier, 'gender' FROM scenarios
+)
+SELECT scenario, concat_ws(',', {fails}) AS violations, {ok} AS valid FROM sv"""
+
+
+QUERIES["validate_scenarios"] = (validate_scenarios, sql_validate_scenarios)
