@@ -116,7 +116,7 @@ def analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsPara
     key = (spark.sparkContext.applicationId, sf_dir, params, repr(scorecard))
     df = _FRAMES.get(key)
     if df is None:
-        df = materialize(build_analysis_frame(spark, sf_dir, params, scorecard), "analysis_frame", key)
+        df = materialize(lambda: build_analysis_frame(spark, sf_dir, params, scorecard), "analysis_frame", key, spark)
         _FRAMES[key] = df
     return df
 

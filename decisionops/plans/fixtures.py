@@ -100,11 +100,11 @@ _DRAWS = {
 def applications_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The v1 application table, materialised once per session (it is the
     input table every v1 report reads)."""
-    return materialize(build_applications_v1(spark, sf_dir), "applications_v1", (sf_dir,))
+    return materialize(lambda: build_applications_v1(spark, sf_dir), "applications_v1", (sf_dir,), spark)
 
 
 def applications_v2_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(build_applications_v2_raw(spark, sf_dir), "applications_v2_raw", (sf_dir,))
+    return materialize(lambda: build_applications_v2_raw(spark, sf_dir), "applications_v2_raw", (sf_dir,), spark)
 
 
 def build_applications_v1(spark: SparkSession, sf_dir: str) -> DataFrame:

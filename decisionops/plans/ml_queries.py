@@ -33,14 +33,15 @@ def _train(spark, sf_dir):
     (imputer, indexers, scaler, estimator) re-reads them."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAIN:
-        _TRAIN[key] = materialize(cv.training_frame(spark, sf_dir), "training_frame", key)
+        _TRAIN[key] = materialize(lambda: cv.training_frame(spark, sf_dir), "training_frame", key, spark)
     return _TRAIN[key]
 
 
 def _oof(spark, sf_dir) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _OOF:
-        _OOF[key] = materialize(cv.oof_predictions(_train(spark, sf_dir), CV_FAMILIES, QUALITY), "oof", key)
+        _OOF[key] = materialize(lambda: cv.oof_predictions(_train(spark, sf_dir), CV_FAMILIES, QUALITY), "oof", key,
+                                spark)
     return _OOF[key]
 
 

@@ -64,17 +64,20 @@ _MATERIALIZED: dict = {}
 _PATHS: dict = {}
 
 
-def materialize(df, name: str, key=()):
+def materialize(df, name: str, key=(), spark=None):
     """Cut the lineage of a derived table that many plans reuse: write it once
     per session and key as a parquet table under the shared checkpoint
     folder and read it back.  Later plans start from the written table -- a
     small logical plan, column pruning and filter push-down into the scan,
-    and no recomputation after an executor loss.  Never ``localCheckpoint``."""
+    and no recomputation after an executor loss.  Never ``localCheckpoint``.
+    ``df`` may be a zero-argument builder (then ``spark`` is required)."""
     import uuid
-    spark = df.sparkSession
+    spark = spark if spark is not None else df.sparkSession
     k = (spark.sparkContext.applicationId, name, key)
     out = _MATERIALIZED.get(k)
     if out is None:
+        if callable(df):           # a builder: only construct the plan on a miss
+            df = df()
         path = shared_table_path(spark, f"materialized/{name}/{uuid.uuid4().hex}")
         df.write.mode("overwrite").parquet(path)
         out = spark.read.parquet(path)
