@@ -417,10 +417,10 @@ PERMUTATION_REPEATS = 3
 
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop in holdout accuracy when one raw predictor is permuted, mean and
-    population std over repeats.  Permutation (feature f, repeat r): the
-    row at position i in id order receives f from the row at position i in
-    md5(id:f:r) order.  Both orders are distributed ranks; every (f, r) is
-    one stratum of a long table, scored by one projection."""
+    population std over repeats.  Repeat r: the row at position i in id
+    order receives feature f from the row at position i in md5(id:r) order.
+    Both orders are distributed ranks (no global window); all (f, r)
+    variants are one long table scored by one projection."""
     from ..operators.globalrank import running_before, value_counts
     sc = DEFAULT_SCORECARD
     b = applications_v1(spark, sf_dir).withColumn("y", (F.trim(F.col("loan_status")) == "Y").cast("int"))
@@ -428,16 +428,22 @@ def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = b.join(s.where(F.col("split") == "test").select("application_id"), "application_id")
     ids = running_before(value_counts(t, "application_id"), "application_id", ["_cnt"])
     t = t.join(ids.select("application_id", F.col("_cnt_before").alias("pos")), "application_id")
+    # holdout rows with their id position: written once, read by the donor
+    # side, the recipient side and the base accuracy
+    import uuid
+    from ..session import materialize
+    t = materialize(t, "permutation_holdout", (uuid.uuid4().hex,))
+    # one random order per repeat (md5 of "id:repeat"), shared by the features
+    # of that repeat: each feature is still permuted and scored on its own
+    reps = spark.range(PERMUTATION_REPEATS).select(F.col("id").cast("int").alias("repeat"))
+    tr = t.crossJoin(F.broadcast(reps)).withColumn(
+        "_pid", F.concat_ws(":", F.col("application_id").cast("string"), F.col("repeat").cast("string")))
+    ranked = sp.stratified_rank(tr, "_pid", "repeat", "perm")
+    donors = ranked.select("repeat", F.col("_rank").alias("pos"), F.struct(*V1_PREDICTORS).alias("d"))
     combos = spark.createDataFrame([(f, r) for f in V1_PREDICTORS for r in range(PERMUTATION_REPEATS)],
                                    "feature string, repeat int")
-    x = t.crossJoin(F.broadcast(combos)).withColumn(
-        "stratum", F.concat_ws(":", "feature", F.col("repeat").cast("string")))
-    x = x.withColumn("pkey", F.concat_ws(":", F.col("application_id").cast("string"), "feature",
-                                         F.col("repeat").cast("string")))
-    ranked = sp.stratified_rank(x.withColumn("_id", F.col("pkey")), "_id", "stratum", "perm")
-    donors = ranked.select("feature", "repeat", F.col("_rank").alias("pos"),
-                           F.struct(*V1_PREDICTORS).alias("d"))
-    rec = x.join(donors, ["feature", "repeat", "pos"])
+    x = t.crossJoin(F.broadcast(combos))
+    rec = x.join(donors, ["repeat", "pos"])
     cols = [F.when(F.col("feature") == g, F.col(f"d.{g}")).otherwise(F.col(g)).alias(g) for g in V1_PREDICTORS]
     v = add_v1_features(rec.select("feature", "repeat", "y", *cols))
     acc = v.groupBy("feature", "repeat").agg(
@@ -455,9 +461,8 @@ def sql_permutation_importance() -> str:
     combos = ", ".join(f"('{f}', {r})" for f in V1_PREDICTORS for r in range(PERMUTATION_REPEATS))
     dcols = ", ".join(f"{g} AS d_{g}" for g in V1_PREDICTORS)
     rcols = ", ".join(f"CASE WHEN x.feature = '{g}' THEN d.d_{g} ELSE x.{g} END AS {g}" for g in V1_PREDICTORS)
-    pkey = ("('0x' || substr(md5(CAST(CAST(application_id AS VARCHAR) || ':' || feature || ':' || "
-            "CAST(repeat AS VARCHAR) AS VARCHAR) || ':perm'), 1, 15))::BIGINT")
-    pid = "CAST(application_id AS VARCHAR) || ':' || feature || ':' || CAST(repeat AS VARCHAR)"
+    pid = "CAST(application_id AS VARCHAR) || ':' || CAST(repeat AS VARCHAR)"
+    pkey = f"('0x' || substr(md5({pid} || ':perm'), 1, 15))::BIGINT"
     return "WITH " + SQL_APPLICATIONS_V1 + f""",
 lab AS (SELECT *, CAST(trim(loan_status) = 'Y' AS INTEGER) AS y FROM applications_v1),
 rk AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sp.order_key_sql('application_id', SPLIT_SEED)},
@@ -465,10 +470,11 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sp.order_key_sql('a
 t AS (SELECT * EXCLUDE (rn, n), row_number() OVER (ORDER BY application_id) - 1 AS pos
       FROM rk WHERE rn < floor(n * {TEST_SIZE} + 0.5)),
 combos AS (SELECT * FROM (VALUES {combos}) AS c(feature, repeat)),
+reps AS (SELECT CAST(range AS INTEGER) AS repeat FROM range({PERMUTATION_REPEATS})),
+tr AS (SELECT t.*, reps.repeat FROM t CROSS JOIN reps),
+d AS (SELECT repeat, row_number() OVER (PARTITION BY repeat ORDER BY {pkey}, {pid}) - 1 AS pos, {dcols} FROM tr),
 x AS (SELECT t.*, c.feature, c.repeat FROM t CROSS JOIN combos c),
-d AS (SELECT feature, repeat, row_number() OVER (PARTITION BY feature, repeat ORDER BY {pkey}, {pid}) - 1 AS pos,
-             {dcols} FROM x),
-rec AS (SELECT x.feature, x.repeat, x.y, {rcols} FROM x JOIN d USING (feature, repeat, pos)),
+rec AS (SELECT x.feature, x.repeat, x.y, {rcols} FROM x JOIN d USING (repeat, pos)),
 rf1 AS (SELECT *, coalesce(applicant_income, 0.0) + coalesce(coapplicant_income, 0.0) AS total_income FROM rec),
 rf AS (SELECT *, ln(1.0 + {clip_sql('total_income', 0.0)}) AS log_total_income,
               ln(1.0 + {clip_sql('loan_amount', 0.0)}) AS log_loan_amount FROM rf1),
