@@ -57,3 +57,11 @@ def _footer(path: str):
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
+    """CSV with a header and an explicit schema (no inference pass over the
+    data); an empty field reads as NULL, a malformed value as NULL
+    (PERMISSIVE mode), never a failed job."""
+    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+            .option("nullValue", "").csv(path))
