@@ -6,7 +6,8 @@ boosted-tree libraries -> ``GBTClassifier``."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 
 from .preprocess import build_pipeline
 
@@ -14,7 +15,8 @@ SEED = 42
 # Family sizes per search-effort level.
 SIZES = {"fast": {"trees": 40, "boost": 30}, "balanced": {"trees": 200, "boost": 100},
          "max": {"trees": 500, "boost": 150}}
-FAMILIES = ["logistic_regression", "random_forest", "gradient_boosting", "extra_trees_standin"]
+FAMILIES = ["logistic_regression", "random_forest", "gradient_boosting", "extra_trees_standin",
+            "rbf_svm_standin"]
 
 
 def estimator(name: str, quality: str = "fast", params: dict | None = None):
@@ -39,5 +41,24 @@ def estimator(name: str, quality: str = "fast", params: dict | None = None):
     raise ValueError(f"unknown model family: {name}")
 
 
+def rbf_svm_stages(params: dict | None = None):
+    """Kernel-SVM stand-in: random Fourier features -> LinearSVC -> Platt
+    scaling (logistic regression on the SVM margin) for probabilities."""
+    from .rff import RandomFourierFeatures
+    p = dict(params or {})
+    return [RandomFourierFeatures(inputCol="features", outputCol="rff", numFeatures=p.get("numFeatures", 100),
+                                  gamma=p.get("gamma", 0.05), seed=SEED),
+            LinearSVC(featuresCol="rff", labelCol="label", regParam=p.get("regParam", 0.01), maxIter=50,
+                      weightCol="weight", rawPredictionCol="svm_raw", predictionCol="svm_pred"),
+            # Platt scaling on the raw margin vector (-m, m); a tiny ridge
+            # term settles the collinear pair
+            LogisticRegression(featuresCol="svm_raw", labelCol="label", probabilityCol="probability",
+                               rawPredictionCol="platt_raw", predictionCol="prediction", regParam=1e-4,
+                               maxIter=50)]
+
+
 def pipeline(name: str, quality: str = "fast", params: dict | None = None):
+    if name == "rbf_svm_standin":
+        from .preprocess import preprocessing_stages
+        return Pipeline(stages=preprocessing_stages(scale=True) + rbf_svm_stages(params))
     return build_pipeline(estimator(name, quality, params), scale=(name == "logistic_regression"))

@@ -160,3 +160,11 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["csv_roundtrip"] = (csv_roundtrip, None)
+
+
+def holdout_eval_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdout metrics of the kernel-SVM stand-in (random Fourier features)."""
+    return cv.holdout_eval(_train(spark, sf_dir), "rbf_svm_standin", QUALITY)
+
+
+QUERIES["holdout_eval_svm"] = (holdout_eval_svm, None)
