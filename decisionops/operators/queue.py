@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import clip
+from ..functions.columns import clip, safe_number
 from ..plans.analysis_frame import ROUTE_MANUAL, route
 from .globalrank import percent_rank_avg
 
@@ -89,10 +89,10 @@ def case_records(frame: DataFrame, requests: DataFrame, id_col: str = "applicati
         F.col("dependents").alias("applicant_dependents"),
         F.col("education").alias("applicant_education"),
         F.col("self_employed").alias("applicant_self_employed"),
-        F.coalesce(F.col("applicant_income"), F.lit(0.0)).alias("applicant_income"),
-        F.coalesce(F.col("coapplicant_income"), F.lit(0.0)).alias("applicant_coapplicant_income"),
-        F.coalesce(F.col("loan_amount"), F.lit(0.0)).alias("applicant_loan_amount_thousands"),
-        F.coalesce(F.col("loan_amount_term"), F.lit(0.0)).alias("applicant_loan_amount_term_months"),
+        safe_number(F.col("applicant_income")).alias("applicant_income"),
+        safe_number(F.col("coapplicant_income")).alias("applicant_coapplicant_income"),
+        safe_number(F.col("loan_amount")).alias("applicant_loan_amount_thousands"),
+        safe_number(F.col("loan_amount_term")).alias("applicant_loan_amount_term_months"),
         F.col("credit_history").cast("int").alias("applicant_credit_history"),
         F.col("property_area").alias("applicant_property_area"),
         F.lit(True).alias("found"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import rate
@@ -106,7 +106,10 @@ def funnel(frame: DataFrame, approve: float = 0.75, reject: float = 0.25) -> Dat
               F.count_if(F.col("historical_approved")).alias("n4"))
     parts = ", ".join(f"{i + 1}, '{s}', n{i}" for i, s in enumerate(FUNNEL_STAGES))
     st = a.selectExpr(f"stack(5, {parts}) AS (stage_order, stage, count)", "n0")
+    # bar length relative to the largest stage (a 5-row list: bounded window)
     return st.select(F.col("stage_order").cast("int").alias("stage_order"), "stage",
                      F.col("count").cast("long").alias("count"),
                      F.when(F.col("stage_order") == 1, F.lit(1.0))
-                      .otherwise(F.round(F.col("count") / F.col("n0"), 6)).alias("rate"))
+                      .otherwise(F.round(F.col("count") / F.col("n0"), 6)).alias("rate"),
+                     F.round(F.col("count") / F.greatest(F.max("count").over(Window.partitionBy()), F.lit(1)), 6)
+                      .alias("relative_to_max"))

@@ -217,12 +217,14 @@ def sql_funnel() -> str:
     return "WITH " + analysis_frame_sql() + f""",
 c AS (SELECT count(*) AS n0, count_if(document_completeness >= 0.90) AS n1,
              count_if({rt} <> '{ROUTE_MANUAL}') AS n2, count_if({rt} = '{ROUTE_MANUAL}') AS n3,
-             count_if(historical_approved) AS n4 FROM analysis)
+             count_if(historical_approved) AS n4 FROM analysis),
+f AS (
 SELECT 1 AS stage_order, '{st[0]}' AS stage, CAST(n0 AS BIGINT) AS count, 1.0::DOUBLE AS rate FROM c
 UNION ALL SELECT 2, '{st[1]}', n1, round(n1 / n0, 6) FROM c
 UNION ALL SELECT 3, '{st[2]}', n2, round(n2 / n0, 6) FROM c
 UNION ALL SELECT 4, '{st[3]}', n3, round(n3 / n0, 6) FROM c
-UNION ALL SELECT 5, '{st[4]}', n4, round(n4 / n0, 6) FROM c"""
+UNION ALL SELECT 5, '{st[4]}', n4, round(n4 / n0, 6) FROM c)
+SELECT *, round(count / greatest(max(count) OVER (), 1), 6) AS relative_to_max FROM f"""
 
 
 def _queue_sql(limit: int) -> str:
@@ -295,10 +297,10 @@ SELECT r.application_id,
   round(a.document_completeness, 6) AS document_completeness, round(a.loan_value, 2) AS loan_value,
   a.married AS applicant_married, a.dependents AS applicant_dependents, a.education AS applicant_education,
   a.self_employed AS applicant_self_employed,
-  CASE WHEN a.application_id IS NULL THEN NULL ELSE coalesce(a.applicant_income, 0.0) END AS applicant_income,
-  CASE WHEN a.application_id IS NULL THEN NULL ELSE coalesce(a.coapplicant_income, 0.0) END AS applicant_coapplicant_income,
-  CASE WHEN a.application_id IS NULL THEN NULL ELSE coalesce(a.loan_amount, 0.0) END AS applicant_loan_amount_thousands,
-  CASE WHEN a.application_id IS NULL THEN NULL ELSE coalesce(a.loan_amount_term, 0.0) END AS applicant_loan_amount_term_months,
+  CASE WHEN a.application_id IS NULL THEN NULL WHEN a.applicant_income IS NULL OR isnan(a.applicant_income) OR isinf(a.applicant_income) THEN 0.0 ELSE a.applicant_income END AS applicant_income,
+  CASE WHEN a.application_id IS NULL THEN NULL WHEN a.coapplicant_income IS NULL OR isnan(a.coapplicant_income) OR isinf(a.coapplicant_income) THEN 0.0 ELSE a.coapplicant_income END AS applicant_coapplicant_income,
+  CASE WHEN a.application_id IS NULL THEN NULL WHEN a.loan_amount IS NULL OR isnan(a.loan_amount) OR isinf(a.loan_amount) THEN 0.0 ELSE a.loan_amount END AS applicant_loan_amount_thousands,
+  CASE WHEN a.application_id IS NULL THEN NULL WHEN a.loan_amount_term IS NULL OR isnan(a.loan_amount_term) OR isinf(a.loan_amount_term) THEN 0.0 ELSE a.loan_amount_term END AS applicant_loan_amount_term_months,
   CAST(a.credit_history AS INTEGER) AS applicant_credit_history, a.property_area AS applicant_property_area,
   a.application_id IS NOT NULL AS found
 FROM req r LEFT JOIN analysis a ON r.application_id = a.application_id"""

@@ -73,3 +73,12 @@ def test_rates_in_unit_interval(frame):
     f = frame.agg(F.min("approval_probability"), F.max("approval_probability"),
                   F.min("document_completeness"), F.max("document_completeness")).first()
     assert 0 <= f[0] <= f[1] <= 1 and 0.55 <= f[2] <= f[3] <= 1
+
+
+def test_full_report_sections(spark):
+    from decisionops.plans.report import business_analysis_report
+    rep = business_analysis_report(spark, SF_SMALL)
+    assert rep["policy"].count() == 1 and rep["optimized_policy"].count() == 1
+    assert rep["queue"].count() == 40 and rep["trends"].count() > 20
+    with pytest.raises(ValueError):
+        business_analysis_report(spark, SF_SMALL, approve=0.72, reject=0.72)
