@@ -195,12 +195,18 @@ def optimize_policy(frame: DataFrame, minimum_auto_agreement: float = DEFAULT_GU
     -|mid - 0.5|), earliest grid point on ties; fallback 0.90/0.10 flagged
     ``feasible = false`` when no policy meets the guardrail.  The guardrail
     is compared with the rounded agreement (tolerance 1e-12)."""
-    g = float(min(max(minimum_auto_agreement, GUARDRAIL_RANGE[0]), GUARDRAIL_RANGE[1]))
     rows = grid_rows(analysts, productive_hours, volume_multiplier)
     rows.append((-1, *FALLBACK_POLICY, analysts, productive_hours, volume_multiplier))
-    allp = evaluate_policies(frame, rows)
-    feasible = allp.where((F.col("policy_id") >= 0)
-                          & (F.col("auto_historical_agreement") + F.lit(1e-12) >= F.lit(g)))
+    return pick_optimum(evaluate_policies(frame, rows), minimum_auto_agreement)
+
+
+def pick_optimum(allp: DataFrame, minimum_auto_agreement: float = DEFAULT_GUARDRAIL,
+                 grid_ids=None) -> DataFrame:
+    """The optimum from a KPI table holding the grid (policy_id >= 0, or the
+    ids in ``grid_ids``) and the fallback (policy_id = -1)."""
+    g = float(min(max(minimum_auto_agreement, GUARDRAIL_RANGE[0]), GUARDRAIL_RANGE[1]))
+    in_grid = (F.col("policy_id") >= 0) if grid_ids is None else F.col("policy_id").isin(*grid_ids)
+    feasible = allp.where(in_grid & (F.col("auto_historical_agreement") + F.lit(1e-12) >= F.lit(g)))
     key = F.struct(F.col("auto_decision_rate"), -F.col("backlog_growth_cases_per_day"),
                    F.col("auto_historical_agreement"),
                    -F.abs((F.col("approve_threshold") + F.col("reject_threshold")) / 2 - 0.5),

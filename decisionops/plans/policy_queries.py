@@ -63,15 +63,20 @@ def policy_optimum_infeasible(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scenario_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All named scenarios plus the optimised policy, one pass over the rows
-    for the named ones (shared cells), one for the search."""
+    """All named scenarios plus the optimised policy: the named scenarios,
+    the search grid and the fallback are evaluated in one pass over the
+    rows (one shared cell table)."""
     frame = analysis_frame(spark, sf_dir)
-    scen = [(i, *s[1:]) for i, s in enumerate(SCENARIOS)]
+    offset = 1000
+    named_rows = [(i, *s[1:]) for i, s in enumerate(SCENARIOS)]
+    grid = [(offset + pid, a, r, n, h, v) for pid, a, r, n, h, v in pol.grid_rows(*OPTIMISED_STAFFING)]
+    fallback = [(-1, *pol.FALLBACK_POLICY, *OPTIMISED_STAFFING)]
+    allp = pol.evaluate_policies(frame, named_rows + grid + fallback)
     names = spark.createDataFrame([(i, s[0]) for i, s in enumerate(SCENARIOS)],
                                   "policy_id long, scenario string")
-    named = (pol.evaluate_policies(frame, scen).join(F.broadcast(names), "policy_id")
+    named = (allp.join(F.broadcast(names), "policy_id")
              .select("scenario", *POLICY_COLS, *KPI_NAMES))
-    opt = (pol.optimize_policy(frame, pol.DEFAULT_GUARDRAIL, *OPTIMISED_STAFFING)
+    opt = (pol.pick_optimum(allp, pol.DEFAULT_GUARDRAIL, [g[0] for g in grid])
            .select(F.lit("Optimised").alias("scenario"), *POLICY_COLS, *KPI_NAMES))
     return named.unionByName(opt)
 
