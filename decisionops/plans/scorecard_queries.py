@@ -446,13 +446,16 @@ def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = x.join(donors, ["repeat", "pos"])
     cols = [F.when(F.col("feature") == g, F.col(f"d.{g}")).otherwise(F.col(g)).alias(g) for g in V1_PREDICTORS]
     v = add_v1_features(rec.select("feature", "repeat", "y", *cols))
-    acc = v.groupBy("feature", "repeat").agg(
-        F.avg(((probability(sc) >= 0.5).cast("int") == F.col("y")).cast("double")).alias("acc"))
-    base = add_v1_features(t).agg(
-        F.avg(((probability(sc) >= 0.5).cast("int") == F.col("y")).cast("double")).alias("base_acc"))
-    d = acc.crossJoin(F.broadcast(base)).withColumn("drop", F.col("base_acc") - F.col("acc"))
-    return (d.groupBy("feature").agg(F.round(F.avg("drop"), 6).alias("importance_mean"),
-                                     F.round(F.stddev_pop("drop"), 6).alias("importance_std"))
+    correct = ((probability(sc) >= 0.5).cast("int") == F.col("y"))
+    acc = v.groupBy("feature", "repeat").agg(F.count_if(correct).alias("c"), F.count(F.lit(1)).alias("n"))
+    tb = add_v1_features(t)
+    base = tb.agg(F.count_if(((probability(sc) >= 0.5).cast("int") == F.col("y"))).alias("bc"))
+    # drops as integer counts: the mean is exact in any engine
+    d = acc.crossJoin(F.broadcast(base)).withColumn("dc", F.col("bc") - F.col("c"))
+    out = d.groupBy("feature").agg((F.sum("dc") / (F.count(F.lit(1)) * F.max("n"))).alias("m"),
+                                   F.stddev_pop(F.col("dc") / F.col("n")).alias("s"))
+    return (out.select("feature", (F.round("m", 6) + F.lit(0.0)).alias("importance_mean"),
+                       (F.round("s", 6) + F.lit(0.0)).alias("importance_std"))
             .orderBy(F.col("importance_mean").desc(), "feature"))
 
 
@@ -478,14 +481,14 @@ rec AS (SELECT x.feature, x.repeat, x.y, {rcols} FROM x JOIN d USING (repeat, po
 rf1 AS (SELECT *, coalesce(applicant_income, 0.0) + coalesce(coapplicant_income, 0.0) AS total_income FROM rec),
 rf AS (SELECT *, ln(1.0 + {clip_sql('total_income', 0.0)}) AS log_total_income,
               ln(1.0 + {clip_sql('loan_amount', 0.0)}) AS log_loan_amount FROM rf1),
-acc AS (SELECT feature, repeat, avg(CASE WHEN CAST({probability_sql(sc)} >= 0.5 AS INTEGER) = y THEN 1.0 ELSE 0.0 END)
-               AS acc FROM rf GROUP BY 1, 2),
+acc AS (SELECT feature, repeat, count_if(CAST({probability_sql(sc)} >= 0.5 AS INTEGER) = y) AS c, count(*) AS n
+        FROM rf GROUP BY 1, 2),
 tf1 AS (SELECT *, coalesce(applicant_income, 0.0) + coalesce(coapplicant_income, 0.0) AS total_income FROM t),
 tf AS (SELECT *, ln(1.0 + {clip_sql('total_income', 0.0)}) AS log_total_income,
               ln(1.0 + {clip_sql('loan_amount', 0.0)}) AS log_loan_amount FROM tf1),
-base AS (SELECT avg(CASE WHEN CAST({probability_sql(sc)} >= 0.5 AS INTEGER) = y THEN 1.0 ELSE 0.0 END) AS base_acc
-         FROM tf)
-SELECT feature, round(avg(base_acc - acc), 6) AS importance_mean, round(stddev_pop(base_acc - acc), 6) AS importance_std
+base AS (SELECT count_if(CAST({probability_sql(sc)} >= 0.5 AS INTEGER) = y) AS bc FROM tf)
+SELECT feature, round(sum(bc - c) / (count(*) * max(n)), 6) + 0.0 AS importance_mean,
+       round(stddev_pop((bc - c) / n), 6) + 0.0 AS importance_std
 FROM acc CROSS JOIN base GROUP BY feature"""
 
 
