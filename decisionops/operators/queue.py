@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import clip, safe_number
-from ..plans.analysis_frame import ROUTE_MANUAL, route
+from ..plans.analysis_frame import manual_predicate
 from .globalrank import percent_rank_avg
 
 QUEUE_DEFAULT_LIMIT = 40
@@ -22,7 +22,7 @@ def outcome_label(c: str = "historical_approved"):
 def queue_candidates(frame: DataFrame, approve: float = 0.75, reject: float = 0.25) -> DataFrame:
     """Manual rows with the policy priority.  The value percentile is taken
     over manual rows only, ties averaged (distributed, no global window)."""
-    manual = frame.where(route("approval_probability", approve, reject) == ROUTE_MANUAL)
+    manual = frame.where(manual_predicate("approval_probability", approve, reject))
     ranked = percent_rank_avg(manual, "loan_value", "value_pct")
     pp = clip(F.col("priority_score") + F.col("value_pct") * 8.0
               + clip(F.col("processing_hours") / 24.0, 0.0, 2.0) * 6.0, 0.0, 100.0)

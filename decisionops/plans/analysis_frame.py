@@ -82,6 +82,13 @@ def route(p, approve: float, reject: float):
              .otherwise(F.lit(ROUTE_MANUAL)))
 
 
+def manual_predicate(p, approve: float, reject: float):
+    """Rows routed to review, as a range predicate the parquet scan can push
+    down (row-group min/max pruning): not approved, not rejected, or no score."""
+    p = F.col(p) if isinstance(p, str) else p
+    return ((p < F.lit(float(approve))) & (p > F.lit(float(reject)))) | p.isNull()
+
+
 def route_sql(p: str, approve, reject) -> str:
     return (f"(CASE WHEN {p} >= {approve} THEN '{ROUTE_APPROVE}' WHEN {p} <= {reject} "
             f"THEN '{ROUTE_REJECT}' ELSE '{ROUTE_MANUAL}' END)")
