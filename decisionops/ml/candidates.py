@@ -46,9 +46,9 @@ def rbf_svm_stages(params: dict | None = None):
     scaling (logistic regression on the SVM margin) for probabilities."""
     from .rff import RandomFourierFeatures
     p = dict(params or {})
-    return [RandomFourierFeatures(inputCol="features", outputCol="rff", numFeatures=p.get("numFeatures", 100),
+    return [RandomFourierFeatures(inputCol="features", outputCol="rff", numFeatures=p.get("numFeatures", 64),
                                   gamma=p.get("gamma", 0.05), seed=SEED),
-            LinearSVC(featuresCol="rff", labelCol="label", regParam=p.get("regParam", 0.01), maxIter=50,
+            LinearSVC(featuresCol="rff", labelCol="label", regParam=p.get("regParam", 0.01), maxIter=25,
                       weightCol="weight", rawPredictionCol="svm_raw", predictionCol="svm_pred"),
             # Platt scaling on the raw margin vector (-m, m); a tiny ridge
             # term settles the collinear pair
