@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as ev
 from ..operators import split as sp
 from ..plans.fixtures import applications_v1
-from .candidates import FAMILIES, SEED, estimator, pipeline
+from .candidates import FAMILIES, SEED, pipeline
 
 FOLDS_FAST, SPLIT_SEED, FOLD_SEED, TEST_SIZE = 3, 2026, 42, 0.2
 

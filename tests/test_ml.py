@@ -1,11 +1,10 @@
 """Spark ML pieces: exact imputer, pipeline persistence, CSV source."""
 
-import math
 import tempfile
 
 from pyspark.ml import Pipeline, PipelineModel
 
-from decisionops.ml.preprocess import ExactImputer, ExactImputerModel
+from decisionops.ml.preprocess import ExactImputer
 
 
 def test_exact_imputer_median_and_mode(spark):

@@ -3,7 +3,6 @@ ranks, ties, rounding, de-duplication, validation)."""
 
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from decisionops.functions.columns import clip, fround, nan_to_null
