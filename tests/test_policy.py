@@ -82,3 +82,14 @@ def test_full_report_sections(spark):
     assert rep["queue"].count() == 40 and rep["trends"].count() > 20
     with pytest.raises(ValueError):
         business_analysis_report(spark, SF_SMALL, approve=0.72, reject=0.72)
+
+
+def test_case_record_nested_form(spark):
+    from decisionops.operators.queue import case_record_nested, case_records
+    f = analysis_frame(spark, SF_SMALL)
+    req = spark.createDataFrame([(0,), (1,), (10 ** 12,)], "application_id long")
+    flat = case_records(f, req)
+    rows = {r["application_id"]: r for r in case_record_nested(flat).collect()}
+    assert rows[10 ** 12]["found"] is False and rows[0]["found"] is True
+    assert rows[0]["applicant"]["property_area"] is not None or rows[0]["applicant"]["income"] is not None
+    assert "simulation_fields" in rows[0]["audit"].asDict()
