@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, sharding
+from . import chat, decontaminate, packing, sharding, simhash
 from .common import table
 
 
@@ -13,6 +13,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return out.select("doc_id", "fingerprint", "component_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40, overhead=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -23,8 +28,14 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), max_len=1024)
+
+
 QUERIES = {
     "op2_decontaminate": (op2_decontaminate, decontaminate.SQL_DECONTAMINATE),
+    "op4_simhash": (op4_simhash, None),
     "op8_sharding": (op8_sharding, None),
     "op9_chat": (op9_chat, chat.SQL_FORMAT_CHATS),
+    "op10_packing": (op10_packing, None),
 }
