@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, sharding, simhash
+from . import chat, decontaminate, packing, sharding, simhash, suffix
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_report(table(spark, sf_dir, "documents"), length=200)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40, overhead=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -35,6 +39,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": (op2_decontaminate, decontaminate.SQL_DECONTAMINATE),
     "op4_simhash": (op4_simhash, None),
+    "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op8_sharding": (op8_sharding, None),
     "op9_chat": (op9_chat, chat.SQL_FORMAT_CHATS),
     "op10_packing": (op10_packing, None),
