@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, sharding, simhash, suffix
+from . import chat, decontaminate, langid, packing, sharding, simhash, suffix, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return out.select("doc_id", "fingerprint", "component_id")
@@ -37,7 +45,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": (op1_toxicity, None),
     "op2_decontaminate": (op2_decontaminate, decontaminate.SQL_DECONTAMINATE),
+    "op3_langid": (op3_langid, None),
     "op4_simhash": (op4_simhash, None),
     "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op8_sharding": (op8_sharding, None),
