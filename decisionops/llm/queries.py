@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, packing, sharding, simhash, suffix, toxicity
+from . import chat, covertree, decontaminate, html, langid, packing, sharding, simhash, suffix, toxicity
 from .common import table
 
 
@@ -26,10 +26,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.linked_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeat_report(table(spark, sf_dir, "documents"), length=200)
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40, overhead=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -49,7 +57,9 @@ QUERIES = {
     "op2_decontaminate": (op2_decontaminate, decontaminate.SQL_DECONTAMINATE),
     "op3_langid": (op3_langid, None),
     "op4_simhash": (op4_simhash, None),
+    "op5_covertree": (op5_covertree, None),
     "op6_suffix_dedup": (op6_suffix_dedup, None),
+    "op7_html": (op7_html, None),
     "op8_sharding": (op8_sharding, None),
     "op9_chat": (op9_chat, chat.SQL_FORMAT_CHATS),
     "op10_packing": (op10_packing, None),
