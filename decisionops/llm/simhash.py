@@ -123,9 +123,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (long), fingerprint (16 hex digits), component_id (smallest
-    doc_id that links reach, itself included)."""
-    base = stored(docs.select(F.col(id_col).alias("doc_id"),
+    """doc_id, version (hash of the text), fp (long), fingerprint (16 hex
+    digits), component_id (smallest doc_id that links reach, itself included)."""
+    base = stored(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("version"),
                               fingerprint_column(text_col, shingle).alias("fp")), "simhash_docs")
     first = stored(base.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash_distinct")
     roots = connected_components(links(first.select("fp"), max_bits), "simhash_edges")
@@ -134,19 +134,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_root = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_fp = linked.join(of_root, "root").select("fp", "component_id")
     return (base.join(of_fp, "fp")
-            .select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+            .select("doc_id", "version", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                    "component_id"))
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows of ``docs`` (all columns), one of each group: the row of the
-    smallest doc_id; rows without a doc_id stay.  Of repeated rows with one
-    doc_id, one stays."""
-    found = near_duplicates(docs.select("doc_id", "text"), "doc_id", "text", shingle, max_bits)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_drop")).distinct()
-    left = docs.join(dropped, docs["doc_id"] == dropped["_drop"], "left_anti")
-    # rows that repeat a kept doc_id: only the ids that occur twice are compared
-    twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(
-        F.col("doc_id").alias("_twice"))
-    single = left.join(twice, left["doc_id"] == twice["_twice"], "left_anti")
-    repeated = left.join(twice, left["doc_id"] == twice["_twice"], "left_semi")
-    return single.union(repeated.dropDuplicates(["doc_id"]))
+    """Rows of ``docs`` (all columns), one of each group: a row of the smallest
+    doc_id (of repeated rows, one); rows without a doc_id stay."""
+    found = stored(near_duplicates(docs.select("doc_id", "text"), "doc_id", "text", shingle, max_bits)
+                   .where("doc_id = component_id").select("doc_id", "version"), "simhash_kept")
+    keep = (found.groupBy("doc_id").agg(F.min("version").alias("_of"))
+            .withColumnRenamed("doc_id", "_id"))
+    rows = docs.withColumn("_version", F.xxhash64("text"))
+    kept = (rows.join(keep, (F.col("doc_id") == F.col("_id")) & (F.col("_version") == F.col("_of")), "left")
+            .where(F.col("_id").isNotNull() | F.col("doc_id").isNull()))
+    if not found.groupBy("doc_id", "version").count().where("count > 1").isEmpty():
+        again = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+        kept = kept.withColumn("_row", again).dropDuplicates(["doc_id", "_version", "_row"])
+    return kept.select(docs.columns)
