@@ -13,7 +13,7 @@ from .preprocess import build_pipeline
 
 SEED = 42
 # Family sizes per search-effort level.
-SIZES = {"fast": {"trees": 20, "boost": 20}, "balanced": {"trees": 200, "boost": 100},
+SIZES = {"fast": {"trees": 120, "boost": 120}, "balanced": {"trees": 200, "boost": 100},
          "max": {"trees": 500, "boost": 150}}
 FAMILIES = ["logistic_regression", "random_forest", "gradient_boosting", "extra_trees_standin",
             "rbf_svm_standin"]
@@ -24,8 +24,8 @@ def estimator(name: str, quality: str = "fast", params: dict | None = None):
     p = dict(params or {})
     common = dict(labelCol="label", featuresCol="features", probabilityCol="probability")
     if name == "logistic_regression":
-        return LogisticRegression(regParam=p.get("regParam", 0.01), elasticNetParam=0.0, maxIter=50,
-                                  standardization=False, weightCol="weight", **common)
+        return LogisticRegression(regParam=p.get("regParam", 0.01), elasticNetParam=0.0, maxIter=100,
+                                  standardization=False, **common)
     if name == "random_forest":
         return RandomForestClassifier(numTrees=p.get("numTrees", s["trees"]), maxDepth=p.get("maxDepth", 6),
                                       minInstancesPerNode=p.get("minInstancesPerNode", 3),

@@ -79,7 +79,8 @@ def preprocessing_stages(scale: bool = True, numeric=V1_NUMERIC, categorical=V1_
               ExactImputer(numericCols=list(numeric), categoricalCols=list(categorical)),
               StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
                             stringOrderType="alphabetAsc"),
-              OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
+              # the indexer puts unseen levels last and the encoder drops the last slot: all zeros
+              OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error"),
               VectorAssembler(inputCols=list(numeric) + ohe, outputCol="raw_features", handleInvalid="keep")]
     if scale:
         stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))

@@ -35,32 +35,48 @@ def normalize(df: DataFrame) -> DataFrame:
             cols.append(F.col(c))
     df = df.select(*cols)
     if "loan_status" in df.columns:
-        t = F.lit(None).cast("int")
-        for k, v in TARGET_MAP.items():
-            t = F.when(F.col("loan_status") == k, F.lit(v)).otherwise(t)
-        df = df.withColumn("target", t)
+        df = df.withColumn("target", target())
     return df
 
 
+def target():
+    t = F.lit(None).cast("int")
+    for k, v in TARGET_MAP.items():
+        t = F.when(F.col("loan_status") == k, F.lit(v)).otherwise(t)
+    return t
+
+
 def clip_assets(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(F.col(c) < 0, F.lit(0.0)).otherwise(F.col(c)).alias(c) if c in ASSET_COLUMNS
                        else F.col(c) for c in df.columns])
 
 
-def deduplicate(df: DataFrame, subset, order_col: str) -> DataFrame:
+def deduplicate(df: DataFrame, subset, order_col: str, derived: dict | None = None) -> DataFrame:
     """Keep the first row (smallest ``order_col``) of each group of rows equal
     on ``subset`` (NULL equals NULL).  An aggregate with map-side partial
     aggregation, so a group holding a third of the table is combined before
-    the shuffle instead of landing in one task."""
-    others = [c for c in df.columns if c not in subset]
+    the shuffle instead of landing in one task.  ``derived``: columns that are
+    functions of the subset, with their expressions."""
+    derived = derived or {}
+    others = [c for c in df.columns if c not in subset and c not in derived]
+    if others == [order_col]:
+        # a minimum of a number is a hash aggregate; what derives from the
+        # subset is computed again from it
+        g = df.groupBy(*subset).agg(F.min(order_col).alias(order_col))
+        return g.withColumns(derived).select(*df.columns)
+    others += list(derived)
     keep = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_k")
     g = df.groupBy(*subset).agg(keep)
     return g.select(*[F.col(c) for c in subset], "_k.*").select(*df.columns)
 
 
 def clean_v2(raw: DataFrame, id_col: str = "loan_id") -> DataFrame:
-    n = normalize(raw)
-    return deduplicate(clip_assets(n), [c for c in DEDUP_SUBSET if c in n.columns], id_col)
+    return _distinct(normalize(raw), id_col)
+
+
+def _distinct(n: DataFrame, id_col: str) -> DataFrame:
+    derived = {"target": target()} if "loan_status" in n.columns else {}
+    return deduplicate(clip_assets(n), [c for c in DEDUP_SUBSET if c in n.columns], id_col, derived)
 
 
 def clean_v2_report(raw: DataFrame, id_col: str = "loan_id") -> DataFrame:
@@ -70,7 +86,7 @@ def clean_v2_report(raw: DataFrame, id_col: str = "loan_id") -> DataFrame:
     n = normalize(raw)
     before = n.agg(F.count(F.lit(1)).alias("rows_before"),
                    *[F.count_if(F.col(c) < 0).alias(f"neg_{c}") for c in ASSET_COLUMNS])
-    cleaned = deduplicate(clip_assets(n), [c for c in DEDUP_SUBSET if c in n.columns], id_col)
+    cleaned = _distinct(n, id_col)
     after = cleaned.agg(F.count(F.lit(1)).alias("rows_after"),
                         *[F.count_if(F.col(c).isNull()).alias(f"miss_{c}") for c in cleaned.columns])
     one = before.crossJoin(after)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..plans.analysis_frame import (DEFAULT_ANALYSTS, DEFAULT_PRODUCTIVE_HOURS,
                                     DEFAULT_REVIEW_MINUTES)
 
-MAX_POLICIES = 100_000   # parameter-table bound for broadcasting
+MAX_POLICIES = 10_000    # parameter-table bound for broadcasting
 
 # The policy search grid and its fallback.
 GRID_APPROVE = [round(0.55 + i * 0.025, 3) for i in range(17)]
@@ -72,11 +72,23 @@ def _check_rows(rows):
     return rows
 
 
+def _rank_among(p: Column, ts: list, inclusive: bool, lo: int = 0, hi: int | None = None) -> Column:
+    """How many of the sorted thresholds lie below ``p`` (or at it, if
+    inclusive): a balanced tree of comparisons, as deep as log2 of their number."""
+    hi = len(ts) if hi is None else hi
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    t = F.lit(float(ts[mid]))
+    return F.when(p >= t if inclusive else p > t, _rank_among(p, ts, inclusive, mid + 1, hi)).otherwise(
+        _rank_among(p, ts, inclusive, lo, mid))
+
+
 def bin_ids(p: Column, approve_ts, reject_ts) -> tuple[Column, Column]:
-    a = sum((p >= F.lit(float(t))).cast("int") for t in approve_ts)
-    a = F.coalesce(a, F.lit(0))
-    r = F.when(p.isNull(), F.lit(len(reject_ts))).otherwise(
-        sum((p > F.lit(float(t))).cast("int") for t in reject_ts))
+    """Bin ids of a score; thresholds are compared as given (a reference that
+    builds its grid by repeated addition may lie one unit in the last place higher)."""
+    a = F.when(p.isNull(), F.lit(0)).otherwise(_rank_among(p, sorted(approve_ts), True))
+    r = F.when(p.isNull(), F.lit(len(reject_ts))).otherwise(_rank_among(p, sorted(reject_ts), False))
     return a, r
 
 

@@ -10,7 +10,6 @@ from ..plans.analysis_frame import manual_predicate
 from .globalrank import percent_rank_avg
 
 QUEUE_DEFAULT_LIMIT = 40
-QUEUE_MAX_LIMIT = 200
 HIGH_PRIORITY = 70.0
 MEDIUM_PRIORITY = 50.0
 
@@ -33,12 +32,19 @@ def review_queue(frame: DataFrame, approve: float = 0.75, reject: float = 0.25,
                  limit: int = QUEUE_DEFAULT_LIMIT) -> DataFrame:
     """Top-k manual cases (TakeOrderedAndProject: a per-partition top-k, then
     a merge of k rows per partition -- never a full sort)."""
-    k = max(1, min(int(limit), QUEUE_MAX_LIMIT))
-    top = (queue_candidates(frame, approve, reject)
-           .orderBy(F.col("policy_priority").desc(), F.col("processing_hours").desc(),
-                    F.col("loan_value").desc(), F.col("application_id").asc())
-           .limit(k))
-    return top.select(
+    return queue_columns(_top(queue_candidates(frame, approve, reject), limit))
+
+
+def _top(candidates: DataFrame, limit: int) -> DataFrame:
+    if int(limit) < 1:
+        raise ValueError("a queue needs a limit of at least 1")
+    return (candidates.orderBy(F.col("policy_priority").desc(), F.col("processing_hours").desc(),
+                               F.col("loan_value").desc(), F.col("application_id").asc()).limit(int(limit)))
+
+
+def queue_columns(candidates: DataFrame, *more: str) -> DataFrame:
+    return candidates.select(
+        *more,
         "application_id",
         F.round("policy_priority", 1).alias("priority"),
         "priority_reason",
@@ -56,17 +62,30 @@ def priority_band(c="priority"):
     return F.when(c >= HIGH_PRIORITY, "high").when(c >= MEDIUM_PRIORITY, "medium").otherwise("low")
 
 
-def queue_view(queue: DataFrame, search: str = "") -> DataFrame:
-    """Band, preset filters and case-insensitive search over a queue."""
+# Preset filters of a queue; a missing value never passes.
+PRESETS = {
+    "all": None,
+    "high_priority": lambda: F.round("policy_priority", 1) >= HIGH_PRIORITY,
+    "sla_breached": lambda: F.col("sla_breached"),
+    "document_friction": lambda: F.col("priority_reason") == "Document friction",
+}
+
+
+def matches(search: str):
+    """Case-insensitive search over the text fields of a case."""
     text = F.lower(F.concat_ws(" ", F.col("application_id").cast("string"), "channel",
                                "priority_reason", "property_area", "analyst"))
-    return queue.select(
-        "*",
-        priority_band("priority").alias("priority_band"),
-        (F.col("priority") >= HIGH_PRIORITY).alias("preset_high_priority"),
-        F.col("sla_breached").alias("preset_sla_breached"),
-        (F.col("priority_reason") == "Document friction").alias("preset_document_friction"),
-        text.contains(search.lower()).alias("search_match"))
+    return text.contains(search.lower())
+
+
+def filtered_queue(frame: DataFrame, preset: str = "all", search: str = "", approve: float = 0.75,
+                   reject: float = 0.25, limit: int = QUEUE_DEFAULT_LIMIT) -> DataFrame:
+    """Top-k of the manual cases that pass a preset and a search.  All manual
+    cases are filtered, then ranked, so a match is found whatever its rank."""
+    found = queue_candidates(frame, approve, reject).where(matches(search))
+    if PRESETS[preset] is not None:
+        found = found.where(PRESETS[preset]())
+    return queue_columns(_top(found, limit)).withColumn("priority_band", priority_band("priority"))
 
 
 def case_records(frame: DataFrame, requests: DataFrame, id_col: str = "application_id") -> DataFrame:
@@ -100,13 +119,15 @@ def case_records(frame: DataFrame, requests: DataFrame, id_col: str = "applicati
     return out.withColumn("found", F.coalesce(F.col("found"), F.lit(False)))
 
 
-def case_record_nested(flat: DataFrame, id_col: str = "application_id") -> DataFrame:
-    """The nested form: ``applicant`` and ``audit`` structs."""
+def case_record_nested(flat: DataFrame, model: str, version: str) -> DataFrame:
+    """The nested form: ``applicant`` and ``audit`` structs; the audit names
+    the model and its version."""
     app_cols = [c for c in flat.columns if c.startswith("applicant_")]
     rest = [c for c in flat.columns if c not in app_cols]
     return flat.select(
         *rest,
         F.struct(*[F.col(c).alias(c[len("applicant_"):]) for c in app_cols]).alias("applicant"),
-        F.struct(F.lit("historical loan approval").alias("source_target"),
+        F.struct(F.lit(model).alias("model"), F.lit(version).alias("model_version"),
+                 F.lit("historical loan approval").alias("source_target"),
                  F.array(*[F.lit(x) for x in ("channel", "created_at", "analyst", "processing_hours",
                                               "sla_hours")]).alias("simulation_fields")).alias("audit"))

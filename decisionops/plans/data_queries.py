@@ -74,11 +74,14 @@ def dataset_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     v1 = applications_v1(spark, sf_dir)
     v2 = cl.normalize(applications_v2_raw(spark, sf_dir))
     scoring_input = v1.select("application_id", *V1_PREDICTORS)
-    forb = va.dataset_checks(scoring_input, va.Expectation("v1_scoring", ("application_id", *V1_PREDICTORS),
-                                                            forbidden=("gender",)))
+    # the scoring contract is closed: with the whole table as input, gender and the label are refused
+    contract = va.Expectation("v1_scoring", ("application_id", *V1_PREDICTORS), forbidden=("gender",), optional=())
+    forb = va.dataset_checks(scoring_input, contract)
+    extra = va.dataset_checks(v1, replace(contract, name="v1_table_as_scoring_input"))
     return (va.dataset_checks(v1, replace(V1_EXPECT, forbidden=()))
             .unionByName(va.dataset_checks(v2, V2_EXPECT))
-            .unionByName(forb.where(F.col("check").endswith("forbidden_columns"))))
+            .unionByName(forb.where(F.col("check").endswith("_columns")))
+            .unionByName(extra.where(F.col("check").endswith("_columns"))))
 
 
 def quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +107,7 @@ def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, FINGERPRINT_TABLE, spread=False).select(
+    o = read_table(spark, sf_dir, FINGERPRINT_TABLE).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
         F.floor(F.col("o_totalprice") * 100 + 0.5).cast("long").alias("cents"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
@@ -234,15 +237,19 @@ SELECT '{name}.required_columns' AS "check", true AS passed, '' AS detail
 UNION ALL SELECT '{name}.forbidden_columns', true, ''
 UNION ALL SELECT '{name}.row_count', count(*) >= {min_rows}, CAST(count(*) AS VARCHAR) FROM {src}
 UNION ALL SELECT '{name}.label_domain', count_if(trim(loan_status) IS NOT NULL AND trim(loan_status) NOT IN ({al})) = 0,
-  (SELECT coalesce(string_agg(l, ',' ORDER BY l), '') FROM (
-     SELECT DISTINCT trim(loan_status) AS l FROM {src}
-     WHERE trim(loan_status) IS NOT NULL AND trim(loan_status) NOT IN ({al}) ORDER BY l LIMIT 20))
-  FROM {src}
+  CAST(count_if(trim(loan_status) IS NOT NULL AND trim(loan_status) NOT IN ({al})) AS VARCHAR) FROM {src}
+UNION ALL SELECT '{name}.unexpected_label', false, trim(loan_status) || ': ' || CAST(count(*) AS VARCHAR) FROM {src}
+  WHERE trim(loan_status) IS NOT NULL AND trim(loan_status) NOT IN ({al}) GROUP BY trim(loan_status)
 UNION ALL SELECT '{name}.unmapped_labels', count_if(NOT coalesce(trim(loan_status) IN ({al}), false)) = 0,
   CAST(count_if(NOT coalesce(trim(loan_status) IN ({al}), false)) AS VARCHAR) FROM {src}"""
     return ("WITH " + SQL_APPLICATIONS_BOTH + _sql_clean_ctes() + label_checks("v1", "applications_v1", ("Y", "N"), V1_EXPECT.min_rows)
             + "\nUNION ALL" + label_checks("v2", "norm", tuple(cl.TARGET_MAP), V2_EXPECT.min_rows)
-            + "\nUNION ALL SELECT 'v1_scoring.forbidden_columns', true, ''")
+            + "".join(f"\nUNION ALL SELECT '{t}.{c}', {ok}, '{d}'" for t, c, ok, d in (
+                ("v1_scoring", "required_columns", "true", ""), ("v1_scoring", "forbidden_columns", "true", ""),
+                ("v1_scoring", "unknown_columns", "true", ""),
+                ("v1_table_as_scoring_input", "required_columns", "true", ""),
+                ("v1_table_as_scoring_input", "forbidden_columns", "false", "gender"),
+                ("v1_table_as_scoring_input", "unknown_columns", "false", "gender,loan_status"))))
 
 
 def sql_quality_profile() -> str:

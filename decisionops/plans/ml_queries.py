@@ -114,7 +114,7 @@ def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _train(spark, sf_dir)
     sizes = t.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("split") == "dev").alias("dev_rows"),
                   F.count_if(F.col("split") == "test").alias("test_rows"))
-    o = read_table(spark, sf_dir, "orders", spread=False).select("o_orderkey", "o_custkey", "o_orderstatus")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     fp = pr.row_fingerprint(o, o.columns).select(F.col("fingerprint").alias("source_fingerprint"))
     return sizes.crossJoin(fp).select(
         "*", F.lit(cv.SPLIT_SEED).alias("split_seed"), F.lit(cv.FOLD_SEED).alias("fold_seed"),

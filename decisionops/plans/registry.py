@@ -18,9 +18,5 @@ _MODULES = [
 def registry() -> dict:
     out: dict = {}
     for m in _MODULES:
-        try:
-            mod = importlib.import_module(m)
-        except ImportError:  # pragma: no cover - optional module
-            continue
-        out.update(mod.QUERIES)
+        out.update(importlib.import_module(m).QUERIES)
     return out

@@ -15,6 +15,7 @@ from .policy_queries import _policies_values, brute_policy_sql
 
 QUEUE_SEARCH = "analyst b"
 ALL_DIMS = list(seg.DIMENSIONS)
+CASE_MODEL, CASE_MODEL_VERSION = "scorecard_v1", "1"
 
 
 # ------------------------------------------------------------------ Spark
@@ -40,8 +41,13 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    qu = q.review_queue(analysis_frame(spark, sf_dir), 0.75, 0.25, q.QUEUE_MAX_LIMIT)
-    return q.queue_view(qu, QUEUE_SEARCH)
+    """The searched queue under every preset, one after the other."""
+    f = analysis_frame(spark, sf_dir)
+    out = None
+    for preset in q.PRESETS:
+        one = q.filtered_queue(f, preset, QUEUE_SEARCH).withColumn("preset", F.lit(preset))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def priority_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +70,29 @@ def case_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.case_records(analysis_frame(spark, sf_dir), req)
 
 
+def case_records_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = case_records(spark, sf_dir).where("found").drop("found")
+    n = q.case_record_nested(flat, CASE_MODEL, CASE_MODEL_VERSION)
+    return n.select("application_id", "priority_reason", "applicant.property_area", F.col("applicant.loan_amount_thousands"),
+                    "audit.model", "audit.model_version", "audit.source_target",
+                    F.array_join("audit.simulation_fields", ",").alias("simulation_fields"))
+
+
+def cases_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested ids that no application has (the anti-join form of the lookup)."""
+    req = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("application_id")).distinct()
+    return req.join(analysis_frame(spark, sf_dir).select("application_id"), "application_id", "left_anti")
+
+
+def decision_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applications and share of every route."""
+    g = analysis_frame(spark, sf_dir).groupBy(F.col("baseline_route").alias("route")).agg(
+        F.count(F.lit(1)).alias("applications"))
+    total = g.agg(F.sum("applications").alias("_t"))
+    return g.crossJoin(F.broadcast(total)).select(
+        "route", "applications", F.round(F.col("applications") / F.col("_t"), 6).alias("share"))
+
+
 def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = analysis_frame(spark, sf_dir)
     return f.agg(
@@ -95,8 +124,8 @@ def analysis_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = analysis_frame(spark, sf_dir)
     k = pol.policy_metrics(f, 0.75, 0.25)
     segs = seg.segment_metrics(f, "channel")
-    top = segs.agg(F.max_by(F.struct("segment", "manual_review_rate", "avg_processing_hours"),
-                            F.struct("opportunity_score", "applications", "segment")).alias("t"))
+    top = segs.agg(F.min_by(F.struct("segment", "manual_review_rate", "avg_processing_hours"),
+                            F.struct(-F.col("opportunity_score"), -F.col("applications"), "segment")).alias("t"))
     hp = f.agg(F.count_if(F.col("priority_score") >= q.HIGH_PRIORITY).alias("high_priority"))
     one = k.crossJoin(top).crossJoin(hp)
     s1 = F.concat(F.lit("At thresholds 0.75 / 0.25, "), _f(F.col("auto_decision_rate") * 100, 1),
@@ -227,6 +256,13 @@ UNION ALL SELECT 5, '{st[4]}', n4, round(n4 / n0, 6) FROM c)
 SELECT *, round(count / greatest(max(count) OVER (), 1), 6) AS relative_to_max FROM f"""
 
 
+_QUEUE_COLUMNS = """application_id, round(policy_priority, 1) AS priority, priority_reason,
+    round(approval_probability, 6) AS approval_probability, round(loan_value, 2) AS loan_value,
+    channel, property_area, round(document_completeness, 6) AS document_completeness,
+    round(processing_hours, 2) AS processing_hours, sla_breached, analyst,
+    CASE WHEN historical_approved THEN 'Approved' ELSE 'Rejected' END AS historical_outcome"""
+
+
 def _queue_sql(limit: int) -> str:
     rt = route_sql("approval_probability", 0.75, 0.25)
     return f"""
@@ -242,13 +278,9 @@ pq AS (
   FROM ranked
 ),
 queue AS (
-  SELECT application_id, round(policy_priority, 1) AS priority, priority_reason,
-    round(approval_probability, 6) AS approval_probability, round(loan_value, 2) AS loan_value,
-    channel, property_area, round(document_completeness, 6) AS document_completeness,
-    round(processing_hours, 2) AS processing_hours, sla_breached, analyst,
-    CASE WHEN historical_approved THEN 'Approved' ELSE 'Rejected' END AS historical_outcome
+  SELECT {_QUEUE_COLUMNS}
   FROM pq
-  ORDER BY policy_priority DESC, processing_hours DESC, loan_value DESC, application_id ASC
+  ORDER BY policy_priority DESC, pq.processing_hours DESC, pq.loan_value DESC, application_id ASC
   LIMIT {limit}
 )"""
 
@@ -263,16 +295,16 @@ def sql_review_queue() -> str:
 
 
 def sql_queue_filters() -> str:
-    s = QUEUE_SEARCH.lower()
-    return "WITH " + analysis_frame_sql() + "," + _queue_sql(q.QUEUE_MAX_LIMIT) + f"""
-SELECT *,
-  CASE WHEN priority >= 70.0 THEN 'high' WHEN priority >= 50.0 THEN 'medium' ELSE 'low' END AS priority_band,
-  priority >= 70.0 AS preset_high_priority,
-  sla_breached AS preset_sla_breached,
-  priority_reason = 'Document friction' AS preset_document_friction,
-  contains(lower(concat_ws(' ', CAST(application_id AS VARCHAR), channel, priority_reason, property_area, analyst)),
-           '{s}') AS search_match
-FROM queue"""
+    text = "lower(concat_ws(' ', CAST(application_id AS VARCHAR), channel, priority_reason, property_area, analyst))"
+    presets = {"all": "true", "high_priority": "round(policy_priority, 1) >= 70.0", "sla_breached": "sla_breached",
+               "document_friction": "priority_reason = 'Document friction'"}
+    parts = [f"""SELECT * FROM (SELECT '{name}' AS preset, {_QUEUE_COLUMNS},
+  CASE WHEN round(policy_priority, 1) >= 70.0 THEN 'high' WHEN round(policy_priority, 1) >= 50.0 THEN 'medium'
+       ELSE 'low' END AS priority_band
+  FROM pq WHERE contains({text}, '{QUEUE_SEARCH.lower()}') AND {cond}
+  ORDER BY policy_priority DESC, pq.processing_hours DESC, pq.loan_value DESC, application_id ASC
+  LIMIT {q.QUEUE_DEFAULT_LIMIT})""" for name, cond in presets.items()]
+    return "WITH " + analysis_frame_sql() + "," + _queue_sql(1) + "\n" + "\nUNION ALL\n".join(parts)
 
 
 def sql_priority_scores() -> str:
@@ -306,6 +338,27 @@ SELECT r.application_id,
 FROM req r LEFT JOIN analysis a ON r.application_id = a.application_id"""
 
 
+def sql_case_records_nested() -> str:
+    return "WITH flat AS (" + sql_case_records() + f""")
+SELECT application_id, priority_reason, applicant_property_area AS property_area,
+  applicant_loan_amount_thousands AS loan_amount_thousands, '{CASE_MODEL}' AS model,
+  '{CASE_MODEL_VERSION}' AS model_version, 'historical loan approval' AS source_target,
+  'channel,created_at,analyst,processing_hours,sla_hours' AS simulation_fields
+FROM flat WHERE found"""
+
+
+def sql_cases_not_found() -> str:
+    return "WITH " + analysis_frame_sql() + """
+SELECT DISTINCT user_id AS application_id FROM events
+WHERE NOT EXISTS (SELECT 1 FROM analysis a WHERE a.application_id = user_id)"""
+
+
+def sql_decision_mix() -> str:
+    return "WITH " + analysis_frame_sql() + """
+SELECT baseline_route AS route, count(*) AS applications,
+  round(count(*) / (SELECT count(*) FROM analysis), 6) AS share FROM analysis GROUP BY 1"""
+
+
 def sql_dataset_summary() -> str:
     return "WITH " + analysis_frame_sql() + f"""
 SELECT count(*) AS applications, count_if(historical_approved) AS historical_approvals,
@@ -333,7 +386,7 @@ def sql_analysis_summary() -> str:
     k = brute_policy_sql(_policies_values([(0, 0.75, 0.25, 1, 6.0, 1.0)]))
     return "WITH " + analysis_frame_sql() + "," + k + "," + _segments_sql(["channel"]) + f""",
 top AS (SELECT segment, manual_review_rate AS top_manual, avg_processing_hours AS top_hours FROM segs
-        ORDER BY opportunity_score DESC, applications DESC, segment DESC LIMIT 1),
+        ORDER BY opportunity_score DESC, applications DESC, segment ASC LIMIT 1),
 hp AS (SELECT count_if(priority_score >= 70.0) AS high_priority FROM analysis),
 one AS (SELECT * FROM kpis CROSS JOIN hp LEFT JOIN top ON true)
 SELECT 1 AS seq, 'At thresholds 0.75 / 0.25, ' || {_p('auto_decision_rate * 100', 1)}
@@ -375,6 +428,9 @@ QUERIES = {
     "queue_filters": (queue_filters, sql_queue_filters),
     "priority_scores": (priority_scores, sql_priority_scores),
     "case_records": (case_records, sql_case_records),
+    "case_records_nested": (case_records_nested, sql_case_records_nested),
+    "cases_not_found": (cases_not_found, sql_cases_not_found),
+    "decision_mix": (decision_mix, sql_decision_mix),
     "dataset_summary": (dataset_summary, sql_dataset_summary),
     "reporting_period": (reporting_period, sql_reporting_period),
     "analysis_summary": (analysis_summary, sql_analysis_summary),

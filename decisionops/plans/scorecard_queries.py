@@ -77,8 +77,15 @@ def ensemble_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(F.when(appr, F.col("p")).otherwise(1.0 - F.col("p")), 6).alias("confidence"))
 
 
+def _dev_rows(rows: DataFrame) -> DataFrame:
+    """Rows of the development split (the holdout is never looked at)."""
+    y = rows.withColumn("y", (F.trim(F.col("loan_status")) == "Y").cast("int"))
+    s = sp.stratified_split(y.select("application_id", "y"), "application_id", "y", TEST_SIZE, SPLIT_SEED)
+    return y.join(s.where(F.col("split") == "dev").select("application_id"), "application_id")
+
+
 def _baseline_row(spark, sf_dir) -> DataFrame:
-    a = applications_v1(spark, sf_dir).withColumn(
+    a = _dev_rows(applications_v1(spark, sf_dir)).withColumn(
         "credit_history", F.col("credit_history").cast("int").cast("string"))
     bl_long = ev.feature_baselines(a, V1_CATEGORICAL, V1_NUMERIC_RAW)
     return bl_long.agg(*[F.max(F.when(F.col("feature") == f, F.col("category" if f in V1_CATEGORICAL
@@ -113,11 +120,9 @@ def local_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # each variant score is evaluated once, as a column of one projection
     x = x.select("application_id", *[(F.col("p") - variant_p(f)).alias(f"d_{f}") for f in V1_PREDICTORS])
-    items = [F.struct(F.abs(fround(F.col(f"d_{f}"), 9)).alias("mag"), F.lit(f).alias("feature"),
+    items = [F.struct((-F.abs(fround(F.col(f"d_{f}"), 9))).alias("mag"), F.lit(f).alias("feature"),
                       F.col(f"d_{f}").alias("delta")) for f in V1_PREDICTORS]
-    srt = F.array_sort(F.array(*items), lambda a, b: F.when(a.mag > b.mag, -1).when(a.mag < b.mag, 1)
-                       .when(a.feature < b.feature, -1).when(a.feature > b.feature, 1).otherwise(0))
-    top = F.slice(srt, 1, TOP_FACTORS)
+    top = F.slice(F.sort_array(F.array(*items)), 1, TOP_FACTORS)       # largest first, then by name
     return (x.select("application_id", F.posexplode(top).alias("pos", "v"))
              .select("application_id", (F.col("pos") + 1).cast("long").alias("rank"),
                      F.col("v.feature").alias("feature"), F.round("v.delta", 6).alias("delta")))
@@ -195,25 +200,35 @@ def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.join(a, ["model", "fold"]).select("model", "fold", "accuracy", "balanced_accuracy", "auc", "f1")
 
 
+def _leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.mean_std_over_folds(fold_metrics(spark, sf_dir), ["model"],
+                                  ["accuracy", "balanced_accuracy", "auc", "f1"])
+
+
+def _rounded(leaders: DataFrame) -> list:
+    return ["model", *[F.round(c, 6).alias(c) for c in leaders.columns if c != "model"]]
+
+
 def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = ev.mean_std_over_folds(fold_metrics(spark, sf_dir), ["model"],
-                               ["accuracy", "balanced_accuracy", "auc", "f1"])
-    return s.select("model", *[F.round(c, 6).alias(c) for c in s.columns if c != "model"]) \
-            .orderBy(F.col("auc_mean").desc(), F.col("balanced_accuracy_mean").desc(), "model")
+    s = _leaders(spark, sf_dir)
+    return s.orderBy(F.col("auc_mean").desc(), F.col("balanced_accuracy_mean").desc(), "model").select(*_rounded(s))
+
+
+def pick_champion(leaders: DataFrame) -> DataFrame:
+    """The first row in leaderboard order (unrounded metrics; on a tie the
+    smaller name)."""
+    first = F.min_by(F.struct(*leaders.columns), F.struct(-F.col("auc_mean"), -F.col("balanced_accuracy_mean"), "model"))
+    return leaders.agg(first.alias("c")).select("c.*").where(F.col("model").isNotNull())
 
 
 def champion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lb = leaderboard(spark, sf_dir).where(F.col("model").isin(*CHAMPION_FAMILY))
-    return lb.agg(F.max_by(F.struct(*lb.columns), F.struct("auc_mean", "balanced_accuracy_mean",
-                                                          F.col("model"))).alias("c")).select("c.*") \
-             .where(F.col("model").isNotNull())
+    c = pick_champion(_leaders(spark, sf_dir).where(F.col("model").isin(*CHAMPION_FAMILY)))
+    return c.select(*_rounded(c))
 
 
 def blend_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights + threshold chosen on dev rows only (the test split is held out)."""
-    b = _base(spark, sf_dir).withColumn("y", (F.trim(F.col("loan_status")) == "Y").cast("int"))
-    s = sp.stratified_split(b.select("application_id", "y"), "application_id", "y", TEST_SIZE, SPLIT_SEED)
-    dev = b.join(s.where(F.col("split") == "dev").select("application_id"), "application_id")
+    dev = _dev_rows(_base(spark, sf_dir))
     members = [f"p_{sc.name}" for sc in CANDIDATES]
     dev = dev.select("y", *[probability(sc).alias(f"p_{sc.name}") for sc in CANDIDATES])
     r = bl.blend_search(dev, members, "y")
@@ -263,10 +278,16 @@ def _baselines_sql() -> str:
     cats = []
     for c in V1_CATEGORICAL:
         v = f"CAST(CAST({c} AS INTEGER) AS VARCHAR)" if c == "credit_history" else f"CAST({c} AS VARCHAR)"
-        cats.append(f"""coalesce((SELECT v FROM (SELECT {v} AS v, count(*) AS c FROM applications_v1
+        cats.append(f"""coalesce((SELECT v FROM (SELECT {v} AS v, count(*) AS c FROM dev_rows
             WHERE {c} IS NOT NULL GROUP BY 1) ORDER BY c DESC, v ASC LIMIT 1), 'Unknown') AS b_{c}""")
-    nums = [f"(SELECT coalesce(quantile_cont({c}, 0.5), 0.0) FROM applications_v1) AS b_{c}" for c in V1_NUMERIC_RAW]
-    return f",\nbase AS (SELECT {', '.join(cats + nums)})"
+    nums = [f"(SELECT coalesce(quantile_cont({c}, 0.5), 0.0) FROM dev_rows) AS b_{c}" for c in V1_NUMERIC_RAW]
+    return f""",
+dev_rows AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY trim(loan_status) = 'Y'
+              ORDER BY {sp.order_key_sql('application_id', SPLIT_SEED)}, application_id) - 1 AS rn_,
+            count(*) OVER (PARTITION BY trim(loan_status) = 'Y') AS n_ FROM applications_v1)
+  WHERE NOT (rn_ < floor(n_ * {TEST_SIZE} + 0.5))),
+base AS (SELECT {', '.join(cats + nums)})"""
 
 
 def sql_local_sensitivity() -> str:
@@ -348,20 +369,20 @@ fm AS (SELECT c.model, c.fold,
                    / ((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END) + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END))
               ELSE 0.0 END AS f1
        FROM c JOIN au USING (model, fold)),
-lb AS (SELECT model, """ + ", ".join(
+lb AS (SELECT model, avg(auc) AS auc_key, avg(balanced_accuracy) AS balanced_key, """ + ", ".join(
         f"round(avg({m}), 6) AS {m}_mean, round(stddev_pop({m}), 6) AS {m}_std"
         for m in ("accuracy", "balanced_accuracy", "auc", "f1")) + " FROM fm GROUP BY model)"
 
 
 def sql_leaderboard() -> str:
-    return "WITH " + SQL_APPLICATIONS_V1 + _FEAT_SQL + _fold_sql() + "\nSELECT * FROM lb"
+    return "WITH " + SQL_APPLICATIONS_V1 + _FEAT_SQL + _fold_sql() + "\nSELECT * EXCLUDE (auc_key, balanced_key) FROM lb"
 
 
 def sql_champion() -> str:
     fam = ", ".join(f"'{m}'" for m in CHAMPION_FAMILY)
     return "WITH " + SQL_APPLICATIONS_V1 + _FEAT_SQL + _fold_sql() + f"""
-SELECT * FROM lb WHERE model IN ({fam})
-ORDER BY auc_mean DESC, balanced_accuracy_mean DESC, model DESC LIMIT 1"""
+SELECT * EXCLUDE (auc_key, balanced_key) FROM lb WHERE model IN ({fam})
+ORDER BY auc_key DESC, balanced_key DESC, model ASC LIMIT 1"""
 
 
 def sql_blend_search() -> str:
@@ -417,41 +438,53 @@ PERMUTATION_REPEATS = 3
 
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop in holdout accuracy when one raw predictor is permuted, mean and
-    population std over repeats.  Repeat r: the row at position i in id
-    order receives feature f from the row at position i in md5(id:r) order.
-    Both orders are distributed ranks (no global window); all (f, r)
-    variants are one long table scored by one projection."""
+    population std over repeats.  Every (feature f, repeat r) has a permutation
+    of its own: the row at position i in id order receives f from the row at
+    position i in md5(id:f:r) order.  Only narrow donor rows (one value) are
+    ranked and shuffled; they are pivoted to one row per (repeat, position),
+    which joins each holdout row once per repeat, and the ten variants of a
+    row are scored as columns.  All orders are distributed ranks."""
+    import uuid
+
     from ..operators.globalrank import running_before, value_counts
+    from ..session import materialize
     sc = DEFAULT_SCORECARD
     b = applications_v1(spark, sf_dir).withColumn("y", (F.trim(F.col("loan_status")) == "Y").cast("int"))
     s = sp.stratified_split(b.select("application_id", "y"), "application_id", "y", TEST_SIZE, SPLIT_SEED)
     t = b.join(s.where(F.col("split") == "test").select("application_id"), "application_id")
     ids = running_before(value_counts(t, "application_id"), "application_id", ["_cnt"])
     t = t.join(ids.select("application_id", F.col("_cnt_before").alias("pos")), "application_id")
-    # holdout rows with their id position: written once, read by the donor
-    # side, the recipient side and the base accuracy
-    import uuid
-    from ..session import materialize
     t = materialize(t, "permutation_holdout", (uuid.uuid4().hex,))
-    # one random order per repeat (md5 of "id:repeat"), shared by the features
-    # of that repeat: each feature is still permuted and scored on its own
-    reps = spark.range(PERMUTATION_REPEATS).select(F.col("id").cast("int").alias("repeat"))
-    tr = t.crossJoin(F.broadcast(reps)).withColumn(
-        "_pid", F.concat_ws(":", F.col("application_id").cast("string"), F.col("repeat").cast("string")))
-    ranked = sp.stratified_rank(tr, "_pid", "repeat", "perm")
-    donors = ranked.select("repeat", F.col("_rank").alias("pos"), F.struct(*V1_PREDICTORS).alias("d"))
-    combos = spark.createDataFrame([(f, r) for f in V1_PREDICTORS for r in range(PERMUTATION_REPEATS)],
-                                   "feature string, repeat int")
-    x = t.crossJoin(F.broadcast(combos))
-    rec = x.join(donors, ["repeat", "pos"])
-    cols = [F.when(F.col("feature") == g, F.col(f"d.{g}")).otherwise(F.col(g)).alias(g) for g in V1_PREDICTORS]
-    v = add_v1_features(rec.select("feature", "repeat", "y", *cols))
-    correct = ((probability(sc) >= 0.5).cast("int") == F.col("y"))
-    acc = v.groupBy("feature", "repeat").agg(F.count_if(correct).alias("c"), F.count(F.lit(1)).alias("n"))
-    tb = add_v1_features(t)
-    base = tb.agg(F.count_if(((probability(sc) >= 0.5).cast("int") == F.col("y"))).alias("bc"))
+    reps = [F.lit(r) for r in range(PERMUTATION_REPEATS)]
+    text = {f for f, kind in t.dtypes if kind == "string"}
+    donors = [F.struct(F.lit(f).alias("feature"), r.alias("repeat"),
+                       (F.col(f) if f in text else F.lit(None).cast("string")).alias("s"),
+                       (F.lit(None).cast("double") if f in text else F.col(f).cast("double")).alias("d"))
+              for f in V1_PREDICTORS for r in reps]
+    narrow = (t.select("application_id", F.explode(F.array(*donors)).alias("e")).select("application_id", "e.*")
+              .withColumn("_pid", F.concat_ws(":", F.col("application_id").cast("string"), "feature",
+                                              F.col("repeat").cast("string")))
+              .withColumn("_of", F.concat_ws(":", "feature", F.col("repeat").cast("string"))))
+    ranked = sp.stratified_rank(narrow, "_pid", "_of", "perm")
+    pivot = ranked.groupBy("repeat", F.col("_rank").alias("pos")).agg(
+        *[F.max(F.when(F.col("feature") == f, F.col("s" if f in text else "d"))).alias(f"d_{f}") for f in V1_PREDICTORS])
+    x = (t.select("pos", "y", *V1_PREDICTORS, F.explode(F.array(*reps)).alias("repeat"))
+         .join(pivot, ["repeat", "pos"]))
+
+    def right(cols):
+        total = F.coalesce(cols["applicant_income"], F.lit(0.0)) + F.coalesce(cols["coapplicant_income"], F.lit(0.0))
+        loan = cols["loan_amount"]
+        cols = dict(cols, log_total_income=F.log(F.lit(1.0) + F.when(total < 0, F.lit(0.0)).otherwise(total)),
+                    log_loan_amount=F.log(F.lit(1.0) + F.when(loan < 0, F.lit(0.0)).otherwise(loan)))
+        return (_probability_of(sc, cols) >= 0.5).cast("int") == F.col("y")
+
+    own = {g: F.col(g) for g in V1_PREDICTORS}
+    counts = x.groupBy("repeat").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(right(own)).alias("bc"),
+        *[F.count_if(right(dict(own, **{f: F.col(f"d_{f}")}))).alias(f"c_{f}") for f in V1_PREDICTORS])
+    per = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"c_{f}").alias("c")) for f in V1_PREDICTORS])
     # drops as integer counts: the mean is exact in any engine
-    d = acc.crossJoin(F.broadcast(base)).withColumn("dc", F.col("bc") - F.col("c"))
+    d = counts.select("n", "bc", F.explode(per).alias("e")).select("e.feature", "n", (F.col("bc") - F.col("e.c")).alias("dc"))
     out = d.groupBy("feature").agg((F.sum("dc") / (F.count(F.lit(1)) * F.max("n"))).alias("m"),
                                    F.stddev_pop(F.col("dc") / F.col("n")).alias("s"))
     return (out.select("feature", (F.round("m", 6) + F.lit(0.0)).alias("importance_mean"),
@@ -464,7 +497,7 @@ def sql_permutation_importance() -> str:
     combos = ", ".join(f"('{f}', {r})" for f in V1_PREDICTORS for r in range(PERMUTATION_REPEATS))
     dcols = ", ".join(f"{g} AS d_{g}" for g in V1_PREDICTORS)
     rcols = ", ".join(f"CASE WHEN x.feature = '{g}' THEN d.d_{g} ELSE x.{g} END AS {g}" for g in V1_PREDICTORS)
-    pid = "CAST(application_id AS VARCHAR) || ':' || CAST(repeat AS VARCHAR)"
+    pid = "CAST(application_id AS VARCHAR) || ':' || feature || ':' || CAST(repeat AS VARCHAR)"
     pkey = f"('0x' || substr(md5({pid} || ':perm'), 1, 15))::BIGINT"
     return "WITH " + SQL_APPLICATIONS_V1 + f""",
 lab AS (SELECT *, CAST(trim(loan_status) = 'Y' AS INTEGER) AS y FROM applications_v1),
@@ -473,11 +506,10 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sp.order_key_sql('a
 t AS (SELECT * EXCLUDE (rn, n), row_number() OVER (ORDER BY application_id) - 1 AS pos
       FROM rk WHERE rn < floor(n * {TEST_SIZE} + 0.5)),
 combos AS (SELECT * FROM (VALUES {combos}) AS c(feature, repeat)),
-reps AS (SELECT CAST(range AS INTEGER) AS repeat FROM range({PERMUTATION_REPEATS})),
-tr AS (SELECT t.*, reps.repeat FROM t CROSS JOIN reps),
-d AS (SELECT repeat, row_number() OVER (PARTITION BY repeat ORDER BY {pkey}, {pid}) - 1 AS pos, {dcols} FROM tr),
 x AS (SELECT t.*, c.feature, c.repeat FROM t CROSS JOIN combos c),
-rec AS (SELECT x.feature, x.repeat, x.y, {rcols} FROM x JOIN d USING (repeat, pos)),
+d AS (SELECT feature, repeat, row_number() OVER (PARTITION BY feature, repeat ORDER BY {pkey}, {pid}) - 1 AS pos, {dcols}
+      FROM x),
+rec AS (SELECT x.feature, x.repeat, x.y, {rcols} FROM x JOIN d USING (feature, repeat, pos)),
 rf1 AS (SELECT *, coalesce(applicant_income, 0.0) + coalesce(coapplicant_income, 0.0) AS total_income FROM rec),
 rf AS (SELECT *, ln(1.0 + {clip_sql('total_income', 0.0)}) AS log_total_income,
               ln(1.0 + {clip_sql('loan_amount', 0.0)}) AS log_loan_amount FROM rf1),

@@ -1 +1 @@
-from .tables import TABLES, read_table, register_views  # noqa: F401
+from .tables import TABLES, read_table  # noqa: F401

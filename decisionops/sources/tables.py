@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -13,50 +10,13 @@ TABLES = (
     "conversations",
 )
 
-# A single-file table with at least this many rows per core is spread.
-_MIN_ROWS_TO_SPREAD = 50_000
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one table.
-
-    A big table stored as one file with fewer row groups than the cluster has
-    cores would be scanned by one task, and all row-local work above the scan
-    would run there.  Such a table is spread by a hash of its first column.
-    A real dataset (a directory of many files) already scans as many splits
-    and is returned untouched; column pruning and filter push-down still
-    reach the scan below the exchange."""
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    if not spread:
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    groups, rows = _footer(path)
-    if groups is None or groups >= cores or rows < _MIN_ROWS_TO_SPREAD:
-        return df
-    return df.repartition(cores, df.columns[0])
-
-
-@lru_cache(maxsize=256)
-def _footer(path: str):
-    """(row groups, rows) of a single local parquet file; (None, 0) else."""
-    if not os.path.isfile(path):
-        return None, 0
-    try:
-        import pyarrow.parquet as pq
-        md = pq.ParquetFile(path).metadata
-        return md.num_row_groups, md.num_rows
-    except Exception:  # noqa: BLE001
-        return None, 0
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one table; column pruning and filter push-down reach the scan."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:

@@ -89,7 +89,48 @@ def test_case_record_nested_form(spark):
     f = analysis_frame(spark, SF_SMALL)
     req = spark.createDataFrame([(0,), (1,), (10 ** 12,)], "application_id long")
     flat = case_records(f, req)
-    rows = {r["application_id"]: r for r in case_record_nested(flat).collect()}
+    rows = {r["application_id"]: r for r in case_record_nested(flat, "scorecard_v1", "1").collect()}
     assert rows[10 ** 12]["found"] is False and rows[0]["found"] is True
     assert rows[0]["applicant"]["property_area"] is not None or rows[0]["applicant"]["income"] is not None
     assert "simulation_fields" in rows[0]["audit"].asDict()
+
+
+def test_thousand_thresholds(spark):
+    """Bins of many thresholds equal counting them."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from decisionops.operators.policy import bin_ids
+    rnd = random.Random(4)
+    a = sorted({round(rnd.uniform(0.5, 1), 6) for _ in range(1000)})
+    r = sorted({round(rnd.uniform(0, 0.5), 6) for _ in range(1000)})
+    ps = [None, 0.0, 1.0, *a[:40], *r[:40], *(rnd.random() for _ in range(200))]
+    ia, ir = bin_ids(F.col("p"), a, r)
+    rows = spark.createDataFrame([(p,) for p in ps], "p double").select("p", ia.alias("a"), ir.alias("r")).collect()
+    for x in rows:
+        if x.p is None:
+            assert (x.a, x.r) == (0, len(r))
+        else:
+            assert x.a == sum(t <= x.p for t in a) and x.r == sum(t < x.p for t in r)
+
+
+def test_ties_take_the_smaller_name(spark):
+    from decisionops.plans.scorecard_queries import pick_champion
+    lead = spark.createDataFrame([("b", 0.8, 0.7), ("a", 0.8, 0.7), ("c", 0.8, 0.6)],
+                                 "model string, auc_mean double, balanced_accuracy_mean double")
+    assert pick_champion(lead).first().model == "a"
+
+
+def test_queue_finds_matches_of_any_rank(spark):
+    from decisionops.operators import queue as q
+    from decisionops.plans.analysis_frame import analysis_frame
+    from tests.conftest import SF_SMALL
+    f = analysis_frame(spark, SF_SMALL)
+    all_of = q.filtered_queue(f, "all", "analyst b", limit=10**6)
+    low = all_of.orderBy("priority").first()
+    found = q.filtered_queue(f, "all", str(low.application_id), limit=5).collect()
+    assert low.application_id in {r.application_id for r in found} and all_of.count() > 200
+    import pytest
+    with pytest.raises(ValueError):
+        q.review_queue(f, limit=0)
