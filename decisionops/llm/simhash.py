@@ -8,8 +8,10 @@ index would need three).  Every segment is indexed under its one-wildcard
 variants (one bit position deleted), so segments within one bit share an
 entry, which is an equality key; matches are verified by the bit distance.
 
-Index entries are grouped by key.  An entry with two distinct fingerprints is
-verified from its minimum and maximum, in the same partial aggregation.  The
+Index entries are grouped by key.  All variants that delete a bit of the same
+byte share the rest of their segment, so a fingerprint is shuffled once per
+byte, and its variants are made and grouped where that part has gone.  An entry
+with two distinct fingerprints is verified from its minimum and maximum.  The
 fingerprints of an entry with three or more (crowded: a group of near copies
 that share a segment) are linked by the exact, linear form of the same idea
 for the whole fingerprint: two values are within 2j bits when they share a
@@ -86,38 +88,50 @@ def fingerprint_column(text_col: str, shingle: int = SHINGLE) -> Column:
     return simhash(F.col(text_col))
 
 
-def variant_keys(fp: str, max_bits: int = MAX_BITS) -> Column:
-    """One key per segment and deleted bit position.  The key packs segment
-    number, position and the segment's other bits into a long."""
-    segments = max_bits // 2 + 1
-    width = -(-64 // segments)
+def _field(fp: str, low: int, n: int) -> Column:
+    return F.shiftrightunsigned(F.col(fp), low).bitwiseAND(F.lit((1 << n) - 1))
+
+
+def shared_parts(fp: str) -> Column:
+    """For every segment of 32 bits and every byte of it: the segment's other
+    24 bits, tagged with segment and byte.  A segment that differs in one bit
+    is equal in three bytes, so all one-wildcard variants that delete a bit of
+    the fourth have this part in common: they are dealt out by it, once."""
     keys = []
-    for s in range(segments):
-        n = min(width, 64 - s * width)
-        seg = F.shiftrightunsigned(F.col(fp), s * width).bitwiseAND(F.lit((1 << n) - 1))
-        for p in range(n):
-            tag = (s * width + p) << (n if n < 57 else 57)
-            keys.append(seg.bitwiseAND(F.lit(((1 << n) - 1) ^ (1 << p))).bitwiseOR(F.lit(tag)))
+    for seg in range(2):
+        whole = _field(fp, 32 * seg, 32)
+        for byte in range(4):
+            rest = whole.bitwiseAND(F.lit(0xFFFFFFFF ^ (0xFF << 8 * byte)))
+            keys.append(F.struct(F.lit((seg << 2 | byte) << 32).bitwiseOR(rest).alias("part"),
+                                 _field(fp, 32 * seg + 8 * byte, 8).cast("int").alias("byte")))
     return F.array(*keys)
 
 
+def byte_variants(byte: str) -> Column:
+    """The one-wildcard variants of a byte: position and the other seven bits."""
+    return F.array(*[F.lit(p << 8).bitwiseOR(F.col(byte).bitwiseAND(F.lit(0xFF ^ (1 << p)))) for p in range(8)])
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``fps`` (fp: distinct longs) -> edges (a, b) whose components are those
     of the relation "differ in at most ``max_bits`` bits"."""
     if max_bits != 2:
-        raise ValueError("links are defined for a distance of two bits")
-    index = fps.select("fp", F.explode(variant_keys("fp", max_bits)).alias("key"))
-    entries = stored(index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"),
-                                              F.max("fp").alias("b")).where("n > 1"), "simhash_entries")
+        raise ValueError("the index is built for a distance of two bits")
+    parts = fps.select("fp", F.explode(shared_parts("fp")).alias("k")).select("fp", "k.part", "k.byte")
+    # grouping by (part, variant) needs no shuffle besides the one by part
+    index = parts.repartition("part").select("fp", "part", F.explode(byte_variants("byte")).alias("variant"))
+    entries = stored(index.groupBy("part", "variant").agg(
+        F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "simhash_entries")
     pairs = (entries.where((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
              .select("a", "b").distinct())
-    crowded = index.join(entries.where("n > 2").select("key"), "key", "left_semi").select("fp").distinct()
+    # every fingerprint of a part with a crowded entry takes the exact way for crowds
+    crowded = parts.join(entries.where("n > 2").select("part").distinct(), "part", "left_semi").select("fp").distinct()
     ball = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit((1 << p) - (1 << 64 if p == 63 else 0)))
                                   for p in range(64)))
-    near = crowded.select("fp", F.explode(ball).alias("near"))
-    hubs = near.groupBy("near").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a")).where("n > 1")
-    stars = (near.join(hubs, "near").where(F.col("fp") != F.col("a"))
-             .select("a", F.col("fp").alias("b")).distinct())
+    hubs = (crowded.select("fp", F.explode(ball).alias("near"))
+            .groupBy("near").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1))      # 65 at most
+    stars = (hubs.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
+             .where(F.col("a") != F.col("b")).distinct())
     return pairs.union(stars)
 
 
