@@ -68,6 +68,21 @@ def test_links_of_crowded_entries(spark, n_near):
     assert {x: got.get(x, x) for x in signed} == want
 
 
+@pytest.mark.parametrize("chunk", [7, 10**6])
+def test_components_of_chunks(spark, monkeypatch, chunk):
+    from decisionops.llm import components as cc
+    monkeypatch.setattr(cc, "CHUNK", chunk)
+    rnd = random.Random(chunk)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(rnd.randint(-50, 50), rnd.randint(-50, 50)) for _ in range(30)]
+    edges += [(500, 500 + i) for i in range(60)] + [(7, 7), (-3, -3)]
+    got = dict((r.node, r.root) for r in cc.connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    ids = sorted({x for e in edges for x in e})
+    joined = {frozenset(e) for e in edges}
+    want = components(ids, lambda a, b: frozenset((a, b)) in joined)
+    assert {x: got.get(x, x) for x in ids} == want
+    assert cc.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_keep_first(docs, no_docs):
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
