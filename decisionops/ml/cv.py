@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as ev
 from ..operators import split as sp
 from ..plans.fixtures import applications_v1
+from ..session import materialize
 from .candidates import FAMILIES, SEED, pipeline
 
 FOLDS_FAST, SPLIT_SEED, FOLD_SEED, TEST_SIZE = 3, 2026, 42, 0.2
@@ -50,14 +53,15 @@ def oof_predictions(train: DataFrame, families=FAMILIES, quality: str = "fast")
     fitted -- preprocessing included -- on the other folds."""
     dev = train.where(F.col("split") == "dev")
     folds = sorted(r[0] for r in dev.select("fold").distinct().collect())   # k values
-    parts = []
-    for name in families:
-        for k in folds:
-            model = pipeline(name, quality).fit(dev.where(F.col("fold") != k))
-            pred = _p1(model.transform(dev.where(F.col("fold") == k)))
-            parts.append(pred.select("application_id", F.lit(name).alias("model"), "fold",
-                                     F.col("label").cast("int").alias("y"), "p"))
-    return reduce(DataFrame.unionByName, parts)
+
+    def scored(job):
+        name, k = job
+        model = pipeline(name, quality).fit(dev.where(F.col("fold") != k))
+        pred = _p1(model.transform(dev.where(F.col("fold") == k)))
+        return pred.select("application_id", F.lit(name).alias("model"), "fold", F.col("label").cast("int").alias("y"), "p")
+
+    with ThreadPoolExecutor(4) as pool:                     # each fit is a distributed job of its own
+        return reduce(DataFrame.unionByName, pool.map(scored, [(n, k) for n in families for k in folds]))
 
 
 def benchmark(oof: DataFrame) -> DataFrame:
@@ -111,12 +115,7 @@ def holdout_eval(train: DataFrame, name: str, quality: str = "fast") -> DataFram
     test = train.where(F.col("split") == "test")
     model = pipeline(name, quality).fit(dev)
     pred = _p1(model.transform(test)).select(F.col("label").cast("int").alias("y"), "p")
+    pred = materialize(pred, "holdout_scores", (uuid.uuid4().hex,))       # three metrics read the scores
     m = ev.classification_metrics(pred, "y", "p", 0.5)
     return m.crossJoin(ev.auc(pred, "y", "p")).crossJoin(ev.brier(pred, "y", "p")) \
             .select(F.lit(name).alias("model"), "*")
-
-
-def merge_candidates(base: DataFrame, tuned: DataFrame, key: str = "model") -> DataFrame:
-    """Candidate table where a tuned entry replaces the untuned entry of the
-    same name (left-anti + union; both tables are one row per model)."""
-    return base.join(tuned.select(key), key, "left_anti").unionByName(tuned, allowMissingColumns=True)

@@ -82,8 +82,8 @@ def class_weights(df: DataFrame, y: str) -> DataFrame:
 
 
 def fairness_slices(df: DataFrame, y: str, score: str, attributes, threshold: float = 0.5,
-                    min_group: int = 10) -> DataFrame:
-    """Per (attribute, group): n, actual / predicted rate, mean score,
+                    min_group: int = 10, by=()) -> DataFrame:
+    """Per (attribute, group), and per value of the columns ``by``: n, actual / predicted rate, mean score,
     balanced accuracy (over classes present), recall(1), recall(0).  One
     aggregation over (attribute, group) pairs; groups under ``min_group``
     rows are dropped; a null group is 'Missing'."""
@@ -91,16 +91,16 @@ def fairness_slices(df: DataFrame, y: str, score: str, attributes, threshold: fl
                                          F.coalesce(F.col(a).cast("string"), F.lit("Missing")).alias("group"))
                                 for a in attributes]))
     pred = (F.col(score) >= threshold).cast("int")
-    x = df.select(pairs.alias("g"), F.col(y).alias("_y"), pred.alias("_p"), F.col(score).alias("_s"))
+    x = df.select(*by, pairs.alias("g"), F.col(y).alias("_y"), pred.alias("_p"), F.col(score).alias("_s"))
     yy, pp = F.col("_y") == 1, F.col("_p") == 1
-    g = x.groupBy(F.col("g.attribute").alias("attribute"), F.col("g.group").alias("group")).agg(
+    g = x.groupBy(*by, F.col("g.attribute").alias("attribute"), F.col("g.group").alias("group")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col("_y").cast("double")).alias("actual_rate"),
         F.avg(F.col("_p").cast("double")).alias("predicted_rate"), F.avg("_s").alias("mean_score"),
         F.count_if(~yy & ~pp).alias("tn"), F.count_if(~yy & pp).alias("fp"),
         F.count_if(yy & ~pp).alias("fn"), F.count_if(yy & pp).alias("tp"))
     _, bal, _, rec1, rec0, _ = metric_columns("present")
     return g.where(F.col("n") >= min_group).select(
-        "attribute", "group", "n", "actual_rate", "predicted_rate", "mean_score", bal, rec1, rec0)
+        *by, "attribute", "group", "n", "actual_rate", "predicted_rate", "mean_score", bal, rec1, rec0)
 
 
 def fairness_gaps(slices: DataFrame, attribute: str, groups=("Female", "Male")) -> DataFrame:

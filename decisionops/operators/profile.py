@@ -83,8 +83,17 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
 
 
 def row_fingerprint(df: DataFrame, cols) -> DataFrame:
-    """Order-free fingerprint: row count and XOR of a 60-bit md5 prefix of
-    each row's canonical text.  Equal for any partitioning or file order."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
-    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("fingerprint"))
+    """Order-free fingerprint: row count and sum of a 60-bit md5 prefix of each
+    row's canonical text (every value with its length, so values can't run into
+    each other).  Equal for any partitioning or file order."""
+    def value(c):
+        s = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("-"))
+    h = F.conv(F.substring(F.md5(F.concat(*[value(c) for c in cols])), 1, 15), 16, 10)
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"))
+
+
+def canonical_sql(texts: list[str]) -> str:
+    """The canonical text of a row for DuckDB, from its columns as text."""
+    return " || ".join(f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts)

@@ -229,10 +229,9 @@ def sql_validate_rows_v2() -> str:
     return "WITH " + SQL_APPLICATIONS_V2_RAW + _sql_clean_ctes() + _validate_sql(va.V2_RULES, "loan_id", "norm")
 
 
-def sql_dataset_checks() -> str:
-    def label_checks(name, src, allowed, min_rows):
-        al = ", ".join(f"'{a}'" for a in allowed)
-        return f"""
+def _label_checks(name, src, allowed, min_rows) -> str:
+    al = ", ".join(f"'{a}'" for a in allowed)
+    return f"""
 SELECT '{name}.required_columns' AS "check", true AS passed, '' AS detail
 UNION ALL SELECT '{name}.forbidden_columns', true, ''
 UNION ALL SELECT '{name}.row_count', count(*) >= {min_rows}, CAST(count(*) AS VARCHAR) FROM {src}
@@ -242,8 +241,16 @@ UNION ALL SELECT '{name}.unexpected_label', false, trim(loan_status) || ': ' ||
   WHERE trim(loan_status) IS NOT NULL AND trim(loan_status) NOT IN ({al}) GROUP BY trim(loan_status)
 UNION ALL SELECT '{name}.unmapped_labels', count_if(NOT coalesce(trim(loan_status) IN ({al}), false)) = 0,
   CAST(count_if(NOT coalesce(trim(loan_status) IN ({al}), false)) AS VARCHAR) FROM {src}"""
-    return ("WITH " + SQL_APPLICATIONS_BOTH + _sql_clean_ctes() + label_checks("v1", "applications_v1", ("Y", "N"), V1_EXPECT.min_rows)
-            + "\nUNION ALL" + label_checks("v2", "norm", tuple(cl.TARGET_MAP), V2_EXPECT.min_rows)
+
+
+def sql_v2_checks() -> str:
+    return _label_checks("v2", "norm", tuple(cl.TARGET_MAP), V2_EXPECT.min_rows)
+
+
+def sql_dataset_checks() -> str:
+    return ("WITH " + SQL_APPLICATIONS_BOTH + _sql_clean_ctes()
+            + _label_checks("v1", "applications_v1", ("Y", "N"), V1_EXPECT.min_rows)
+            + "\nUNION ALL" + sql_v2_checks()
             + "".join(f"\nUNION ALL SELECT '{t}.{c}', {ok}, '{d}'" for t, c, ok, d in (
                 ("v1_scoring", "required_columns", "true", ""), ("v1_scoring", "forbidden_columns", "true", ""),
                 ("v1_scoring", "unknown_columns", "true", ""),
@@ -296,11 +303,11 @@ def sql_describe_numeric() -> str:
 
 
 def sql_row_fingerprint() -> str:
-    text = ("concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, "
-            "o_orderpriority, CAST(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS VARCHAR), "
-            "strftime(o_orderdate, '%Y-%m-%d'))")
+    text = pr.canonical_sql(["CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus",
+                             "o_orderpriority", "CAST(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS VARCHAR)",
+                             "strftime(o_orderdate, '%Y-%m-%d')"])
     return f"""SELECT '{FINGERPRINT_TABLE}' AS "table", count(*) AS rows,
-  bit_xor(('0x' || substr(md5({text}), 1, 15))::BIGINT) AS fingerprint
+  CAST(sum(('0x' || substr(md5({text}), 1, 15))::HUGEINT) AS VARCHAR) AS hash_sum
 FROM {FINGERPRINT_TABLE}"""
 
 

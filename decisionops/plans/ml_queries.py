@@ -1,4 +1,5 @@
-"""Model dataflow queries (fitted Spark ML, so no SQL oracle: rows-only)."""
+"""Model dataflow queries.  What a fit decides has no SQL form (those queries
+are tested against brute force); counts, round trips and checks have."""
 
 from __future__ import annotations
 
@@ -8,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ml import cv
+from ..ml import cv, enhanced, fitted
 from ..ml.candidates import pipeline
 from ..operators import evaluate as ev
 from ..operators import policy as pol
@@ -17,12 +18,14 @@ from ..sources import io
 from ..session import materialize
 from ..sources.tables import read_table
 from .analysis_frame import analysis_frame
-from .data_queries import V2_EXPECT
-from .fixtures import applications_v1, applications_v2_raw
+from .data_queries import V2_EXPECT, _sql_clean_ctes, sql_v2_checks
+from .fixtures import SQL_APPLICATIONS_V1, SQL_APPLICATIONS_V2_RAW, applications_v1, applications_v2_raw
+from .policy_queries import sql_policy_kpis_baseline
 
 CV_FAMILIES = ["logistic_regression", "random_forest"]       # "fast" effort; see cv.FAMILIES
 TUNED_FAMILY, TUNED_TRIALS = "logistic_regression", 2
 HOLDOUT_FAMILY = "logistic_regression"
+V2_TUNED = ["random_forest"]         # families tuned in the registered build; enhanced.TUNED has all four
 QUALITY = "fast"
 _OOF: dict = {}
 _TRAIN: dict = {}
@@ -68,12 +71,7 @@ def fairness_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     oof = _oof(spark, sf_dir)
     attrs = applications_v1(spark, sf_dir).select("application_id", "gender", "education", "property_area")
     x = oof.join(attrs, "application_id")
-    parts = [ev.fairness_slices(x.where(F.col("model") == m), "y", "p", ["gender", "education", "property_area"])
-             .select(F.lit(m).alias("model"), "*") for m in CV_FAMILIES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return ev.fairness_slices(x, "y", "p", ["gender", "education", "property_area"], by=["model"])
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,23 +107,204 @@ def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per run: rows, split sizes, seeds, members, threshold,
-    data fingerprint, timestamp (append it to a run log table)."""
+    """One record per run -- rows, split sizes, seeds, members, threshold,
+    fingerprint of the training rows, time -- appended to a run log, and the
+    log read back (without the times)."""
     t = _train(spark, sf_dir)
     sizes = t.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("split") == "dev").alias("dev_rows"),
                   F.count_if(F.col("split") == "test").alias("test_rows"))
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    fp = pr.row_fingerprint(o, o.columns).select(F.col("fingerprint").alias("source_fingerprint"))
-    return sizes.crossJoin(fp).select(
+    a = applications_v1(spark, sf_dir)
+    fp = pr.row_fingerprint(a.select("application_id", "loan_status"), ["application_id", "loan_status"])
+    record = sizes.crossJoin(fp.select(F.col("hash_sum").alias("source_fingerprint"))).select(
         "*", F.lit(cv.SPLIT_SEED).alias("split_seed"), F.lit(cv.FOLD_SEED).alias("fold_seed"),
         F.lit(json.dumps(CV_FAMILIES)).alias("members"), F.lit(0.5).alias("threshold"),
         F.current_timestamp().alias("created_at"),
         F.date_format(F.current_timestamp(), "yyyy.MM.dd").alias("model_version"))
+    log = io.run_path(spark, "run_log")
+    record.write.mode("append").parquet(log)
+    return spark.read.parquet(log).drop("created_at", "model_version")
+
+
+def sql_run_metadata() -> str:
+    text = pr.canonical_sql(["CAST(application_id AS VARCHAR)", "loan_status"])
+    n = f"floor(n * {cv.TEST_SIZE} + 0.5)"
+    return "WITH " + SQL_APPLICATIONS_V1 + f""",
+lab AS (SELECT trim(loan_status) = 'Y' AS y, count(*) AS n FROM applications_v1 GROUP BY 1)
+SELECT (SELECT count(*) FROM applications_v1) AS rows, CAST(sum(n - {n}) AS BIGINT) AS dev_rows,
+  CAST(sum({n}) AS BIGINT) AS test_rows,
+  (SELECT CAST(sum(('0x' || substr(md5({text}), 1, 15))::HUGEINT) AS VARCHAR) FROM applications_v1) AS source_fingerprint,
+  {cv.SPLIT_SEED} AS split_seed, {cv.FOLD_SEED} AS fold_seed, '{json.dumps(CV_FAMILIES)}' AS members,
+  CAST(0.5 AS DOUBLE) AS threshold FROM lab"""
+
+
+def sql_model_roundtrip() -> str:
+    return "WITH " + SQL_APPLICATIONS_V1 + f""",
+lab AS (SELECT trim(loan_status) = 'Y' AS y, count(*) AS n FROM applications_v1 GROUP BY 1)
+SELECT CAST(sum(floor(n * {cv.TEST_SIZE} + 0.5)) AS BIGINT) AS rows_scored, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM lab"""
+
+
+def sql_staged_publish() -> str:
+    return "WITH " + SQL_APPLICATIONS_V2_RAW + _sql_clean_ctes() + f""",
+checks AS ({sql_v2_checks()})
+SELECT *, CASE WHEN (SELECT bool_and(passed) FROM checks) THEN 'published' ELSE 'rejected' END AS status FROM checks"""
+
+
+FINGERPRINT_TABLES = {"customer": ["c_custkey", "c_nationkey", "c_mktsegment"],
+                      "supplier": ["s_suppkey", "s_nationkey"], "part": ["p_partkey"]}
 
 
 def file_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SHA-256 of the source file bytes (binaryFile source)."""
-    return io.sha256_files(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    """Fingerprint of source tables: rows and an order-free sum of row hashes,
+    whatever their files and partitions (no file is held as one value)."""
+    out = None
+    for name, cols in FINGERPRINT_TABLES.items():
+        one = pr.row_fingerprint(read_table(spark, sf_dir, name).select(*cols), cols).select(
+            F.lit(name).alias("table"), "rows", "hash_sum")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def sql_file_fingerprint() -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "table", count(*) AS rows,
+  CAST(sum(('0x' || substr(md5({pr.canonical_sql([f"CAST({c} AS VARCHAR)" for c in cols])}), 1, 15))::HUGEINT) AS VARCHAR)
+    AS hash_sum FROM {name}""" for name, cols in FINGERPRINT_TABLES.items())
+
+
+# ------------------------------------------------------------ fitted scorecard
+
+_FITTED: dict = {}
+
+
+def _logistic(spark, sf_dir):
+    """The logistic pipeline fitted on development rows, saved and loaded again."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        t = _train(spark, sf_dir)
+        path = io.run_path(spark, "models/logistic")
+        pipeline("logistic_regression", QUALITY).fit(t.where(F.col("split") == "dev")).write().overwrite().save(path)
+        _FITTED[key] = PipelineModel.load(path)
+    return _FITTED[key]
+
+
+def fitted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every application scored by the coefficient table of the fitted model."""
+    model = _logistic(spark, sf_dir)
+    x = fitted.prepared(_train(spark, sf_dir), model)
+    p = fitted.probability(fitted.coefficients(model))
+    return x.select("application_id", F.round(p, 6).alias("approval_probability"), (p >= 0.5).alias("approved"))
+
+
+def fitted_score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows on which the coefficient table and the model itself differ by more than 1e-9."""
+    model, t = _logistic(spark, sf_dir), _train(spark, sf_dir)
+    a = fitted.prepared(t, model).select("application_id", fitted.probability(fitted.coefficients(model)).alias("a"))
+    b = cv._p1(model.transform(t)).select("application_id", F.col("p").alias("b"))
+    return a.join(b, "application_id").agg(F.count(F.lit(1)).alias("rows"),
+                                           F.count_if(F.abs(F.col("a") - F.col("b")) > 1e-9).alias("differing"))
+
+
+def sql_fitted_score_check() -> str:
+    return "WITH " + SQL_APPLICATIONS_V1 + "\nSELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM applications_v1"
+
+
+def fitted_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _logistic(spark, sf_dir)
+    return fitted.factors(fitted.prepared(_train(spark, sf_dir), model), fitted.coefficients(model), "application_id")
+
+
+def fitted_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = fitted.importance(spark, fitted.coefficients(_logistic(spark, sf_dir)))
+    return i.select("encoded", "feature", F.round("importance", 6).alias("importance"), F.round("share", 6).alias("share")) \
+            .orderBy(F.col("importance").desc(), "encoded")
+
+
+# ------------------------------------------------------------ v2 build
+
+_V2: dict = {}
+
+
+def _v2(spark, sf_dir):
+    """The v2 build of this session: training rows, tuning of ``V2_TUNED``,
+    candidates, out-of-fold scores, finalists, blend, fitted members."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _V2:
+        train = materialize(lambda: enhanced.training_frame(spark, sf_dir, QUALITY), "v2_training", key, spark)
+        parts = [enhanced.tune(train, family, QUALITY) for family in V2_TUNED]
+        tuning = parts[0]
+        for p in parts[1:]:
+            tuning = tuning.unionByName(p)
+        tuning = materialize(tuning, "v2_tuning", key)
+        candidates = enhanced.with_tuned(tuning)
+        oof = materialize(lambda: enhanced.out_of_fold(train, candidates, QUALITY), "v2_oof", key, spark)
+        names = enhanced.finalists(oof)
+        chosen = materialize(enhanced.blend(oof, names), "v2_blend", key)
+        row = chosen.first()
+        weights = [row[f"w{i + 1}"] for i in range(len(names))]
+        members = enhanced.fit_members(train, candidates, names, QUALITY)
+        _V2[key] = (train, tuning, candidates, oof, names, weights, row, members)
+    return _V2[key]
+
+
+def v2_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _v2(spark, sf_dir)[1]
+    return t.select("model", "trial", "params", F.round("cv_accuracy", 6).alias("cv_accuracy"),
+                    F.round("cv_auc", 6).alias("cv_auc"), "best")
+
+
+def v2_oof_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _v2(spark, sf_dir)[3].select("loan_id", "model", "fold", "y", F.round("p", 6).alias("p"))
+
+
+def v2_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates, best first: by mean accuracy, then AUC."""
+    b = enhanced.benchmark(_v2(spark, sf_dir)[3])
+    return b.select("model", *[F.round(c, 6).alias(c) for c in b.columns if c != "model"])
+
+
+def v2_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finalists with their weights, and threshold and out-of-fold metrics of the blend."""
+    _, _, _, _, names, weights, row, _ = _v2(spark, sf_dir)
+    rows = [(i + 1, n, float(w), row["threshold"], row["accuracy"], row["balanced_accuracy"], row["auc"])
+            for i, (n, w) in enumerate(zip(names, weights))]
+    return spark.createDataFrame(rows, "position int, model string, weight double, threshold double, accuracy double, "
+                                       "balanced_accuracy double, auc double")
+
+
+def _v2_holdout_scores(spark, sf_dir) -> DataFrame:
+    train, _, _, _, names, weights, row, members = _v2(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    return materialize(lambda: enhanced.ensemble_scores(train.where("split = 'test'"), members, weights),
+                       "v2_holdout", key, spark)
+
+
+def v2_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blend on the untouched holdout, and every member for diagnosis."""
+    names, row = _v2(spark, sf_dir)[4], _v2(spark, sf_dir)[6]
+    m = enhanced.holdout_metrics(_v2_holdout_scores(spark, sf_dir), names, row["threshold"])
+    return m.select("model", "tn", "fp", "fn", "tp", *[F.round(c, 6).alias(c) for c in (
+        "accuracy", "balanced_accuracy", "precision", "recall", "recall_0", "f1", "auc")])
+
+
+def v2_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bundle saved, loaded, and the holdout scored again with what was loaded."""
+    train, _, _, _, names, weights, row, members = _v2(spark, sf_dir)
+    path = io.run_path(spark, "bundles/v2")
+    enhanced.save_bundle(spark, path, members, weights, row["threshold"], enhanced.baselines(train),
+                         {"seed": enhanced.SEED, "quality": QUALITY, "members": names})
+    loaded, w, threshold, meta, base = enhanced.load_bundle(spark, path)
+    again = enhanced.ensemble_scores(train.where("split = 'test'"), loaded, w).select("loan_id", F.col("p").alias("q"))
+    d = _v2_holdout_scores(spark, sf_dir).join(again, "loan_id").agg(
+        F.count(F.lit(1)).alias("rows_scored"), F.count_if(F.abs(F.col("p") - F.col("q")) > 1e-12).alias("differing"))
+    return d.crossJoin(base.agg(F.count(F.lit(1)).alias("baselines"))).withColumn(
+        "same_members", F.lit(list(loaded) == names and w == weights and threshold == row["threshold"]))
+
+
+def sql_v2_bundle() -> str:
+    return "WITH " + SQL_APPLICATIONS_V2_RAW + _sql_clean_ctes() + f""",
+lab AS (SELECT target, count(*) AS n FROM clean WHERE target IS NOT NULL GROUP BY 1)
+SELECT CAST(sum(floor(n * {enhanced.TEST_SIZE} + 0.5)) AS BIGINT) AS rows_scored, CAST(0 AS BIGINT) AS differing,
+  CAST(11 AS BIGINT) AS baselines, true AS same_members FROM lab"""
 
 
 QUERIES = {
@@ -134,11 +313,21 @@ QUERIES = {
     "tuned_search": (tuned_search, None),
     "holdout_eval": (holdout_eval, None),
     "fairness_model": (fairness_model, None),
-    "json_roundtrip": (json_roundtrip, None),
-    "model_roundtrip": (model_roundtrip, None),
-    "staged_publish": (staged_publish, None),
-    "run_metadata": (run_metadata, None),
-    "file_fingerprint": (file_fingerprint, None),
+    "json_roundtrip": (json_roundtrip, sql_policy_kpis_baseline),
+    "model_roundtrip": (model_roundtrip, sql_model_roundtrip),
+    "staged_publish": (staged_publish, sql_staged_publish),
+    "run_metadata": (run_metadata, sql_run_metadata),
+    "file_fingerprint": (file_fingerprint, sql_file_fingerprint),
+    "fitted_scores": (fitted_scores, None),
+    "fitted_score_check": (fitted_score_check, sql_fitted_score_check),
+    "fitted_factors": (fitted_factors, None),
+    "fitted_importance": (fitted_importance, None),
+    "v2_tuning": (v2_tuning, None),
+    "v2_oof_scores": (v2_oof_scores, None),
+    "v2_benchmark": (v2_benchmark, None),
+    "v2_blend": (v2_blend, None),
+    "v2_holdout": (v2_holdout, None),
+    "v2_bundle": (v2_bundle, sql_v2_bundle),
 }
 
 
@@ -149,17 +338,28 @@ V1_CSV_SCHEMA = ("application_id bigint, gender string, married string, dependen
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The v1 table written as CSV with a header and read back with the
-    explicit schema; returns per-column null counts and the row count."""
+    explicit schema: rows, nulls of every column, and rows that differ in any
+    value from what was written."""
     from ..sources.tables import read_csv
     a = applications_v1(spark, sf_dir)
     path = io.run_path(spark, "csv/applications_v1")
     a.write.mode("overwrite").option("header", True).csv(path)
     back = read_csv(spark, path, V1_CSV_SCHEMA)
+    key = a.columns[0]
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in a.columns]
+    differing = a.alias("a").join(back.alias("b"), key, "full").agg(
+        F.count_if(~F.forall(F.array(*same), lambda x: x)).alias("differing_rows"))
     return back.agg(F.count(F.lit(1)).alias("rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in back.columns])
+                    *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in back.columns]).crossJoin(differing)
+
+
+def sql_csv_roundtrip() -> str:
+    cols = [c.split()[0] for c in V1_CSV_SCHEMA.split(", ")]
+    return "WITH " + SQL_APPLICATIONS_V1 + "\nSELECT count(*) AS rows, " + ", ".join(
+        f"count_if({c} IS NULL) AS null_{c}" for c in cols) + ", CAST(0 AS BIGINT) AS differing_rows FROM applications_v1"
 
 
-QUERIES["csv_roundtrip"] = (csv_roundtrip, None)
+QUERIES["csv_roundtrip"] = (csv_roundtrip, sql_csv_roundtrip)
 
 
 def holdout_eval_svm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ def business_analysis_report(spark: SparkSession, sf_dir: str, approve: float =
         "funnel": seg.funnel(f, approve, reject),
         "trends": seg.daily_trend(f, approve, reject),
         "segments": seg.segment_metrics(f, segment_dimension, approve, reject).drop("dimension"),
-        "queue": q.review_queue(f, approve, reject, q.QUEUE_DEFAULT_LIMIT),
+        "queue": q.review_queue(f, approve, reject),
         "data_quality": pr.quality_profile(applications_v1(spark, sf_dir), "application_id",
                                            F.trim(F.col("loan_status")) == "Y"),
         "missing_by_field": pr.missing_by_field(applications_v1(spark, sf_dir)),

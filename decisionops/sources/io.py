@@ -30,22 +30,25 @@ def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def staged_publish(df: DataFrame, staging: str, published: str, checks) -> DataFrame:
     """Write ``df`` to ``staging``; run ``checks(staged_df)`` (rows of check,
-    passed, detail) on what was written; copy to ``published`` only when
-    every check passed.  A bad load never replaces the good table."""
+    passed, detail) on what was written; publish it only when every check
+    passed.  Every publication is a new version folder, and one small pointer
+    record, written after it, names the version that ``read_published`` reads:
+    readers never see a half-written table, and a bad load leaves the good one."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
     res = checks(staged)
     failed = res.where(~F.col("passed")).count()
     if failed == 0:
-        staged.write.mode("overwrite").parquet(published)
+        version = f"{published}/versions/{uuid.uuid4().hex}"
+        staged.write.parquet(version)
+        spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at")) \
+            .coalesce(1).write.mode("append").parquet(f"{published}/pointer")
     status = "published" if failed == 0 else "rejected"
     return res.select("*", F.lit(status).alias("status"))
 
 
-def sha256_files(spark: SparkSession, path: str) -> DataFrame:
-    """File-level fingerprint: SHA-256 of every file's bytes, one row each
-    (binaryFile source: the bytes never pass through the driver)."""
-    return (spark.read.format("binaryFile").load(path)
-            .select(F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "length",
-                    F.sha2(F.col("content"), 256).alias("sha256")))
+def read_published(spark: SparkSession, published: str) -> DataFrame:
+    """The version that was published last."""
+    last = spark.read.parquet(f"{published}/pointer").orderBy(F.col("at").desc()).first()
+    return spark.read.parquet(last["version"])
