@@ -276,7 +276,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     steps = max(1, -(-sum(r["tokens"] for r in stats) // step_tokens))
 
     # ranks and running window counts, cell by cell
-    cell = F.pmod(F.xxhash64("row"), F.lit(cells_for(n_docs, least=64))).alias("cell")
+    cell = F.pmod(F.xxhash64("row"), F.lit(cells_for(n_docs, 20_000, 64))).alias("cell")
     rows = base.select("*", F.size("full_crcs").alias("full_n"), cell)
     per = rows.groupBy("cell", "rest_n").agg(F.count(F.lit(1)).alias("n"), F.sum("full_n").alias("full"))
     rank0 = F.sum("n").over(Window.partitionBy("rest_n").orderBy("cell")) - F.col("n")
