@@ -14,6 +14,7 @@ from ..operators import segments as seg
 from ..operators.validate import scenario_violations
 from .analysis_frame import analysis_frame
 from .fixtures import applications_v1
+from .report_queries import frame_summary, summary_sentences
 
 
 def business_analysis_report(spark: SparkSession, sf_dir: str, approve: float = 0.75, reject: float = 0.25,
@@ -30,6 +31,8 @@ def business_analysis_report(spark: SparkSession, sf_dir: str, approve: float =
     f = analysis_frame(spark, sf_dir)
     d = F.to_date("simulation_day")
     return {
+        "summary": summary_sentences(f, approve, reject, analysts, productive_hours, volume_multiplier, segment_dimension),
+        "dataset_summary": frame_summary(f),
         "policy": pol.policy_metrics(f, approve, reject, analysts, productive_hours, volume_multiplier),
         "optimized_policy": pol.optimize_policy(f, guardrail, analysts, productive_hours, volume_multiplier),
         "funnel": seg.funnel(f, approve, reject),

@@ -94,7 +94,10 @@ def decision_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = analysis_frame(spark, sf_dir)
+    return frame_summary(analysis_frame(spark, sf_dir))
+
+
+def frame_summary(f: DataFrame) -> DataFrame:
     return f.agg(
         F.count(F.lit(1)).alias("applications"),
         F.count_if(F.col("historical_approved")).alias("historical_approvals"),
@@ -119,16 +122,21 @@ def _f(x, digits):
 
 
 def analysis_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three or four sentences from the baseline KPIs, the top channel
-    segment and the count of high-priority cases (one-row plans, stacked)."""
-    f = analysis_frame(spark, sf_dir)
-    k = pol.policy_metrics(f, 0.75, 0.25)
-    segs = seg.segment_metrics(f, "channel")
+    return summary_sentences(analysis_frame(spark, sf_dir))
+
+
+def summary_sentences(f: DataFrame, approve: float = 0.75, reject: float = 0.25, analysts: int = 1,
+                      productive_hours: float = 6.0, volume_multiplier: float = 1.0,
+                      dimension: str = "channel") -> DataFrame:
+    """Three or four sentences from the KPIs of a policy, the top segment of
+    a dimension and the count of high-priority cases (one-row plans, stacked)."""
+    k = pol.policy_metrics(f, approve, reject, analysts, productive_hours, volume_multiplier)
+    segs = seg.segment_metrics(f, dimension, approve, reject)
     top = segs.agg(F.min_by(F.struct("segment", "manual_review_rate", "avg_processing_hours"),
                             F.struct(-F.col("opportunity_score"), -F.col("applications"), "segment")).alias("t"))
     hp = f.agg(F.count_if(F.col("priority_score") >= q.HIGH_PRIORITY).alias("high_priority"))
     one = k.crossJoin(top).crossJoin(hp)
-    s1 = F.concat(F.lit("At thresholds 0.75 / 0.25, "), _f(F.col("auto_decision_rate") * 100, 1),
+    s1 = F.concat(F.lit(f"At thresholds {approve:g} / {reject:g}, "), _f(F.col("auto_decision_rate") * 100, 1),
                   F.lit("% of applications are decided automatically, agreeing with the recorded decision in "),
                   _f(F.col("auto_historical_agreement") * 100, 1), F.lit("% of those cases; "),
                   _f(F.col("manual_review_rate") * 100, 1), F.lit("% need a reviewer."))
@@ -145,7 +153,7 @@ def analysis_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                               _f(F.col("max_sustainable_volume_multiplier"), 2),
                               F.lit("x of current demand."))))
     s3 = F.when(F.col("t").isNotNull(), F.concat(
-        F.lit("Top improvement candidate: channel "), F.col("t.segment"), F.lit(" with "),
+        F.lit(f"Top improvement candidate: {dimension} "), F.col("t.segment"), F.lit(" with "),
         _f(F.col("t.manual_review_rate") * 100, 1), F.lit("% manual review and "),
         _f(F.col("t.avg_processing_hours"), 1), F.lit(" h average processing time.")))
     s4 = F.concat(F.col("high_priority").cast("string"),

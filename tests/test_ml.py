@@ -30,4 +30,78 @@ def test_csv_roundtrip_keeps_rows_and_nulls(spark):
     r = E.queries()["csv_roundtrip"](spark, SF_SMALL).first()
     a = applications_v1(spark, SF_SMALL)
     assert r["rows"] == a.count()
-    assert r["null_loan_amount"] == a.where("loan_amount IS NULL").count()
+    assert r["null_loan_amount"] == a.where("loan_amount IS NULL").count() and r["differing_rows"] == 0
+
+
+def test_unseen_level_is_all_zeros(spark):
+    from decisionops.ml.preprocess import preprocessing_stages
+    from decisionops.plans.fixtures import applications_v1
+    from tests.conftest import SF_SMALL
+    a = applications_v1(spark, SF_SMALL)
+    model = Pipeline(stages=preprocessing_stages(scale=False)).fit(a)
+    from pyspark.sql import functions as F
+    odd = a.limit(1).withColumn("property_area", F.lit("Offshore"))
+    row = model.transform(odd.unionByName(a.where("property_area = 'Rural'").limit(1))).select("property_area_ohe").collect()
+    assert sorted(r[0].toArray().sum() for r in row) == [0.0, 1.0] and row[0][0].size == 3
+
+
+def test_fitted_coefficients_score_like_the_model(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    r = E.queries()["fitted_score_check"](spark, SF_SMALL).first()
+    assert r["rows"] == 1500 and r["differing"] == 0
+    f = E.queries()["fitted_factors"](spark, SF_SMALL).where("application_id = 1").orderBy("rank").collect()
+    assert len(f) == 6 and [abs(x.contribution) for x in f] == sorted((abs(x.contribution) for x in f), reverse=True)
+
+
+def test_v2_finalists_blend_and_bundle(spark, tmp_path):
+    """Two families, small sizes: order of finalists, blend by brute force, bundle round trip."""
+    import numpy as np
+
+    from decisionops.ml import enhanced as en
+    from tests.conftest import SF_SMALL
+    train = en.training_frame(spark, SF_SMALL).persist()
+    tuning = en.tune(train, "random_forest", trials=1)
+    assert tuning.where("best").count() == 1
+    candidates = {"logistic_regression": ("logistic_regression", None),
+                  "small_forest": ("random_forest", {"numTrees": 5, "maxDepth": 3})}
+    oof = en.out_of_fold(train, candidates).persist()
+    rows = oof.collect()
+    dev = train.where("split = 'dev'").count()
+    assert len(rows) == 2 * dev
+    names = en.finalists(oof)
+    acc = {n: np.mean([(r.p >= 0.5) == r.y for r in rows if r.model == n]) for n in candidates}
+    assert names == sorted(candidates, key=lambda n: (-acc[n], n)) or acc[names[0]] == acc[names[1]]
+    best = en.blend(oof, names).first()
+    y = {r.loan_id: r.y for r in rows}
+    p = [{r.loan_id: r.p for r in rows if r.model == n} for n in names]
+    ids = sorted(y)
+    top = max(np.mean([(w / 10 * p[0][i] + (10 - w) / 10 * p[1][i] >= t / 100) == y[i] for i in ids])
+              for w in range(11) for t in range(30, 71, 5))
+    assert best.accuracy >= top - 1e-9
+    members = en.fit_members(train, candidates, names)
+    test = train.where("split = 'test'")
+    w = [best.w1, best.w2]
+    scored = en.ensemble_scores(test, members, w).collect()
+    en.save_bundle(spark, str(tmp_path / "b"), members, w, best.threshold, en.baselines(train), {"a": 1})
+    loaded, w2, threshold, meta, base = en.load_bundle(spark, str(tmp_path / "b"))
+    again = {r.loan_id: r.p for r in en.ensemble_scores(test, loaded, w2).collect()}
+    assert list(loaded) == names and w2 == w and threshold == best.threshold and meta == {"a": 1}
+    assert base.count() == 11 and all(abs(again[r.loan_id] - r.p) < 1e-12 for r in scored)
+
+
+def test_published_version_survives_a_bad_load(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from decisionops.sources import io
+
+    def checks(df):
+        return df.agg((F.min("x") >= 0).alias("ok")).select(F.lit("x").alias("check"), F.col("ok").alias("passed"),
+                                                            F.lit("").alias("detail"))
+    out = str(tmp_path / "published")
+    for k, (values, status) in enumerate([([1, 2], "published"), ([-1], "rejected"), ([3], "published")]):
+        df = spark.createDataFrame([(v,) for v in values], "x long")
+        got = io.staged_publish(df, str(tmp_path / f"staging{k}"), out, checks).first()
+        assert got.status == status
+        want = [1, 2] if k < 2 else [3]
+        assert sorted(r.x for r in io.read_published(spark, out).collect()) == want

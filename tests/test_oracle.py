@@ -11,7 +11,10 @@ NAMES = ["policy_kpis_baseline", "policy_surface", "policy_optimum", "scenario_c
          "segment_kpis_all_dims", "daily_trend", "funnel", "review_queue", "case_records",
          "clean_v2", "clean_v2_report", "validate_rows_v1", "dataset_checks", "describe_numeric",
          "stratified_split", "repeated_folds", "roc_auc", "fairness_slices", "feature_baselines",
-         "scorecard_factors", "local_sensitivity", "leaderboard", "blend_search", "permutation_importance"]
+         "scorecard_factors", "local_sensitivity", "leaderboard", "blend_search", "permutation_importance",
+         "queue_filters", "case_records_nested", "cases_not_found", "decision_mix", "analysis_summary", "champion",
+         "json_roundtrip", "csv_roundtrip", "staged_publish", "run_metadata", "file_fingerprint", "row_fingerprint",
+         "stream_route_counts"]
 
 
 def _norm(v):
