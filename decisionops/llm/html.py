@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 WINDOW = 3              # lines summed
 SURGE = 86              # characters in a window where text begins
 SHARE = 0.25            # further regions are kept from this share of the largest on
@@ -161,5 +163,5 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
         return pd.Series([main_text(p) for p in col], dtype=object)
 
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
-    return (pages.select(*keep, text_of(F.col(html_col)).alias("text"))
+    return (small_batches(pages).select(*keep, text_of(F.col(html_col)).alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

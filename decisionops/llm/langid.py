@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 DICT_BYTES = 32 << 10
 DICTIONARIES = 4          # the first one is the main dictionary
 SLICE = 1024
@@ -144,7 +146,7 @@ def predict_column(docs: DataFrame, model: dict[str, list[bytes]], text_col: str
     hundred kilobytes, a fixed size a language) is broadcast."""
     import hashlib
     key = hashlib.sha256(repr(list(model.items())).encode()).hexdigest()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cells_for, stored
+from .common import cells_for, small_batches, stored
 
 MAX_LEN = 1024
 TIERS = (1024, 512, 256, 128)
@@ -158,7 +158,7 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
                 yield pd.DataFrame(rows, columns=["doc_id", "doc_tokens", "full_crcs", "rest", "rest_n"]).astype(
                     {"doc_id": part["doc_id"].dtype})
 
-    return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
+    return small_batches(docs).select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
         encode, "doc_id string, doc_tokens long, full_crcs array<long>, rest binary, rest_n int")
 
 

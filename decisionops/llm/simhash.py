@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small_batches, stored
 from .components import connected_components
 
 SEED = 42
@@ -139,7 +139,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, version (hash of the text), fp (long), fingerprint (16 hex
     digits), component_id (smallest doc_id that links reach, itself included)."""
-    base = stored(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("version"),
+    base = stored(small_batches(docs).select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("version"),
                               fingerprint_column(text_col, shingle).alias("fp")), "simhash_docs")
     first = stored(base.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash_distinct")
     roots = connected_components(links(first.select("fp"), max_bits), "simhash_edges")

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cells_for, stored
+from .common import cells_for, small_batches, stored
 
 LENGTH = 200
 GRAM = 64
@@ -350,7 +350,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _changed(keyed: DataFrame, text_col: str, length: int, give_text: bool) -> DataFrame:
     texts = keyed.select(F.col("_key").alias("key"), F.col(text_col).cast("binary").alias("text"))
-    held, spans = repeated_spans(texts, length)
+    held, spans = repeated_spans(small_batches(texts), length)
     spans = spans.distinct().groupBy("key").agg(F.collect_list(F.struct("f", "t")).alias("spans"))
     return held.join(spans, "key").mapInArrow(
         _cut_out(give_text), "key long, n_bytes long, n_removed long, n_spans long, rest string")

@@ -39,7 +39,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, stored
+from .common import crc_mod, small_batches, stored
 
 SAMPLE_ROWS = 24_000
 LEXICON_SIZE = 3000
@@ -168,7 +168,7 @@ _SCORERS: dict = {}
 
 
 def features_column(docs: DataFrame, lexicon: dict[str, float], text_col: str = "text"):
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)          # at most LEXICON_SIZE terms and the seed list
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(lexicon)          # at most LEXICON_SIZE terms and the seed list
 
     @F.pandas_udf("array<double>")
     def dense(texts: pd.Series) -> pd.Series:
