@@ -14,11 +14,11 @@ from decisionops.llm import packing, sharding
 from tests.llm.conftest import DOCS
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
 
 
 def ids_of(text):
-    tok = Tokenizer.from_file(PATH)
-    return np.array(tok.encode(text or "", add_special_tokens=False).ids, "<u4")
+    return np.array(TOKENIZER.encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
 def test_encoder_equals_tokenizer():
