@@ -1,10 +1,12 @@
 """The scored, enriched application frame every decision report reads.
 
 Shape of the plan: the application fixture is projected row-locally
-(features, score, enrichment, derived operational fields).  Two global
-statistics are needed -- the exact median loan amount (fills missing
-amounts) and the min / max loan value (exposure normalisation).  Both are
-one-row tables joined by broadcast cross join; the median comes from the
+(features, score, enrichment, derived operational fields).  The day of a
+decision is the given date of its application (``applied_on``); the time of
+day is a stable draw.  Three global statistics are needed -- the exact median
+loan amount (fills missing amounts), the min / max loan value (exposure
+normalisation) and the latest day (recency).  All are one one-row table
+joined by broadcast cross join; the median comes from the
 distributed rank helper, not a single-task percentile buffer.  The channel
 parameter lookup is a broadcast join with a 4-row table.
 """
@@ -22,23 +24,25 @@ from ..operators import enrich
 from ..operators.features import add_v1_features
 from ..operators.globalrank import quantiles_from_counts
 from ..operators.scorecard import DEFAULT_SCORECARD, Scorecard, probability, probability_sql
-from .fixtures import SQL_APPLICATIONS_V1, V1_PREDICTORS, applications_v1
+from .fixtures import SQL_APPLICATIONS_V1, V1_PREDICTORS, applications_v1_dated
 
 # Fixed values (operational model of the decision process).
-SIMULATION_END = "2026-09-25"
-SIMULATION_DAYS = 42
 RECENT_DAYS = 14
 DEFAULT_APPROVE = 0.75
 DEFAULT_REJECT = 0.25
 DEFAULT_ANALYSTS = 1
 DEFAULT_PRODUCTIVE_HOURS = 6.0
 DEFAULT_REVIEW_MINUTES = 24.0
-CHANNELS = ["Digital", "Branch", "Partner", "Assisted"]
-RECENT_CHANNEL_WEIGHTS = [0.55, 0.18, 0.17, 0.10]
-OLDER_CHANNEL_WEIGHTS = [0.34, 0.30, 0.23, 0.13]
-CHANNEL_DOC_PENALTY = [0.01, 0.04, 0.10, 0.06]
-CHANNEL_DELAY_HOURS = [0.0, 5.5, 9.0, 7.0]
-CHANNEL_REVIEW_ADDON_MINUTES = [0.0, 4.0, 8.0, 6.0]
+# channel: weight in recent days, weight before, document penalty, delay (hours), review add-on (minutes)
+CHANNEL_TABLE = {
+    "Digital": (0.55, 0.34, 0.01, 0.0, 0.0),
+    "Branch": (0.18, 0.30, 0.04, 5.5, 4.0),
+    "Partner": (0.17, 0.23, 0.10, 9.0, 8.0),
+    "Assisted": (0.10, 0.13, 0.06, 7.0, 6.0),
+}
+CHANNELS = list(CHANNEL_TABLE)
+RECENT_CHANNEL_WEIGHTS = [row[0] for row in CHANNEL_TABLE.values()]
+OLDER_CHANNEL_WEIGHTS = [row[1] for row in CHANNEL_TABLE.values()]
 ANALYST_NAMES = ["Analyst A", "Analyst B", "Analyst C", "Analyst D",
                  "Analyst E", "Analyst F", "Analyst G", "Analyst H"]
 ROUTE_APPROVE, ROUTE_REJECT, ROUTE_MANUAL = "Auto approve", "Auto reject", "Manual review"
@@ -47,28 +51,26 @@ REASONS = ["SLA breach", "Low decision confidence", "Document friction",
 
 
 # Per-row draws of the operational layer (two md5 digests, four each).
-OPS_DRAWS = (["u_day", "u_hour", "u_minute", "u_channel"],
+OPS_DRAWS = (["u_hour", "u_minute", "u_channel"],
              ["u_doc_noise", "u_analyst", "u_queue1", "u_queue2"])
 
 
 @dataclass(frozen=True)
 class OpsParams:
-    simulation_end: str = SIMULATION_END
-    simulation_days: int = SIMULATION_DAYS
+    period_end: str | None = None      # default: the latest day of the applications
     recent_days: int = RECENT_DAYS
     approve: float = DEFAULT_APPROVE
     reject: float = DEFAULT_REJECT
 
 
 def channel_params(spark: SparkSession) -> DataFrame:
-    rows = list(zip(CHANNELS, CHANNEL_DOC_PENALTY, CHANNEL_DELAY_HOURS, CHANNEL_REVIEW_ADDON_MINUTES))
+    rows = [(name, *row[2:]) for name, row in CHANNEL_TABLE.items()]
     return spark.createDataFrame(rows, "channel string, doc_penalty double, delay_hours double, "
                                        "review_addon_minutes double")
 
 
 def channel_params_sql() -> str:
-    vals = ", ".join(f"('{c}', {p!r}, {d!r}, {m!r})" for c, p, d, m in
-                     zip(CHANNELS, CHANNEL_DOC_PENALTY, CHANNEL_DELAY_HOURS, CHANNEL_REVIEW_ADDON_MINUTES))
+    vals = ", ".join(f"('{c}', {p!r}, {d!r}, {m!r})" for c, (_, _, p, d, m) in CHANNEL_TABLE.items())
     return (f"channel_params AS (SELECT * FROM (VALUES {vals}) "
             f"AS t(channel, doc_penalty, delay_hours, review_addon_minutes))")
 
@@ -94,19 +96,19 @@ def route_sql(p: str, approve, reject) -> str:
 
 
 def loan_stats(apps: DataFrame, col: str = "loan_amount") -> DataFrame:
-    """One row: exact median of the amount and min / max of the median-filled
-    loan value, from a single distinct-value count table (one shuffle of
-    distinct amounts, reused by both branches)."""
-    vc = apps.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-    nn = vc.where(F.col(col).isNotNull())
+    """One row: exact median of the amount, min / max of the median-filled
+    loan value and the latest application day, from a single distinct-value
+    count table (one shuffle of distinct amounts, reused by both branches)."""
+    vc = apps.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"), F.max("applied_on").alias("_last"))
+    nn = vc.where(F.col(col).isNotNull()).select(col, "_cnt")
     q = quantiles_from_counts(nn, col, [0.5]).select(F.col("value").alias("loan_median"))
-    mm = vc.agg(F.min(col).alias("_min"), F.max(col).alias("_max"),
+    mm = vc.agg(F.min(col).alias("_min"), F.max(col).alias("_max"), F.max("_last").alias("last_day"),
                 F.sum(F.when(F.col(col).isNull(), F.col("_cnt")).otherwise(F.lit(0))).alias("_nnull"))
     one = mm.join(q, how="left")   # mm always has one row
     med = F.col("loan_median")
     lo = F.when((F.col("_nnull") > 0) & (med < F.col("_min")), med).otherwise(F.col("_min"))
     hi = F.when((F.col("_nnull") > 0) & (med > F.col("_max")), med).otherwise(F.col("_max"))
-    return one.select("loan_median", (lo * 1000.0).alias("_lo"), (hi * 1000.0).alias("_hi"))
+    return one.select("loan_median", "last_day", (lo * 1000.0).alias("_lo"), (hi * 1000.0).alias("_hi"))
 
 
 _FRAMES: dict = {}
@@ -133,28 +135,29 @@ def release_frames() -> None:
 
 def build_analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsParams(),
                          scorecard: Scorecard = DEFAULT_SCORECARD, apps: DataFrame | None = None) -> DataFrame:
-    apps = apps if apps is not None else applications_v1(spark, sf_dir)
+    apps = apps if apps is not None else applications_v1_dated(spark, sf_dir)
     k = F.col("application_id")
     df = add_v1_features(apps)
     df = df.withColumn("approval_probability", nan_to_null(probability(scorecard)))
     df = df.crossJoin(F.broadcast(loan_stats(apps)))
-    df = df.select("*", *[u.alias(n) for n, u in zip(OPS_DRAWS[0], hash_uniforms(k, "ops1"))],
+    df = df.select("*", *[u.alias(n) for n, u in zip(OPS_DRAWS[0], hash_uniforms(k, "ops1", 3))],
                    *[u.alias(n) for n, u in zip(OPS_DRAWS[1], hash_uniforms(k, "ops2"))])
     U = F.col
     p = F.col("approval_probability")
+    end = F.col("last_day") if params.period_end is None else F.lit(params.period_end).cast("date")
     df = df.select(
         "*",
         (F.upper(F.trim(F.col("loan_status"))) == "Y").alias("historical_approved"),
         (p >= 0.5).alias("predicted_approved_50"),
         (F.coalesce(F.col("loan_amount"), F.col("loan_median")) * 1000.0).alias("loan_value"),
-        F.floor(U("u_day") * params.simulation_days).cast("int").alias("day_offset"),
+        F.datediff(end, F.col("applied_on")).alias("day_offset"),
         enrich.int_between(U("u_hour"), 8, 18).alias("hour_offset"),
         enrich.int_between(U("u_minute"), 0, 59).alias("minute_offset"),
         sum(F.col(c).isNull().cast("int") for c in V1_PREDICTORS).alias("missing_fields"),
         clip(F.lit(1.0) - F.abs(p - 0.5) / 0.5, 0.0, 1.0).alias("uncertainty"),
         route(p, params.approve, params.reject).alias("baseline_route"),
     )
-    day = F.date_sub(F.lit(params.simulation_end).cast("date"), F.col("day_offset"))
+    day = F.col("applied_on")
     recent = F.col("day_offset") <= params.recent_days
     u_ch = U("u_channel")
     channel = F.when(recent, enrich.weighted_choice(u_ch, CHANNELS, RECENT_CHANNEL_WEIGHTS)) \
@@ -198,8 +201,8 @@ def build_analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = O
     reason = (F.when(F.col("sla_breached"), REASONS[0]).when(u >= 0.75, REASONS[1])
                .when(F.col("document_completeness") < 0.82, REASONS[2])
                .when(F.col("exposure_norm") >= 0.8, REASONS[3]).otherwise(REASONS[4]))
-    return df.withColumn("priority_reason", reason).drop("_lo", "_hi", "loan_median", *OPS_DRAWS[0],
-                                                         *OPS_DRAWS[1])
+    return df.withColumn("priority_reason", reason).drop("_lo", "_hi", "loan_median", "last_day", "applied_on",
+                                                         *OPS_DRAWS[0], *OPS_DRAWS[1])
 
 
 # ---------------------------------------------------------------- DuckDB text
@@ -212,8 +215,8 @@ def analysis_frame_sql(params: OpsParams = OpsParams(), scorecard: Scorecard = D
     u_ch = "u_channel"
     ch_recent = enrich.weighted_choice_sql(u_ch, CHANNELS, RECENT_CHANNEL_WEIGHTS)
     ch_older = enrich.weighted_choice_sql(u_ch, CHANNELS, OLDER_CHANNEL_WEIGHTS)
-    end = params.simulation_end
-    draws = ", ".join([f"{u} AS {n}" for n, u in zip(OPS_DRAWS[0], hash_uniforms_sql(k, "ops1"))]
+    end = "last_day" if params.period_end is None else f"DATE '{params.period_end}'"
+    draws = ", ".join([f"{u} AS {n}" for n, u in zip(OPS_DRAWS[0], hash_uniforms_sql(k, "ops1", 3))]
                       + [f"{u} AS {n}" for n, u in zip(OPS_DRAWS[1], hash_uniforms_sql(k, "ops2"))])
     return SQL_APPLICATIONS_V1 + f""",
 {channel_params_sql()},
@@ -230,10 +233,10 @@ feat2 AS (
     loan_amount * 1000.0 / nullif(loan_amount_term, 0.0) AS monthly_principal_proxy
   FROM feat
 ),
-med AS (SELECT median(loan_amount) AS loan_median FROM applications_v1),
+med AS (SELECT median(loan_amount) AS loan_median, max(applied_on) AS last_day FROM applications_v1),
 s1 AS (
   SELECT f.*, (CASE WHEN isnan({probability_sql(scorecard)}) THEN NULL ELSE {probability_sql(scorecard)} END) AS {p},
-         med.loan_median, {draws}
+         med.loan_median, med.last_day, {draws}
   FROM feat2 f CROSS JOIN med
 ),
 s2 AS (
@@ -241,7 +244,7 @@ s2 AS (
     upper(trim(loan_status)) = 'Y' AS historical_approved,
     {p} >= 0.5 AS predicted_approved_50,
     coalesce(loan_amount, loan_median) * 1000.0 AS loan_value,
-    CAST(floor(u_day * {params.simulation_days}) AS INTEGER) AS day_offset,
+    CAST(date_diff('day', applied_on, {end}) AS INTEGER) AS day_offset,
     {enrich.int_between_sql('u_hour', 8, 18)} AS hour_offset,
     {enrich.int_between_sql('u_minute', 0, 59)} AS minute_offset,
     {missing} AS missing_fields,
@@ -252,8 +255,8 @@ s2 AS (
 s3 AS (
   SELECT *,
     predicted_approved_50 = historical_approved AS historical_match_50,
-    strftime(DATE '{end}' - day_offset, '%Y-%m-%d') AS simulation_day,
-    strftime(DATE '{end}' - day_offset, '%Y-%m-%d') || ' ' || lpad(CAST(hour_offset AS VARCHAR), 2, '0')
+    strftime(applied_on, '%Y-%m-%d') AS simulation_day,
+    strftime(applied_on, '%Y-%m-%d') || ' ' || lpad(CAST(hour_offset AS VARCHAR), 2, '0')
       || ':' || lpad(CAST(minute_offset AS VARCHAR), 2, '0') || ':00' AS created_at,
     day_offset <= {params.recent_days} AS recent,
     CASE WHEN day_offset <= {params.recent_days} THEN {ch_recent} ELSE {ch_older} END AS channel
@@ -292,7 +295,7 @@ s8 AS (
   FROM s7
 ),
 analysis AS (
-  SELECT * EXCLUDE (loan_median, {", ".join(OPS_DRAWS[0] + OPS_DRAWS[1])}),
+  SELECT * EXCLUDE (loan_median, last_day, applied_on, {", ".join(OPS_DRAWS[0] + OPS_DRAWS[1])}),
     CASE WHEN sla_breached THEN '{REASONS[0]}' WHEN uncertainty >= 0.75 THEN '{REASONS[1]}'
          WHEN document_completeness < 0.82 THEN '{REASONS[2]}'
          WHEN exposure_norm >= 0.8 THEN '{REASONS[3]}' ELSE '{REASONS[4]}' END AS priority_reason

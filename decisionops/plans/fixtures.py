@@ -70,7 +70,7 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
                .alias("disc_value"),
                F.count_if(F.col("l_returnflag") == "R").alias("n_returned")))
     orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
@@ -97,12 +97,17 @@ _DRAWS = {
 }
 
 
-def applications_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The v1 application table, materialised once per session (it is the
-    input table every v1 report reads)."""
+def applications_v1_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The v1 application table with the day of each application,
+    materialised once per session (it is the input table every v1 report reads)."""
     return materialize(lambda: build_applications_v1(spark, sf_dir), "applications_v1", (sf_dir,), spark)
 
 
+def applications_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the v1 layout alone."""
+    return applications_v1_dated(spark, sf_dir).select(*V1_COLUMNS)
+
+
 def applications_v2_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(lambda: build_applications_v2_raw(spark, sf_dir), "applications_v2_raw", (sf_dir,), spark)
 
@@ -140,6 +145,7 @@ def build_applications_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(credit == 1.0, F.when(ul < 0.92, "Y").otherwise("N"))
          .when(credit == 0.0, F.when(ul < 0.06, "Y").otherwise("N"))
          .otherwise(F.when(ul < 0.6, "Y").otherwise("N")).alias("loan_status"),
+        F.to_date("o_orderdate").alias("applied_on"),
     )
     return out
 
@@ -177,7 +183,7 @@ def build_applications_v2_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_ORDER_BASE = """
 order_base AS (
-  SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderpriority,
+  SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderpriority, o.o_orderdate,
          li.n_lines, li.disc_value, li.n_returned,
          c.c_custkey, c.c_nationkey, c.c_acctbal, c.c_mktsegment, r.r_name
   FROM orders o
@@ -234,7 +240,8 @@ applications_v1 AS (
     {area} AS property_area,
     CASE WHEN credit_history_ = 1.0 THEN (CASE WHEN ul_ < 0.92 THEN 'Y' ELSE 'N' END)
          WHEN credit_history_ = 0.0 THEN (CASE WHEN ul_ < 0.06 THEN 'Y' ELSE 'N' END)
-         ELSE (CASE WHEN ul_ < 0.6 THEN 'Y' ELSE 'N' END) END AS loan_status
+         ELSE (CASE WHEN ul_ < 0.6 THEN 'Y' ELSE 'N' END) END AS loan_status,
+    CAST(o_orderdate AS DATE) AS applied_on
   FROM app_v1_pre
 )"""
 

@@ -9,11 +9,11 @@ from ..session import materialized_path
 from ..sources import io
 from ..streaming.decisions import run_available_now
 from .analysis_frame import analysis_frame_sql
-from .fixtures import applications_v1
+from .fixtures import applications_v1_dated
 
 
 def stream_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    applications_v1(spark, sf_dir)                     # materialised input files
+    applications_v1_dated(spark, sf_dir)               # materialised input files
     src = materialized_path(spark, "applications_v1", (sf_dir,))
     base = io.run_path(spark, "streams/route_counts")
     return run_available_now(spark, src, base + "/out", base + "/checkpoint")

@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 from ..functions.columns import hash_uniforms
 from ..operators.features import add_v1_features
 from ..operators.scorecard import DEFAULT_SCORECARD, probability
-from ..plans.analysis_frame import DEFAULT_APPROVE, DEFAULT_REJECT, SIMULATION_DAYS, SIMULATION_END, route
+from ..plans.analysis_frame import DEFAULT_APPROVE, DEFAULT_REJECT, route
 
 
 def decisions(apps: DataFrame, approve: float = DEFAULT_APPROVE, reject: float = DEFAULT_REJECT) -> DataFrame:
-    """Row-local: score, route and event time (batch or streaming input)."""
+    """Row-local: score, route and event time (the day of the application, at
+    a drawn time of day); batch or streaming input."""
     k = F.col("application_id")
-    u = hash_uniforms(k, "ops1")
-    day = F.date_sub(F.lit(SIMULATION_END).cast("date"), F.floor(u[0] * SIMULATION_DAYS).cast("int"))
-    hour = (F.lit(8) + F.floor(u[1] * 11)).cast("int")
-    minute = F.floor(u[2] * 60).cast("int")
+    u = hash_uniforms(k, "ops1", 3)
+    day = F.col("applied_on")
+    hour = (F.lit(8) + F.floor(u[0] * 11)).cast("int")
+    minute = F.floor(u[1] * 60).cast("int")
     # event instant fixed in UTC (not the session time zone); the day label
     # comes from the date itself, so results never depend on the session zone
     ts = F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), hour, minute, F.lit(0), F.lit("UTC"))

@@ -18,9 +18,9 @@ def test_stream_equals_batch(spark):
 def test_any_number_of_files_per_trigger(spark, tmp_path):
     """Six files with event times over the whole period, read 1, 2 or 64 at a
     time, some rows delivered twice: the counts are those of one batch."""
-    from decisionops.plans.fixtures import applications_v1
+    from decisionops.plans.fixtures import applications_v1_dated
     from decisionops.streaming.decisions import decisions, run_available_now
-    apps = applications_v1(spark, SF_SMALL)
+    apps = applications_v1_dated(spark, SF_SMALL)
     src = str(tmp_path / "in")
     apps.repartition(6).write.parquet(src)
     apps.limit(100).coalesce(1).write.mode("append").parquet(src)
@@ -33,9 +33,9 @@ def test_any_number_of_files_per_trigger(spark, tmp_path):
 def test_rows_too_late_are_reported(spark, tmp_path):
     import pytest
 
-    from decisionops.plans.fixtures import applications_v1
+    from decisionops.plans.fixtures import applications_v1_dated
     from decisionops.streaming.decisions import run_available_now
     src = str(tmp_path / "in")
-    applications_v1(spark, SF_SMALL).repartition(6).write.parquet(src)
+    applications_v1_dated(spark, SF_SMALL).repartition(6).write.parquet(src)
     with pytest.raises(RuntimeError, match="later than the watermark"):
         run_available_now(spark, src, str(tmp_path / "out"), str(tmp_path / "ck"), 1, watermark="1 hour")
