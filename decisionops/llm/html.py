@@ -1,11 +1,14 @@
 """Main-text extraction by line-block distribution.
 
-Markup is stripped into lines, one per block element.  Every line has a text
-mass: its length without link text, nothing for boilerplate (menus, page
-headers, footers, sidebars, notices, adverts, forms, comments, hidden parts).
-The masses of three consecutive lines are summed; where the sums surge over a
-threshold the main text begins, where they dive to nothing it ends, and the
-lines between are kept.  A page that marks its article (article, main,
+Markup is stripped into lines of text, one per block element (empty ones make
+none).  Every line has a text mass: its length without link text, nothing for
+boilerplate (menus, page headers, footers, sidebars, notices, adverts, forms,
+comments, hidden parts).  The masses of three consecutive lines are summed, as
+are those of each run of lines with mass; where a sum surges over a threshold
+the main text begins, with the first line of that run, and where the window sums
+dive to nothing for the last time after a surge it ends.  All lines between are
+kept.  Without a surge it is the heaviest line and what reaches it over fewer
+than three lines without mass.  A page that marks its article (article, main,
 role=main) gives the lines inside it a mass above the threshold and the others
 none, so the surge and dive points are the article's ends however short it is.
 
@@ -28,7 +31,6 @@ from .common import small_batches
 
 WINDOW = 3              # lines summed
 SURGE = 86              # characters in a window where text begins
-SHARE = 0.25            # further regions are kept from this share of the largest on
 
 # Element names of HTML.
 RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|select|textarea|head|title"
@@ -87,7 +89,7 @@ class _Lines:
 
     def end_line(self) -> None:
         t = " ".join("".join(self.parts).split())
-        if t or self.lines and self.lines[-1][0]:
+        if t:
             self.lines.append((t, self.link_chars, self.article > 0))
         self.parts, self.link_chars = [], 0
 
@@ -118,42 +120,44 @@ class _Lines:
             self.link = 0 if closing else 1
 
 
-def _regions(mass: list[int]) -> list[tuple[int, int]]:
-    """[surge, dive) line ranges of the window sums."""
-    n, found, i = len(mass), [], 0
+def _main_range(mass: list[int]) -> tuple[int, int]:
+    """[first surge, last dive) of the lines, widened to whole runs."""
+    n = len(mass)
     sums = [sum(mass[k:k + WINDOW]) for k in range(n)]
-    while i < n:
-        if mass[i] and sums[i] >= SURGE:
-            j = i
-            while j < n and sums[j]:
-                j += 1
-            found.append((i, j))
-            i = j
-        i += 1
-    return found
+    runs, k = [], 0                                  # runs of lines with mass
+    while k < n:
+        b = k
+        while b < n and mass[b]:
+            b += 1
+        if b > k:
+            runs.append((k, b))
+        k = b + 1
+    surges = [(a, b) for a, b in runs
+              if sum(mass[a:b]) >= SURGE or any(sums[k] >= SURGE for k in range(a, b))]
+    if surges:
+        first, last = surges[0][0], surges[-1][1]
+    elif runs:                                       # the heaviest line and what reaches it
+        first = last = max(range(n), key=mass.__getitem__)
+        for a, b in reversed(runs):
+            if b <= first and first - b < WINDOW or a <= first < b:
+                first = a
+    else:
+        return 0, 0
+    for a, b in runs:                                # on to the dive
+        if a <= last or a - last < WINDOW:
+            last = max(last, b)
+    return first, last
 
 
 def main_text(page: str | None) -> str:
     lines = _Lines(page or "").lines
-    in_article = any(a and t for t, _, a in lines)
+    in_article = any(a for _, _, a in lines)
     if in_article:
-        mass = [SURGE + len(t) if a and t else 0 for t, _, a in lines]
+        mass = [SURGE + len(t) if a else 0 for t, _, a in lines]
     else:
         mass = [max(0, len(t) - k) if 2 * k <= len(t) else 0 for t, k, _ in lines]
-    regions = _regions(mass)
-    if not regions and any(mass):                    # no surge: the heaviest line and what touches it
-        top = max(range(len(mass)), key=mass.__getitem__)
-        a = b = top
-        while a and mass[a - 1]:
-            a -= 1
-        while b < len(mass) and mass[b]:
-            b += 1
-        regions = [(a, b)]
-    weights = [sum(mass[a:b]) for a, b in regions]
-    if not in_article and regions:
-        regions = [r for r, w in zip(regions, weights) if w >= SHARE * max(weights)]
-    return " ".join(lines[k][0] for a, b in regions for k in range(a, b) if lines[k][0] and (
-        mass[k] or not in_article))
+    first, last = _main_range(mass)
+    return " ".join(lines[k][0] for k in range(first, last) if mass[k] or not in_article)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

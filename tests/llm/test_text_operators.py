@@ -117,6 +117,24 @@ def test_main_text(spark):
     assert html.extract(pages.where("false")).count() == 0
 
 
+def test_main_text_of_short_blocks():
+    menu = "<ul><li><a href=/>Home page of it</a><li><a href=/b>News</a><li><a href=/c>About</a></ul>"
+    link = "<p><a href=/x>A paragraph that is a link from end to end</a></p>"
+    for size in (12, 25, 42):                        # verse, dialogue: no two blocks reach the threshold
+        lines = [f"{i} ".ljust(size - 1, "x") + "." for i in range(100)]
+        body = "".join(f"<p>{t}</p>\n" for t in lines)
+        assert html.main_text(f"<body>{menu}<div>{body}</div>{menu}</body>") == " ".join(lines)
+        note = "A note of the editor. " * 10
+        cut = "".join(f"<p>{t}</p>" for t in lines[:50]) + link + "".join(f"<p>{t}</p>" for t in lines[50:])
+        got = html.main_text(f"<body>{menu}{cut}<p>{note}</p>{menu}</body>")
+        assert all(t in got for t in lines) and got.endswith("editor.") and "Home" not in got
+    long = "".join(f"<p>Sentence number {i} of the story goes on for a while here.</p>" for i in range(200))
+    got = html.main_text(f"<body>{menu}{long}{link}<p>The end.</p></body>")
+    assert got.endswith("The end.")                  # light, after a paragraph without mass
+    got = html.main_text(f"<body>{long}{menu}<p>{'Second part. ' * 10}</p>{menu}<p>(c) x</p></body>")
+    assert got.endswith("Second part.")              # a region under a quarter of the largest
+
+
 @pytest.mark.parametrize("leaf,fanout", [(2500, 64), (40, 4)])
 def test_cosine_links(spark, monkeypatch, leaf, fanout):
     monkeypatch.setattr(covertree, "LEAF", leaf)
