@@ -12,6 +12,10 @@ than three lines without mass.  A page that marks its article (article, main,
 role=main) gives the lines inside it a mass above the threshold and the others
 none, so the surge and dive points are the article's ends however short it is.
 
+An element is hidden by the attribute ``hidden`` or ``aria-hidden`` or by
+``display: none``, never by a word in another attribute.  Boilerplate names are
+matched against whole class, id and role names, not against parts of them.
+
 Cases: null or empty html gives an empty text, as does a page without text;
 unclosed elements end with the page or with the next block of their kind;
 a damaged character reference stays as it is; equal pages give equal texts;
@@ -40,27 +44,64 @@ figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li
 summary table tbody td tfoot th thead tr ul""".split())
 ENDED_BY_BLOCK = {"p", "li", "dt", "dd", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-# Words of class, id and role names that mark boilerplate.
+# Class, id and role names that mark boilerplate, also joined with each other (cookie-notice) or with an affix (site-footer).
 MARKS = set("""ad ads adv advert advertisement adsense sponsor sponsored promo promotion banner sidebar side menu nav
 navbar navigation breadcrumb breadcrumbs footer masthead topbar cookie cookies consent gdpr notice notification alert
 popup modal overlay comment comments commentlist reply replies disqus discussion share sharing social related
 recommended newsletter subscribe subscription signup login search pagination pager widget toolbar skip
 complementary contentinfo""".split())
+# Marks that are subjects too, so also the id of a section of the text: as an id they do not count.
+TOPICS = set("""side menu navigation cookies consent gdpr notice notification alert reply replies discussion
+share sharing social related recommended promotion sponsored advertisement newsletter subscription signup login search
+""".split())
+PREFIXES = {"site", "page", "main", "global", "top", "bottom", "primary", "secondary"}
+SUFFIXES = {"list", "area", "body", "box", "container", "wrapper", "x"}
+COMMENTS = {"comment", "comments", "commentlist", "reply", "replies"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _RAW = re.compile(rf"<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_WORDS = re.compile(r"[A-Za-z]+")
+_ATTRS = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+_WORDS = re.compile(r"[^\W\d_]+")
 _ROLE_MAIN = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 
 
-def _marked(attrs: str) -> bool:
+def _is_mark(token: str, as_id: bool, marks: set[str]) -> bool:
+    """Whether a whole class, id or role name stands for boilerplate."""
+    words = core = _WORDS.findall(token.lower())
+    if len(core) > 1 and core[0] in PREFIXES:
+        core = core[1:]
+    if len(core) > 1 and core[-1] in SUFFIXES:
+        core = core[:-1]
+    if not core or not marks.issuperset(core):
+        return False
+    if core is not words:                            # page-search, sidebar-wrapper: of a whole page or layout
+        return not (TOPICS | {"sidebar"}).issuperset(core)
+    return not (as_id and TOPICS.issuperset(core))
+
+
+def _marked(name: str, attrs: str, in_article: bool, skipped: bool = False) -> bool:
+    """Whether an element is hidden or boilerplate by its attributes.  Names do
+    not count for article and main (except comments in an article and what is
+    ``skipped``), nor for headings in an article."""
     if not attrs:
         return False
-    if _HIDDEN.search(attrs):
-        return True
-    return any(w.lower() in MARKS for v in _NAMES.findall(attrs) for w in _WORDS.findall(v))
+    marks = MARKS
+    if name in ("article", "main") and not skipped:
+        marks = COMMENTS if in_article else ()
+    elif name in HEADINGS and in_article:
+        marks = ()
+    for m in _ATTRS.finditer(attrs):
+        key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'/ ")
+        if key == "hidden" and value.lower() != "false" or key == "aria-hidden" and value.lower() == "true":
+            return True
+        if key == "style" and _NONE.search(value):
+            return True
+        if marks and key in ("class", "id", "role"):
+            if any(_is_mark(t, key == "id", marks) for t in value.split()):
+                return True
+    return False
 
 
 class _Lines:
@@ -95,7 +136,8 @@ class _Lines:
 
     def tag(self, name: str, closing: bool, attrs: str) -> None:
         if self.skipped:
-            marked_main = name in ("article", "main") and not closing and not _marked(attrs)
+            marked_main = name in ("article", "main") and not closing and not _marked(
+                name, attrs, False, skipped=True)
             if marked_main or self.skipped in ENDED_BY_BLOCK and name in BLOCKS and not (
                     name == self.skipped and closing):
                 self.skipped = ""
@@ -111,7 +153,8 @@ class _Lines:
             self.parts.append(" ")
         if not closing and name not in VOID and not attrs.endswith("/"):
             page_header = name == "header" and not self.article
-            if name in BOILERPLATE or page_header or name not in ("html", "body") and _marked(attrs):
+            if name in BOILERPLATE or page_header or name not in ("html", "body") and _marked(
+                    name, attrs, self.article > 0):
                 self.skipped, self.depth = name, 1
                 return
         if name in ("article", "main") or _ROLE_MAIN.search(attrs):

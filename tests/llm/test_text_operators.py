@@ -135,6 +135,26 @@ def test_main_text_of_short_blocks():
     assert got.endswith("Second part.")              # a region under a quarter of the largest
 
 
+@pytest.mark.parametrize("kept", [
+    '<article class="overflow-hidden"><p>kept</p></article>', '<div class="overflow-hidden"><p>kept</p></div>',
+    '<article><p><a href="/hidden-valley">kept</a></p></article>', '<article><p title="hidden gems">kept</p></article>',
+    '<div class="content has-sidebar"><p>kept</p></div>', '<div class="post category-search"><p>kept</p></div>',
+    '<article><section id="discussion"><p>kept</p></section></article>', '<article><h2 id="related">kept</h2></article>',
+    '<article class="post category-search"><h2 class="share">kept</h2></article>', '<main class="search"><p>kept</p></main>',
+    '<section id="discussion"><h2>kept</h2></section>', '<div class="page-search" hidden="false"><p>kept</p></div>'])
+def test_main_text_with_words_like_marks(kept):
+    assert html.main_text(f"<body>{kept}</body>") == "kept"
+
+
+@pytest.mark.parametrize("gone", [
+    "<p hidden>no</p>", '<p HIDDEN="">no</p>', "<div aria-hidden=true>no</div>", '<div style="color:red; display : none">no</div>',
+    '<div class="post sidebar">no</div>', "<div class=footer>no</div>", '<div id="comments">no</div>', '<div id="sidebar">no</div>', '<div class="site-footer">no</div>',
+    '<div class="comments-area"><article class="comment-body">no</article></div>', '<article class="comment">no</article>',
+    '<div role="navigation">no</div>', '<div class="ad-300x250">no</div>', '<div class="cookie_notice">no</div>'])
+def test_main_text_without_marked_parts(gone):
+    assert html.main_text(f"<body><article><p>kept</p>{gone}</article></body>") == "kept"
+
+
 @pytest.mark.parametrize("leaf,fanout", [(2500, 64), (40, 4)])
 def test_cosine_links(spark, monkeypatch, leaf, fanout):
     monkeypatch.setattr(covertree, "LEAF", leaf)
