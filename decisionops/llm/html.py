@@ -17,7 +17,10 @@ An element is hidden by the attribute ``hidden`` or ``aria-hidden`` or by
 matched against whole class, id and role names, not against parts of them.
 
 Cases: null or empty html gives an empty text, as does a page without text;
-unclosed elements end with the page or with the next block of their kind;
+unclosed elements end with the page or with the next block of their kind, unclosed
+raw elements (styles, drawings, frames) with any next block, only an unclosed script
+with the page; ``.../>`` closes svg and math; head needs no end, as what it may hold
+is raw or empty;
 a damaged character reference stays as it is; equal pages give equal texts;
 texts of any length are read whole; an empty table gives no rows.
 """
@@ -37,7 +40,8 @@ WINDOW = 3              # lines summed
 SURGE = 86              # characters in a window where text begins
 
 # Element names of HTML.
-RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|select|textarea|head|title"
+RAW = set("script style noscript template svg math iframe object canvas audio video select textarea title".split())
+RAW_TEXT = "style|title|textarea|iframe"        # markup inside is text
 BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "button"}
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section
@@ -59,11 +63,16 @@ SUFFIXES = {"list", "area", "body", "box", "container", "wrapper", "x"}
 COMMENTS = {"comment", "comments", "commentlist", "reply", "replies"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
-_RAW = re.compile(rf"<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_TAG_END = r"""\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# Comments, scripts (open ones go to the end of the page), closed raw texts, other tags.
+_RAW = re.compile(rf"<!--.*?(?:-->|\Z)|(?P<script><script{_TAG_END}.*?(?:</script\s*>|\Z))"
+                  rf"|(?P<raw><(?P<of>{RAW_TEXT}){_TAG_END}[^<]*+(?:<(?!/?(?P=of)\b)[^<]*+)*+</(?P=of)\s*>)"
+                  r"""|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRS = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
+_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?![\w:-])", re.I)
 _ROLE_MAIN = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 
 
@@ -104,6 +113,37 @@ def _marked(name: str, attrs: str, in_article: bool, skipped: bool = False) -> b
     return False
 
 
+def _without_raw(page: str) -> str:
+    """The page without scripts, styles, drawings and the like.  An opening tag
+    goes with the next closing one of its name (nested ones pair up); one that is
+    never closed goes with what stands before the next block."""
+    cuts, opened = [], {}                            # [start, end, closed]
+    for m in _RAW.finditer(page):
+        if m["script"] or m["raw"]:
+            cuts.append([m.start(), m.end(), True])
+            continue
+        name = (m["name"] or "").lower()
+        if name not in RAW or name in ("svg", "math") and m["attrs"].endswith("/") and not m["end"]:
+            continue
+        if not m["end"]:
+            cut = [m.start(), m.end(), False]
+            cuts.append(cut)
+            opened.setdefault(name, []).append(cut)
+        elif opened.get(name):
+            cut = opened[name].pop()
+            cut[1:] = m.end(), True
+    kept, at = [], 0
+    for start, end, closed in cuts:
+        if start < at:
+            continue
+        if not closed:
+            block = _BLOCK.search(page, end)
+            end = block.start() if block else len(page)
+        kept.append(page[at:start])
+        at = end
+    return " ".join(kept + [page[at:]])
+
+
 class _Lines:
     """Walk over the markup: lines as (text, characters of link text, in a marked article)."""
 
@@ -111,7 +151,7 @@ class _Lines:
         self.lines, self.parts, self.link_chars = [], [], 0
         self.article, self.link = 0, 0
         self.skipped, self.depth = "", 0          # boilerplate element that is open, and its nesting
-        page, at = _RAW.sub(" ", page), 0
+        page, at = _without_raw(page), 0
         for m in _TOKEN.finditer(page):
             if m.start() > at:
                 self.text(page[at:m.start()])

@@ -155,6 +155,29 @@ def test_main_text_without_marked_parts(gone):
     assert html.main_text(f"<body><article><p>kept</p>{gone}</article></body>") == "kept"
 
 
+RAW_PAGES = [
+    "<head><title>T</title><meta x><body><p>kept</p>", "<html><head><title>T</title><style>p {}</style><p>kept</p>",
+    '<p>kept <svg viewBox="0 0 1 1"/></p><p>more</p>', '<p>kept</p><math/><p>more</p><svg><text>no</text></svg>',
+    "<p>kept</p><svg><path d=1><p>more</p><svg><text>no</text></svg>", "<p>kept</p><iframe src=x> no <p>more</p>",
+    "<p>kept</p><style> p {} <p>more</p><style>div {}</style>", "<p>kept</p><video src=x><div>more</div>",
+    "<title>T<body><p>kept</p>", "<p>kept</p><select><option>no<p>more</p>", "<p>kept</p><!-- <script> --><p>more</p>"]
+
+
+@pytest.mark.parametrize("page", RAW_PAGES)
+def test_main_text_after_unclosed_raw_elements(page):
+    assert html.main_text(page) == ("kept more" if "more" in page else "kept")
+
+
+@pytest.mark.parametrize("gone", [
+    "<script>if (a < b) x = '<p>no</p><svg><style>'</script>", "<style><!-- p {} <svg> </style>", "<title>The <select> tag</title>",
+    "<svg><svg><text>no</text></svg><text>no</text></svg>", "<noscript><p>no</p></noscript>", "<template><div>no</div></template>",
+    "<object><object><p>no</p></object><p>no</p></object>", "<textarea><p>no</textarea>", "<!-- <p>no</p> -->",
+    "<SVG><text>no</text></Svg >"])
+def test_main_text_without_raw_elements(gone):
+    assert html.main_text(f"<p>kept</p>{gone}<p>more</p>") == "kept more"
+    assert html.main_text(f"<p>kept</p><p>more</p><script>no {gone}") == "kept more" or "/script" in gone
+
+
 @pytest.mark.parametrize("leaf,fanout", [(2500, 64), (40, 4)])
 def test_cosine_links(spark, monkeypatch, leaf, fanout):
     monkeypatch.setattr(covertree, "LEAF", leaf)
