@@ -135,16 +135,22 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return pairs.union(stars)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, version (hash of the text), fp (long), fingerprint (16 hex
-    digits), component_id (smallest doc_id that links reach, itself included)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows as (doc_id, version, fp), and (fp, first_id, root): the component's
+    smallest fingerprint as its root."""
     base = stored(small_batches(docs).select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("version"),
                               fingerprint_column(text_col, shingle).alias("fp")), "simhash_docs")
     first = stored(base.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash_distinct")
     roots = connected_components(links(first.select("fp"), max_bits), "simhash_edges")
     linked = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    linked = linked.withColumn("root", F.coalesce("root", "fp"))
+    return base, linked.withColumn("root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, version (hash of the text), fp (long), fingerprint (16 hex
+    digits), component_id (smallest doc_id that links reach, itself included)."""
+    base, linked = _grouped(docs, id_col, text_col, shingle, max_bits)
     of_root = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_fp = linked.join(of_root, "root").select("fp", "component_id")
     return (base.join(of_fp, "fp")
@@ -153,16 +159,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows of ``docs`` (all columns), one of each group: a row of the smallest
-    doc_id (of repeated rows, one); rows without a doc_id stay."""
-    found = stored(near_duplicates(docs.select("doc_id", "text"), "doc_id", "text", shingle, max_bits)
-                   .where("doc_id = component_id").select("doc_id", "version"), "simhash_kept")
-    keep = (found.groupBy("doc_id").agg(F.min("version").alias("_of"))
-            .withColumnRenamed("doc_id", "_id"))
+    """Rows of ``docs`` (all columns), one of each group: the smallest doc_id and
+    of its texts in the group the smallest version (of repeated rows, one); rows
+    without a doc_id stay.  A doc_id whose texts are in several groups can be
+    kept once for each."""
+    base, linked = _grouped(docs.select("doc_id", "text"), "doc_id", "text", shingle, max_bits)
+    least = F.min(F.struct("doc_id", "version", "n")).alias("k")
+    copies = base.where("doc_id IS NOT NULL").groupBy("fp", "doc_id", "version").agg(F.count(F.lit(1)).alias("n"))
+    of_fp = copies.groupBy("fp").agg(least).select("fp", "k.*")
+    found = stored(of_fp.join(linked.select("fp", "root"), "fp").groupBy("root").agg(least).select("k.*"), "simhash_kept")
+    keep = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_of"))
     rows = docs.withColumn("_version", F.xxhash64("text"))
     kept = (rows.join(keep, (F.col("doc_id") == F.col("_id")) & (F.col("_version") == F.col("_of")), "left")
             .where(F.col("_id").isNotNull() | F.col("doc_id").isNull()))
-    if not found.groupBy("doc_id", "version").count().where("count > 1").isEmpty():
+    if not found.where("n > 1").isEmpty():
         again = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
         kept = kept.withColumn("_row", again).dropDuplicates(["doc_id", "_version", "_row"])
     return kept.select(docs.columns)

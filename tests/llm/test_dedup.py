@@ -93,6 +93,15 @@ def test_keep_first(docs, no_docs):
     assert simhash.keep_first(no_docs).count() == 0
 
 
+def test_keep_first_of_an_id_in_two_groups(spark):
+    one = "the first text of this document speaks about the weather at sea in the early spring of the year"
+    two = "quite another matter is treated here namely how bread was baked in the villages of the hills"
+    rows = [(5, one), (5, two), (5, two), (7, one), (8, two), (None, two), (9, "alone"), (9, "apart"), (9, "apart")]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(5, one), (5, two), (None, two), (9, "alone"), (9, "apart")]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+
+
 def test_long_texts_in_blocks(monkeypatch):
     text = " ".join(f"w{i % 97}" for i in range(3000))
     whole = simhash.fingerprint(text)
