@@ -22,6 +22,8 @@ Cases: null and empty texts have no shingles and match nothing; a text of
 fewer than five words is one shingle (its whole word sequence); repeated rows
 of a document are one document for the result; rows of one doc_id with
 different texts are compared separately and the largest containment counts;
+decontaminate drops only the rows with a contaminated text, of a repeated or null
+doc_id too (in the pairs all null ids are one document);
 an empty table gives no rows; other columns are ignored.
 """
 
@@ -62,9 +64,8 @@ def item_shingles(items: DataFrame, k: int = SHINGLE, threshold: float = THRESHO
     return sh.withColumn("in_sketch", rank <= m)
 
 
-def contaminated_pairs(docs: DataFrame, items: DataFrame, k: int = SHINGLE,
-                       threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, n_shared, n_item, containment (>= threshold)."""
+def _contaminated(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> DataFrame:
+    """doc_id, version (hash of the text), item_id, n (of the item), n_shared of the contained items."""
     side = item_shingles(items.select("item_id", "text"), k, threshold).cache()
     n_side = side.count()
     side = side.select("item_id", F.col("h").alias("ih"), "shingle", "n", "in_sketch")
@@ -77,16 +78,24 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, k: int = SHINGLE,
             .select("doc_id", "version", "item_id", "n", "ih", "in_sketch"))
     found = (hits.groupBy("doc_id", "version", "item_id", "n")
              .agg(F.size(F.collect_set("ih")).cast("long").alias("n_shared"), F.max("in_sketch").alias("found")))
-    found = found.where(F.col("found") & (F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9)))
+    return found.where(F.col("found") & (F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9)))
+
+
+def contaminated_pairs(docs: DataFrame, items: DataFrame, k: int = SHINGLE,
+                       threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, item_id, n_shared, n_item, containment (>= threshold)."""
+    found = _contaminated(docs, items, k, threshold)
     return (found.groupBy("doc_id", "item_id")
             .agg(F.max("n_shared").alias("n_shared"), F.max("n").alias("n_item"))
             .withColumn("containment", F.col("n_shared") / F.col("n_item")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` (all columns) that hold no benchmark item."""
-    bad = contaminated_pairs(docs, items, k, threshold).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    """Rows of ``docs`` (all columns) whose text holds no benchmark item."""
+    bad = (_contaminated(docs, items, k, threshold)
+           .select(F.col("doc_id").alias("_bad_id"), F.col("version").alias("_bad_version")).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"])
+                     & (F.xxhash64(docs["text"]) == bad["_bad_version"]), "left_anti")
 
 
 SQL_DECONTAMINATE = """

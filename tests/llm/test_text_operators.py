@@ -48,6 +48,15 @@ def test_contaminated_documents(spark, docs, no_docs):
     assert decontaminate.contaminated_pairs(docs, items.where("false")).count() == 0
 
 
+def test_clean_texts_of_a_contaminated_id_stay(spark):
+    item = " ".join(f"w{i}" for i in range(40))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (None, "a clean text"), (None, None), (3, "see " + item), (3, "clean"), (3, "clean"), (4, "more")]
+    clean = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    want = [(None, "a clean text"), (None, None), (3, "clean"), (3, "clean"), (4, "more")]
+    assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(want)
+
+
 def test_chat_snapshots(spark):
     rows = [(1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "bot", "b"), (3, 0, "user", "a"), (3, 1, "bot", "c"),
             (4, 0, "user", "a"), (4, 1, "bot", "c"), (5, 0, "user", "ab"), (6, None, None, None), (7, 0, "user", ""),
