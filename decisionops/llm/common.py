@@ -22,15 +22,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Rows go to Python workers in batches of at most ``BATCH_ROWS``: a row
-    holds a whole text, and a worker keeps the memory of its largest batch."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(conf.get(key))
+    """Rows go to Python workers in batches of at most ``BATCH_ROWS`` and about
+    ``BATCH_BYTES``: a row holds a whole text, and a worker keeps the memory of
+    its largest batch.  Both are settings of the session; fewer
+    rows and a size that someone has set stay."""
+    conf, rows = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(rows))
     if now <= 0 or now > BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+        conf.set(rows, str(BATCH_ROWS))
+    if (size := "spark.sql.execution.arrow.maxBytesPerBatch") not in conf.getAll:
+        conf.set(size, str(BATCH_BYTES))
     return df
 
 

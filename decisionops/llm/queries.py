@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, covertree, decontaminate, html, langid, packing, sharding, simhash, suffix, toxicity
+from . import (chat, covertree, decontaminate, exactdedup, html, langid, packing, periodic, ranked, sharding,
+               simhash, suffix, toxicity)
 from .common import table
 
 
@@ -52,6 +53,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), max_len=1024)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(periodic.find_runs(table(spark, sf_dir, "documents"), plant=True))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.deduplicate(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_decontaminate": (op2_decontaminate, decontaminate.SQL_DECONTAMINATE),
@@ -63,4 +76,7 @@ QUERIES = {
     "op8_sharding": (op8_sharding, None),
     "op9_chat": (op9_chat, chat.SQL_FORMAT_CHATS),
     "op10_packing": (op10_packing, None),
+    "op11_ranked_search": (op11_ranked_search, ranked.SQL_RANKED),
+    "op12_periodic_runs": (op12_periodic_runs, None),
+    "op13_exact_dedup": (op13_exact_dedup, exactdedup.SQL_EXACT_DEDUP),
 }
