@@ -6,8 +6,8 @@ boilerplate (menus, page headers, footers, sidebars, notices, adverts, forms,
 comments, hidden parts).  The masses of three consecutive lines are summed, as
 are those of each run of lines with mass; where a sum surges over a threshold
 the main text begins, with the first line of that run, and where the window sums
-dive to nothing for the last time after a surge it ends.  All lines between are
-kept.  Without a surge it is the heaviest line and what reaches it over fewer
+dive to nothing for the last time after a surge it ends.  The lines with mass between
+are kept; those without (lines of links) are menus and teasers.  Without a surge it is the heaviest line and what reaches it over fewer
 than three lines without mass.  A page that marks its article (article, main,
 role=main) gives the lines inside it a mass above the threshold and the others
 none, so the surge and dive points are the article's ends however short it is.
@@ -21,6 +21,8 @@ unclosed elements end with the page or with the next block of their kind, unclos
 raw elements (styles, drawings, frames) with any next block, only an unclosed script
 with the page; ``.../>`` closes svg and math; head needs no end, as what it may hold
 is raw or empty;
+a quote that never closes is a character, a ``<name`` that never ends is text (one
+forward scan, linear in the page);
 a damaged character reference stays as it is; equal pages give equal texts;
 texts of any length are read whole; an empty table gives no rows.
 """
@@ -41,7 +43,7 @@ SURGE = 86              # characters in a window where text begins
 
 # Element names of HTML.
 RAW = set("script style noscript template svg math iframe object canvas audio video select textarea title".split())
-RAW_TEXT = "style|title|textarea|iframe"        # markup inside is text
+RAW_TEXT = {"style", "title", "textarea", "iframe"}         # markup inside is text
 BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "button"}
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section
@@ -60,34 +62,52 @@ share sharing social related recommended promotion sponsored advertisement newsl
 """.split())
 PREFIXES = {"site", "page", "main", "global", "top", "bottom", "primary", "secondary"}
 SUFFIXES = {"list", "area", "body", "box", "container", "wrapper", "x"}
+# Parts of a name that say what is listed or placed there; they go with any mark (related-posts, ad_slot).
+PLACED = set("""article articles banner bar block button buttons card cards icon icons item items link links panel post
+posts slot stories story teaser unit widget zone""".split())
+TEASERS = {"card", "teaser", "preview"}         # of an article beside or after the text's own
 COMMENTS = {"comment", "comments", "commentlist", "reply", "replies"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
-_TAG_END = r"""\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
-# Comments, scripts (open ones go to the end of the page), closed raw texts, other tags.
-_RAW = re.compile(rf"<!--.*?(?:-->|\Z)|(?P<script><script{_TAG_END}.*?(?:</script\s*>|\Z))"
-                  rf"|(?P<raw><(?P<of>{RAW_TEXT}){_TAG_END}[^<]*+(?:<(?!/?(?P=of)\b)[^<]*+)*+</(?P=of)\s*>)"
-                  r"""|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.I)
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][\w:-]*))")
+_STOP = re.compile("[>\"']")
+_SCRIPT_END = re.compile(r"</script\s*>", re.I)
+_SAME = {name: re.compile(rf"<(?:(/){name}\s*>|{name}\b)", re.I) for name in RAW_TEXT}
 _ATTRS = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?![\w:-])", re.I)
 _ROLE_MAIN = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 
 
 def _is_mark(token: str, as_id: bool, marks: set[str]) -> bool:
     """Whether a whole class, id or role name stands for boilerplate."""
-    words = core = _WORDS.findall(token.lower())
+    words = _WORDS.findall(_CAMEL.sub(" ", token).lower())
+    if len(words) > 1 and len(words[0]) == 1:        # c-promo, u-hidden: kinds of classes
+        words = words[1:]
+    placed = len(words) > 1 and words[-1] in PLACED and words[-1] not in marks
+    if placed:
+        words = words[:-1]
+    core = words
     if len(core) > 1 and core[0] in PREFIXES:
         core = core[1:]
     if len(core) > 1 and core[-1] in SUFFIXES:
         core = core[:-1]
     if not core or not marks.issuperset(core):
         return False
-    if core is not words:                            # page-search, sidebar-wrapper: of a whole page or layout
+    if core is not words and not placed:             # page-search, sidebar-wrapper: of a whole page or layout
         return not (TOPICS | {"sidebar"}).issuperset(core)
-    return not (as_id and TOPICS.issuperset(core))
+    return not (as_id and len(core) == 1 and not placed and TOPICS.issuperset(core))
+
+
+def _is_teaser(attrs: str) -> bool:
+    """Whether an article's class says that it stands for another page."""
+    for m in _ATTRS.finditer(attrs):
+        if m.group(1).lower() == "class":
+            return any(not TEASERS.isdisjoint(_WORDS.findall(_CAMEL.sub(" ", t).lower()))
+                       for t in (m.group(2) or "").strip("\"'").split())
+    return False
 
 
 def _marked(name: str, attrs: str, in_article: bool, skipped: bool = False) -> bool:
@@ -113,25 +133,90 @@ def _marked(name: str, attrs: str, in_article: bool, skipped: bool = False) -> b
     return False
 
 
+class _Scanner:
+    """Comments and tags of a page from left to right, in linear time however the
+    page is damaged.  A quote that never closes is a plain character.  A ``<name``
+    whose tag never ends is text; the quotes that such a scan passed are noted, as
+    any later scan that reaches one of them cannot end either."""
+
+    def __init__(self, page: str):
+        self.page, self.at = page, 0
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()
+        self.first = (0, -1, None)                   # from, to: where the next stop is known
+
+    def _stop(self, pos: int) -> re.Match | None:
+        lo, hi, stop = self.first
+        if not lo <= pos <= hi:
+            stop = _STOP.search(self.page, pos)
+            self.first = (pos, stop.start() if stop else len(self.page), stop)
+        return stop
+
+    def _tag_end(self, pos: int) -> int:
+        """End of the tag whose attributes begin at ``pos``, or -1."""
+        passed, stop = [], self._stop(pos) if pos <= self.last[">"] else None
+        while stop:
+            q = stop.start()
+            if stop.group() == ">":
+                return q + 1
+            if q in self.dead:
+                break
+            passed.append(q)
+            after = q + 1 if q >= self.last[stop.group()] else self.page.find(stop.group(), q + 1) + 1
+            stop = _STOP.search(self.page, after) if after <= self.last[">"] else None
+        self.dead.update(passed)
+        return -1
+
+    def __iter__(self):
+        return self
+
+    def __next__(self) -> tuple[int, int, str, bool, str]:
+        """start, end, name in lower case (empty for comments and declarations), closing, attributes."""
+        while m := _OPEN.search(self.page, self.at):
+            comment, other, closing, name = m.groups()
+            if comment:
+                end = self.page.find("-->", m.end()) + 3
+                end = len(self.page) if end == 2 else end
+            elif other:
+                end = self.page.find(">", m.end()) + 1 if m.end() <= self.last[">"] else 0
+            else:
+                end = self._tag_end(m.end())
+            if end <= 0:
+                self.at = m.end()
+                continue
+            self.at = end
+            return m.start(), end, (name or "").lower(), bool(closing), self.page[m.end():end - 1] if name else ""
+        raise StopIteration
+
+
 def _without_raw(page: str) -> str:
     """The page without scripts, styles, drawings and the like.  An opening tag
     goes with the next closing one of its name (nested ones pair up); one that is
     never closed goes with what stands before the next block."""
-    cuts, opened = [], {}                            # [start, end, closed]
-    for m in _RAW.finditer(page):
-        if m["script"] or m["raw"]:
-            cuts.append([m.start(), m.end(), True])
+    cuts, opened, unclosed = [], {}, set()           # [start, end, closed]
+    tags = _Scanner(page)
+    for start, end, name, closing, attrs in tags:
+        if name not in RAW or name in ("svg", "math") and attrs.endswith("/") and not closing:
             continue
-        name = (m["name"] or "").lower()
-        if name not in RAW or name in ("svg", "math") and m["attrs"].endswith("/") and not m["end"]:
+        if not closing and name == "script":
+            close = _SCRIPT_END.search(page, end)
+            tags.at = close.end() if close else len(page)
+            cuts.append([start, tags.at, True])
             continue
-        if not m["end"]:
-            cut = [m.start(), m.end(), False]
+        if not closing and name in _SAME:
+            same = None if name in unclosed else _SAME[name].search(page, end)
+            if same and same.group(1):
+                tags.at = same.end()
+                cuts.append([start, tags.at, True])
+                continue
+            if not same:
+                unclosed.add(name)                   # nor will any later one close
+        if not closing:
+            cut = [start, end, False]
             cuts.append(cut)
             opened.setdefault(name, []).append(cut)
         elif opened.get(name):
-            cut = opened[name].pop()
-            cut[1:] = m.end(), True
+            opened[name].pop()[1:] = end, True
     kept, at = [], 0
     for start, end, closed in cuts:
         if start < at:
@@ -149,15 +234,15 @@ class _Lines:
 
     def __init__(self, page: str):
         self.lines, self.parts, self.link_chars = [], [], 0
-        self.article, self.link = 0, 0
+        self.article, self.link, self.has_article = 0, 0, False
         self.skipped, self.depth = "", 0          # boilerplate element that is open, and its nesting
         page, at = _without_raw(page), 0
-        for m in _TOKEN.finditer(page):
-            if m.start() > at:
-                self.text(page[at:m.start()])
-            at = m.end()
-            if m.group(2):
-                self.tag(m.group(2).lower(), bool(m.group(1)), m.group(3) or "")
+        for start, end, name, closing, attrs in _Scanner(page):
+            if start > at:
+                self.text(page[at:start])
+            at = end
+            if name:
+                self.tag(name, closing, attrs)
         self.text(page[at:])
         self.end_line()
 
@@ -193,12 +278,14 @@ class _Lines:
             self.parts.append(" ")
         if not closing and name not in VOID and not attrs.endswith("/"):
             page_header = name == "header" and not self.article
-            if name in BOILERPLATE or page_header or name not in ("html", "body") and _marked(
+            teaser = name == "article" and self.has_article and _is_teaser(attrs)
+            if name in BOILERPLATE or page_header or teaser or name not in ("html", "body") and _marked(
                     name, attrs, self.article > 0):
                 self.skipped, self.depth = name, 1
                 return
         if name in ("article", "main") or _ROLE_MAIN.search(attrs):
             self.article = max(0, self.article + (-1 if closing else 1))
+            self.has_article |= name == "article" and closing
         if name == "a":
             self.link = 0 if closing else 1
 
@@ -240,7 +327,7 @@ def main_text(page: str | None) -> str:
     else:
         mass = [max(0, len(t) - k) if 2 * k <= len(t) else 0 for t, k, _ in lines]
     first, last = _main_range(mass)
-    return " ".join(lines[k][0] for k in range(first, last) if mass[k] or not in_article)
+    return " ".join(lines[k][0] for k in range(first, last) if mass[k])
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
