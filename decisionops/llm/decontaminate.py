@@ -4,19 +4,23 @@
 Texts become sets of five-word shingles (lower case, words are runs of
 letters and digits).  Benchmark items are partitioned by set size into powers
 of two; every partition has its own MinHash sketch size, the bottom m hash
-values of an item's shingles with m = floor((1 - t) * u) + 1 for the upper
-size u of the partition.  An item of which a share t of the shingles occurs
-in a document misses at most floor((1 - t) * n) of them, so at least one
-sketch value occurs in the document: the search misses nothing, however long
-the document is, while a sketch of the document itself would lose short items
+values of an item's shingles with m = floor((1 - t) * u) + ``MIN_HITS`` for the
+upper size u of the partition.  An item of which a share t of the shingles occurs
+in a document misses at most floor((1 - t) * n) of them, so at least that much
+less than the sketch occurs in the document: the search misses nothing, however
+long the document is, while a sketch of the document itself would lose short items
 in long texts.  Documents too short for a partition are not searched in it.
 
-Hits are verified by exact containment: the shared shingles are compared as
-words, not as hashes, and counted once each.  Search and verification use one
-pass over the documents; neither texts nor shingles are shuffled, only hits.
+Search: the documents' shingle hashes meet the sketch rows only, and (document,
+item) pairs with enough sketch hits are candidates.  Verification: the shingles of
+candidate documents are compared as words with all shingles of their candidate
+items, and counted once each.
 
-The item side is broadcast only when its shingle count, which is computed
-first, is at most ``BROADCAST_ROWS``; beyond that the join is a shuffle join.
+Sizes: the sketches are broadcast only when their row count, which is computed
+first, is at most ``BROADCAST_ROWS``.  Beyond that hashes are shuffled, three
+numbers each, never words; every hash is dealt out to ``SALTS`` cells, as a third
+of all documents may share one.  Texts are only moved for candidate documents, and
+only as single shingles.
 
 Cases: null and empty texts have no shingles and match nothing; a text of
 fewer than five words is one shingle (its whole word sequence); repeated rows
@@ -32,9 +36,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 SHINGLE = 5
 THRESHOLD = 0.8
+MIN_HITS = 3              # sketch values that a contained item must hit, if it has that many
 BROADCAST_ROWS = 1_000_000
+SALTS = 16
 
 
 def words(text_col: str) -> Column:
@@ -52,33 +60,63 @@ def _shingle_text(k: int) -> Column:
     return F.concat_ws(" ", *(F.get("w", F.col("i") + j) for j in range(k)))
 
 
+def _missing(n: Column, threshold: float) -> Column:
+    """Most shingles of ``n`` that a contained item can miss."""
+    return F.floor(F.lit(1 - threshold) * n + F.lit(1e-9))
+
+
 def item_shingles(items: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """item_id, h, shingle, n (distinct shingles of the item), in_sketch."""
+    """item_id, h, shingle, n (distinct shingles of the item), in_sketch, hits (sketch rows
+    that a document must have)."""
     sh = (_shingles(items.select("item_id", words("text").alias("w")), k)
           .select("item_id", "h", _shingle_text(k).alias("shingle")).distinct())
     n = F.count(F.lit(1)).over(Window.partitionBy("item_id"))
     sh = sh.withColumn("n", n)
     upper = F.pow(F.lit(2.0), F.floor(F.log2("n")) + 1) - 1           # largest size of the partition
-    m = F.floor(F.lit(1 - threshold) * upper + F.lit(1e-9)) + 1
+    m = F.least(_missing(upper, threshold) + MIN_HITS, F.col("n"))
     rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.xxhash64("h"), "shingle"))
-    return sh.withColumn("in_sketch", rank <= m)
+    return sh.withColumn("in_sketch", rank <= m).withColumn("hits", m - _missing(F.col("n"), threshold))
+
+
+def _document_words(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("version"), words("text").alias("w"))
+
+
+def candidates(docs: DataFrame, side: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD,
+               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """doc_id, version (hash of the text), item_id of the pairs with enough sketch hits."""
+    sketch = side.where("in_sketch").select("item_id", F.col("h").alias("ih"), "n", "hits")
+    hashes = _shingles(_document_words(docs), k)
+    long_enough = F.col("size") >= F.lit(threshold) * F.col("n")
+    if sketch.count() <= broadcast_rows:
+        hashes = hashes.select("doc_id", "version", F.size("w").alias("size"), "h")
+        met = hashes.join(F.broadcast(sketch), (F.col("h") == F.col("ih")) & long_enough)
+    else:
+        salt = F.pmod(F.xxhash64("doc_id", "version"), F.lit(SALTS)).cast("int")
+        hashes = hashes.select("doc_id", "version", F.size("w").alias("size"), "h", salt.alias("salt"))
+        sketch = sketch.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = hashes.join(sketch, (F.col("h") == F.col("ih")) & (F.col("salt") == F.col("cell")) & long_enough)
+    return (met.groupBy("doc_id", "version", "item_id", "hits").agg(F.size(F.collect_set("ih")).alias("met"))
+            .where("met >= hits").select("doc_id", "version", "item_id"))
 
 
-def _contaminated(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> DataFrame:
+def _contaminated(docs: DataFrame, items: DataFrame, k: int, threshold: float,
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, version (hash of the text), item_id, n (of the item), n_shared of the contained items."""
-    side = item_shingles(items.select("item_id", "text"), k, threshold).cache()
-    n_side = side.count()
-    side = side.select("item_id", F.col("h").alias("ih"), "shingle", "n", "in_sketch")
-    if n_side <= BROADCAST_ROWS:
-        side = F.broadcast(side)
-    d = docs.select("doc_id", F.xxhash64("text").alias("version"), words("text").alias("w"))
-    d = _shingles(d, k)
-    hits = (d.join(side, (d["h"] == side["ih"]) & (F.size("w") >= F.lit(threshold) * F.col("n"))
-                   & (_shingle_text(k) == side["shingle"]))
-            .select("doc_id", "version", "item_id", "n", "ih", "in_sketch"))
-    found = (hits.groupBy("doc_id", "version", "item_id", "n")
-             .agg(F.size(F.collect_set("ih")).cast("long").alias("n_shared"), F.max("in_sketch").alias("found")))
-    return found.where(F.col("found") & (F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9)))
+    side = stored(item_shingles(items.select("item_id", "text"), k, threshold), "leak_items")
+    found = stored(candidates(docs, side, k, threshold, broadcast_rows), "leak_candidates")
+    of_docs = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_of")).distinct()
+    of_docs = F.broadcast(of_docs) if of_docs.count() <= broadcast_rows else of_docs.hint("shuffle_hash")
+    rows = docs.select("doc_id", "text").join(
+        of_docs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_of")), "left_semi")
+    have = _shingles(_document_words(rows), k).select("doc_id", "version", _shingle_text(k).alias("shingle")).distinct()
+    want = found.join(side.select("item_id", "shingle", "n"), found["item_id"].eqNullSafe(side["item_id"])).select(
+        found["doc_id"].alias("_id"), found["version"].alias("_of"), found["item_id"].alias("item_id"),
+        "n", F.col("shingle").alias("_shingle"))
+    shared = have.join(want, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_of"))
+                       & (F.col("shingle") == F.col("_shingle")))
+    return (shared.groupBy("doc_id", "version", "item_id", "n").agg(F.count(F.lit(1)).alias("n_shared"))
+            .where(F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9)))
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, k: int = SHINGLE,
