@@ -1,6 +1,8 @@
 """Decontamination, chat formatting, language ID, toxicity, extraction, cosine links."""
 
 import math
+import random
+import time
 from collections import Counter
 
 import duckdb
@@ -70,6 +72,28 @@ def test_chat_snapshots(spark):
     assert chat.format_chats(log.where("false")).count() == 0
 
 
+def test_chat_rows_without_an_id(spark):
+    """Each is a conversation of one turn: it can be a copy or a snapshot, and none is put together with another."""
+    rows = [(None, 0, "user", "z"), (None, 0, "user", "z"), (None, 1, "bot", "y"), (None, None, "bot", "y"),
+            (4, 0, "user", "z"), (5, 0, "user", "q"), (5, 1, "bot", "r"), (None, 3, "user", "q")]
+    log = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = Counter((r.conv_id, r.n_turns, r.n_copies, r.rendered.count("<|im_start|>"))
+                  for r in chat.format_chats(log).collect())
+    assert got == Counter([(4, 1, 3, 1), (None, 1, 2, 1), (5, 2, 1, 2)])
+
+
+def test_chat_of_very_many_turns(spark):
+    """Work is linear in the turns of a conversation."""
+    n = 200_000
+    log = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.lit("user").alias("role"), F.concat(F.lit("t"), F.col("id") % 7).alias("text"))
+    log = log.union(log.where(f"turn < {n // 2}").withColumn("conv_id", F.lit(2).cast("long")))
+    began = time.time()
+    got = chat.format_chats(log).select("conv_id", "n_turns", "n_copies", "n_chars").collect()
+    assert [tuple(r) for r in got] == [(1, n, 1, n * (len("<|im_start|>user\nt0<|im_end|>\n")))]
+    assert time.time() - began < 60
+
+
 def test_language_id(spark, no_docs, docs):
     rows = QUERIES["op3_langid"][0](spark, MEDIUM).collect()
     lang = dict(duckdb.connect().execute(f"select doc_id, lang from '{MEDIUM}/documents.parquet'").fetchall())
@@ -228,3 +252,79 @@ def test_pipeline_stages(spark):
         n.append(docs.count())
     assert n == sorted(n, reverse=True) and n[-1] > 0.7 * n[0] and n[2] == n[3]
     assert "pipeline" in E.queries() and set(QUERIES) <= set(E.queries())
+
+
+@pytest.mark.parametrize("broken", ['<a "', "<svg ", "<a ", '<a "<a >" ', '<a x="', "<p title='", "<style>", '<a <a "x>"'])
+def test_html_of_a_long_damaged_page(broken):
+    """One forward scan: a megabyte of tags that never end takes seconds."""
+    page = "<article><p>Some text here.</p>" + broken * ((1 << 20) // len(broken))
+    began = time.time()
+    assert html.main_text(page).startswith("Some text here.")
+    assert time.time() - began < 10
+
+
+PARAGRAPHS = ["A first paragraph of the text with enough words to surge over the threshold of the window.",
+              "A short one.", "Another paragraph that goes on for a while, as the paragraphs of an article do.",
+              "And a last one with some words, which ends the article before the footer of the page begins."]
+
+
+def _paragraphs():
+    return "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="cookieBanner">We use cookies</div>', '<div class="advertisement-block">Buy now</div>',
+    '<div class="ad_slot">Buy now</div>', '<div id="social-share">Share this</div>',
+    '<div class="c-promo__item">Subscribe today</div>', '<div class="related-posts"><p>Another page</p></div>'])
+def test_html_names_of_boilerplate(part):
+    first, second = _paragraphs()[:len(_paragraphs()) // 2].rsplit("<p>", 1)[0], ""
+    second = _paragraphs()[len(first):]
+    for page in (f"<article>{first}{part}{second}</article>", f"<main>{first}{part}{second}</main>",
+                 f"<body>{first}{part}{second}</body>"):
+        assert html.main_text(page) == " ".join(PARAGRAPHS)
+
+
+def test_html_teasers_and_link_lines():
+    links = "".join(f'<li><a href="/{i}">Some other page {i}</a></li>' for i in range(5))
+    text = _paragraphs()
+    half = text.index("<p>Another")
+    assert html.main_text(f"<body><ul>{links}</ul>{text[:half]}<ul>{links}</ul>{text[half:]}</body>") == " ".join(PARAGRAPHS)
+    teaser = '<article class="card"><h2>Other</h2><p>A teaser of another page.</p></article>'
+    assert html.main_text(f"<article>{text}</article>{teaser}") == " ".join(PARAGRAPHS)
+    assert "A teaser" in html.main_text(teaser)             # a page of cards only has no other text
+
+
+def test_html_names_that_stay():
+    for name in ("content has-sidebar", "post category-search", "overflow-hidden", "cardinal", "postbody", "readmore"):
+        assert html.main_text(f'<article class="{name}">{_paragraphs()}</article>') == " ".join(PARAGRAPHS)
+        assert html.main_text(f'<article><div class="{name}">{_paragraphs()}</div></article>') == " ".join(PARAGRAPHS)
+
+
+def brute_range(mass):
+    """Surge and dive by trying every line: a line is text if it has mass, starts and ends come from the runs
+    of such lines whose own sum or a window of three lines beginning in them reaches the threshold."""
+    n = len(mass)
+    run = {k: (max([j for j in range(k + 1) if not mass[j]], default=-1) + 1,
+               min([j for j in range(k, n) if not mass[j]], default=n)) for k in range(n) if mass[k]}
+    strong = [k for k in run if sum(mass[slice(*run[k])]) >= html.SURGE
+              or any(sum(mass[j:j + 3]) >= html.SURGE for j in range(*run[k]))]
+    if not run:
+        return 0, 0
+    if strong:
+        first, last = run[strong[0]][0], run[strong[-1]][1]
+    else:
+        first = max(range(n), key=lambda k: mass[k])
+        last = first
+        while first > 0 and any(mass[max(0, first - 3):first]):
+            first -= 1 if mass[first - 1] else next(j for j in range(1, 4) if first - j >= 0 and mass[first - j])
+        last = max(last, first)
+    while last < n and any(mass[last:last + 3]):
+        last += 1 + next(j for j in range(3) if mass[last + j:last + j + 1] and mass[last + j])
+    return first, last
+
+
+def test_main_range_against_brute_force():
+    rnd = random.Random(7)
+    for _ in range(3000):
+        mass = [rnd.choice([0, 0, 0, 5, 20, 60, 120]) for _ in range(rnd.randint(0, 25))]
+        assert html._main_range(mass) == brute_range(mass), mass
