@@ -158,21 +158,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "component_id"))
 
 
+BROADCAST_KEYS = 500_000      # rows that go, by (doc_id, version): 16 bytes each before hashing
+
+
+def _by_size(keys: DataFrame) -> DataFrame:
+    """The key side of a join: broadcast up to ``BROADCAST_KEYS``; above that rows are
+    hashed by the key once and looked up, not sorted (they hold whole texts)."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys.hint("shuffle_hash")
+
+
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows of ``docs`` (all columns), one of each group: the smallest doc_id and
     of its texts in the group the smallest version (of repeated rows, one); rows
     without a doc_id stay.  A doc_id whose texts are in several groups can be
-    kept once for each."""
+    kept once for each.  Which rows go is decided on (doc_id, version) alone."""
     base, linked = _grouped(docs.select("doc_id", "text"), "doc_id", "text", shingle, max_bits)
     least = F.min(F.struct("doc_id", "version", "n")).alias("k")
     copies = base.where("doc_id IS NOT NULL").groupBy("fp", "doc_id", "version").agg(F.count(F.lit(1)).alias("n"))
+    copies = stored(copies, "simhash_copies")
     of_fp = copies.groupBy("fp").agg(least).select("fp", "k.*")
     found = stored(of_fp.join(linked.select("fp", "root"), "fp").groupBy("root").agg(least).select("k.*"), "simhash_kept")
-    keep = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_of"))
-    rows = docs.withColumn("_version", F.xxhash64("text"))
-    kept = (rows.join(keep, (F.col("doc_id") == F.col("_id")) & (F.col("_version") == F.col("_of")), "left")
-            .where(F.col("_id").isNotNull() | F.col("doc_id").isNull()))
-    if not found.where("n > 1").isEmpty():
-        again = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-        kept = kept.withColumn("_row", again).dropDuplicates(["doc_id", "_version", "_row"])
+    go = stored(copies.join(found, ["doc_id", "version"], "left_anti").select("doc_id", "version"), "simhash_dropped")
+
+    def on(keys: DataFrame) -> Column:
+        return (F.col("doc_id") == keys["_id"]) & (F.xxhash64("text") == keys["_of"])
+
+    def named(keys: DataFrame) -> DataFrame:
+        return _by_size(keys.select(F.col("doc_id").alias("_id"), F.col("version").alias("_of")))
+
+    kept, again = docs.join(go := named(go), on(go), "left_anti"), found.where("n > 1")
+    if not again.isEmpty():
+        again = named(again)
+        once = kept.join(again, on(again), "left_semi").withColumn("_of", F.xxhash64("text"))
+        once = once.dropDuplicates(["doc_id", "_of"]).select(docs.columns)
+        kept = kept.join(again, on(again), "left_anti").union(once)
     return kept.select(docs.columns)
