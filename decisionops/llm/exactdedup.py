@@ -9,8 +9,8 @@ kept on disk (RocksDB), snapshots and change logs go to ``state_dir`` on the
 shared folder, and nothing in it expires; a lost executor loads its part again,
 and a later run on the same ``state_dir`` reads new files only.
 
-A digest with several rows is a hit.  The text at the locator is joined to the
-hit rows and compared byte by byte; rows whose bytes differ (a digest collision)
+A digest with several rows is a hit.  The text at the locator (found by its
+hash) is joined to the hit rows and compared byte by byte; rows whose bytes differ (a digest collision)
 are grouped anew by their whole text.  Texts of rows without a hit are never
 moved: the digests with hits are broadcast if there are at most
 ``BROADCAST_ROWS`` (counted first), beyond that rows are joined by digest.
@@ -40,7 +40,7 @@ from .common import stored, text_or_empty
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FILES_PER_BATCH = 4096
-BROADCAST_ROWS = 100_000        # digests with their locators, some 150 bytes each
+BROADCAST_ROWS = 100_000        # digests with identifier and hash of the locator, some 60 bytes each
 CELL_ROWS = 256
 
 _STATE_CONF = {
@@ -49,6 +49,7 @@ _STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",     # of an executor
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",        # many small stores take no space ahead
 }
 
 
@@ -108,46 +109,52 @@ def _cells(n: Column) -> Column:
 
 def decisions(spark: SparkSession, source: str, state_dir: str, id_col: str = "doc_id", text_col: str = "text",
               digest: Callable[[Column], Column] = sha256, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """loc, digest, keep_id, group_size, kept of every row of ``source``, by the state in ``state_dir``."""
-    hits = stored(index(spark, state_dir).where("n > 1").select("digest", "keep", "n"), "exact_hits")
+    """doc_id, digest, keep_id, group_size, kept of every row of ``source``, by the state in ``state_dir``."""
+    hits = stored(index(spark, state_dir).where("n > 1").select(
+        "digest", "n", F.col("keep.doc_id").alias("keep_id"), F.xxhash64("keep").alias("keep")), "exact_hits")
     n_hits = hits.count()
-    rows = _rows(spark.read.parquet(source), id_col, text_col, digest)
+    rows = _rows(spark.read.parquet(source), id_col, text_col, digest).select(
+        F.col("loc.doc_id").alias("doc_id"), F.xxhash64("loc").alias("at"), "digest", "text")
     if n_hits <= broadcast_rows:
         joined = rows.join(F.broadcast(hits), "digest", "left")
     else:
         # a text that makes up over a ten-thousandth of all rows is dealt out to cells; at most 10,000 can
         least = max(CELL_ROWS, index(spark, state_dir).agg(F.sum("n")).first()[0] // 10_000)
         hot = hits.where(F.col("n") > least).select("digest", _cells(F.col("n")).alias("cells"))
-        salt = F.pmod(F.xxhash64("loc"), F.coalesce("cells", F.lit(1))).cast("int")
+        salt = F.pmod("at", F.coalesce("cells", F.lit(1))).cast("int")
         dealt = F.when(F.col("n") > least, _cells(F.col("n"))).otherwise(F.lit(1))
         salted = rows.join(F.broadcast(hot), "digest", "left").withColumn("salt", salt).drop("cells")
         copies = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), dealt - 1)))
         joined = salted.join(copies, ["digest", "salt"], "left")
-    rows = stored(joined.select("loc", "digest", "keep", "n", F.when(F.col("n") > 1, F.col("text")).alias("text")),
-                  "exact_rows")
-
-    single = rows.where("n IS NULL").select("loc", "digest", F.col("loc.doc_id").alias("keep_id"),
-                                            F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    stays = rows.where("n IS NOT NULL AND loc = keep")
-    others = (rows.where("n IS NOT NULL AND NOT loc = keep")
-              .withColumn("salt", F.pmod(F.xxhash64("loc"), _cells(F.col("n"))).cast("int")))
+    rows = stored(joined.select("doc_id", "at", "digest", "keep", "keep_id", "n",
+                                F.when(F.col("n") > 1, F.col("text")).alias("text")), "exact_rows")
+
+    out = ["doc_id", "digest", "keep_id", "n", "kept"]
+    single = rows.where("n IS NULL").select("doc_id", "digest", F.col("doc_id").alias("keep_id"),
+                                            F.lit(1).cast("long").alias("n"), F.lit(True).alias("kept"))
+    stays = rows.where("n IS NOT NULL AND at = keep")
+    others = (rows.where("n IS NOT NULL AND NOT at = keep")
+              .withColumn("salt", F.pmod("at", _cells(F.col("n"))).cast("int")))
     content = stays.select("digest", F.col("text").alias("kept_text"),
                            F.explode(F.sequence(F.lit(0), _cells(F.col("n")) - 1)).alias("salt"))
     checked = stored(others.join(content, ["digest", "salt"]).select(
-        "loc", "digest", "keep", "n", (F.col("text") == F.col("kept_text")).alias("same"),
+        "doc_id", "at", "digest", "keep_id", "n", (F.col("text") == F.col("kept_text")).alias("same"),
         F.when(F.col("text") != F.col("kept_text"), F.col("text")).alias("text")), "exact_checked")
 
-    grouped = stays.select("loc", "digest", "keep", "n").union(checked.where("same").select("loc", "digest", "keep", "n"))
+    grouped = (stays.withColumn("kept", F.lit(True)).select(out)
+               .union(checked.where("same").withColumn("kept", F.lit(False)).select(out)))
     differ = checked.where("NOT same")
     if not differ.isEmpty():
         # digest collisions: the rest of each digest is grouped by its whole text
         less = differ.groupBy("digest").agg(F.count(F.lit(1)).alias("less"))
         grouped = (grouped.join(less, "digest", "left")
-                   .select("loc", "digest", "keep", (F.col("n") - F.coalesce("less", F.lit(0))).alias("n")))
-        own = differ.groupBy("digest", "text").agg(F.max("loc").alias("keep"), F.count(F.lit(1)).alias("n"))
-        again = differ.select("loc", "digest", "text").join(own, ["digest", "text"])
-        grouped = grouped.union(again.select("loc", "digest", "keep", "n"))
-    return single.union(grouped.select("loc", "digest", "keep.doc_id", "n", F.expr("loc = keep")))
+                   .withColumn("n", F.col("n") - F.coalesce("less", F.lit(0))).select(out))
+        own = differ.groupBy("digest", "text").agg(F.max(F.struct("doc_id", "at")).alias("keep"),
+                                                   F.count(F.lit(1)).alias("n"))
+        again = differ.select("doc_id", "at", "digest", "text").join(own, ["digest", "text"])
+        grouped = grouped.union(again.select("doc_id", "digest", F.col("keep.doc_id").alias("keep_id"), "n",
+                                             (F.col("at") == F.col("keep.at")).alias("kept")))
+    return single.union(grouped).withColumnRenamed("n", "group_size")
 
 
 def deduplicate(spark: SparkSession, source: str, state_dir: str | None = None, id_col: str = "doc_id",
@@ -157,8 +164,7 @@ def deduplicate(spark: SparkSession, source: str, state_dir: str | None = None,
     state_dir = state_dir or shared_table_path(spark, f"llm/exact_state/{uuid.uuid4().hex}")
     update_index(spark, source, state_dir, id_col, text_col)
     out = decisions(spark, source, state_dir, id_col, text_col, **options)
-    return out.select(F.col("loc.doc_id").alias("doc_id"), "keep_id", "group_size", "kept",
-                      F.lower(F.hex("digest")).alias("text_sha256"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 SQL_EXACT_DEDUP = f"""

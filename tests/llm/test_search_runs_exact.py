@@ -243,8 +243,8 @@ def test_collisions_are_told_apart_by_bytes(spark, tmp_path, broadcast_rows):
     exactdedup.update_index(spark, source, state, digest=weak)
     got = exactdedup.decisions(spark, source, state, digest=weak, broadcast_rows=broadcast_rows).collect()
     want = {i: (k, n) for i, k, n, _ in brute_exact(rows)}
-    assert {r.loc.doc_id: (r.keep_id, r.group_size) for r in got} == want and len(got) == len(rows)
-    assert {r.loc.doc_id for r in got if r.kept} == {k for k, _ in want.values()}
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in got} == want and len(got) == len(rows)
+    assert {r.doc_id for r in got if r.kept} == {k for k, _ in want.values()}
 
 
 def test_state_goes_on_with_new_files(spark, tmp_path):
