@@ -1,64 +1,63 @@
-"""Candidate model families on Spark ML.
+"""Candidate model families of the v1 layout on Spark ML.
 
-Families without a Spark twin are replaced by named stand-ins: extra trees
--> a random forest without bootstrap on 80% of features per split; the
-boosted-tree libraries -> ``GBTClassifier``."""
+Families without a Spark twin are replaced by named stand-ins: the second booster
+-> ``GBTClassifier`` in its depth and sampling; the kernel SVM -> random Fourier
+features, linear SVC and Platt scaling.  An estimator reads ``scaled`` (linear
+models) or ``plain`` vectors.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 
-from .preprocess import build_pipeline
+from .rff import RandomFourierFeatures
 
 SEED = 42
-# Family sizes per search-effort level.
-SIZES = {"fast": {"trees": 120, "boost": 120}, "balanced": {"trees": 200, "boost": 100},
-         "max": {"trees": 500, "boost": 150}}
-FAMILIES = ["logistic_regression", "random_forest", "gradient_boosting", "extra_trees_standin",
-            "rbf_svm_standin"]
+UNLIMITED_DEPTH = 30                 # the deepest tree that Spark grows
+CHECKPOINT_EVERY = 25                # boosting rounds
 
+# Family sizes and parameters.
+LR_C, LR_ITERATIONS = 1.0, 3000
+FOREST_TREES, FOREST_LEAF = 500, 3
+BOOST_ROUNDS, BOOST_RATE, BOOST_DEPTH = 150, 0.03, 2
+SECOND_ROUNDS, SECOND_RATE, SECOND_DEPTH, SECOND_SAMPLE = 300, 0.03, 3, 0.9
+SVM_C, SVM_FEATURES, SVM_ITERATIONS = 1.5, 100, 50
 
-def estimator(name: str, quality: str = "fast", params: dict | None = None):
-    s = SIZES[quality]
-    p = dict(params or {})
-    common = dict(labelCol="label", featuresCol="features", probabilityCol="probability")
-    if name == "logistic_regression":
-        return LogisticRegression(regParam=p.get("regParam", 0.01), elasticNetParam=0.0, maxIter=100,
-                                  standardization=False, **common)
-    if name == "random_forest":
-        return RandomForestClassifier(numTrees=p.get("numTrees", s["trees"]), maxDepth=p.get("maxDepth", 6),
-                                      minInstancesPerNode=p.get("minInstancesPerNode", 3),
-                                      featureSubsetStrategy="sqrt", weightCol="weight", seed=SEED, **common)
-    if name == "gradient_boosting":
-        return GBTClassifier(maxIter=p.get("maxIter", s["boost"]), stepSize=p.get("stepSize", 0.1),
-                             maxDepth=p.get("maxDepth", 2), subsamplingRate=0.9, seed=SEED,
-                             labelCol="label", featuresCol="features")
-    if name == "extra_trees_standin":
-        return RandomForestClassifier(numTrees=p.get("numTrees", s["trees"]), maxDepth=p.get("maxDepth", 8),
-                                      bootstrap=False, featureSubsetStrategy="0.8", weightCol="weight",
-                                      seed=SEED, **common)
-    raise ValueError(f"unknown model family: {name}")
+FAMILIES = ["logistic_regression", "random_forest", "gradient_boosting", "rbf_svm_standin", "second_boosting"]
+TREE_FAMILIES = ["random_forest", "gradient_boosting", "second_boosting"]     # the champion is one of them
+CHALLENGER = "logistic_regression"
 
 
-def rbf_svm_stages(params: dict | None = None):
-    """Kernel-SVM stand-in: random Fourier features -> LinearSVC -> Platt
-    scaling (logistic regression on the SVM margin) for probabilities."""
-    from .rff import RandomFourierFeatures
-    p = dict(params or {})
-    return [RandomFourierFeatures(inputCol="features", outputCol="rff", numFeatures=p.get("numFeatures", 64),
-                                  gamma=p.get("gamma", 0.05), seed=SEED),
-            LinearSVC(featuresCol="rff", labelCol="label", regParam=p.get("regParam", 0.01), maxIter=25,
-                      weightCol="weight", rawPredictionCol="svm_raw", predictionCol="svm_pred"),
-            # Platt scaling on the raw margin vector (-m, m); a tiny ridge
-            # term settles the collinear pair
-            LogisticRegression(featuresCol="svm_raw", labelCol="label", probabilityCol="probability",
-                               rawPredictionCol="platt_raw", predictionCol="prediction", regParam=1e-4,
-                               maxIter=50)]
+def logistic(rows: int, c: float = LR_C, iterations: int = LR_ITERATIONS) -> LogisticRegression:
+    """C over n rows is a penalty of 1 / (C n) per row."""
+    return LogisticRegression(featuresCol="scaled", regParam=1.0 / (c * rows), elasticNetParam=0.0,
+                              maxIter=iterations, standardization=False)
+
 
+def boosting(rounds: int, rate: float, depth: int, **params) -> GBTClassifier:
+    return GBTClassifier(featuresCol="plain", maxIter=rounds, stepSize=rate, maxDepth=depth, seed=SEED,
+                         checkpointInterval=CHECKPOINT_EVERY, **params)
 
-def pipeline(name: str, quality: str = "fast", params: dict | None = None):
-    if name == "rbf_svm_standin":
-        from .preprocess import preprocessing_stages
-        return Pipeline(stages=preprocessing_stages(scale=True) + rbf_svm_stages(params))
-    return build_pipeline(estimator(name, quality, params), scale=(name == "logistic_regression"))
+
+def estimators(family: str, params: dict | None, rows: int) -> list:
+    """The stages after preprocessing; ``rows``: number of training rows."""
+    p = dict(params or {})
+    if family == "logistic_regression":
+        return [logistic(rows, p.get("C", LR_C))]
+    if family == "random_forest":
+        return [RandomForestClassifier(
+            featuresCol="plain", numTrees=p.get("numTrees", FOREST_TREES), maxDepth=p.get("maxDepth", UNLIMITED_DEPTH),
+            minInstancesPerNode=p.get("minInstancesPerNode", FOREST_LEAF), featureSubsetStrategy="sqrt",
+            weightCol="weight", maxMemoryInMB=512, seed=SEED)]
+    if family == "gradient_boosting":
+        return [boosting(p.get("maxIter", BOOST_ROUNDS), p.get("stepSize", BOOST_RATE), p.get("maxDepth", BOOST_DEPTH))]
+    if family == "second_boosting":
+        return [boosting(p.get("maxIter", SECOND_ROUNDS), p.get("stepSize", SECOND_RATE), p.get("maxDepth", SECOND_DEPTH),
+                         subsamplingRate=SECOND_SAMPLE, featureSubsetStrategy=str(SECOND_SAMPLE))]
+    if family == "rbf_svm_standin":
+        return [RandomFourierFeatures(inputCol="scaled", outputCol="rff", numFeatures=SVM_FEATURES, seed=SEED),
+                LinearSVC(featuresCol="rff", regParam=1.0 / (SVM_C * rows), maxIter=SVM_ITERATIONS, weightCol="weight",
+                          rawPredictionCol="svm_raw", predictionCol="svm_pred"),
+                # Platt scaling on the raw margin vector (-m, m); a tiny ridge term settles the collinear pair
+                LogisticRegression(featuresCol="svm_raw", rawPredictionCol="platt_raw", regParam=1e-4, maxIter=50)]
+    raise ValueError(f"unknown model family: {family}")

@@ -1,23 +1,17 @@
-"""Cross-validated benchmark, out-of-fold scores, random search, holdout.
+"""The v1 model build: repeated cross-validation of all families, out-of-fold
+scores, champion and challenger, holdout evaluation.
 
-Each fit is a distributed Spark ML job; the driver only loops over the
-(model, fold) pairs -- a handful -- and unions the fold predictions into
-one long table that is scored with grouped metric aggregates.  Model
-selection only ever sees ``split = 'dev'`` rows; the holdout is scored once.
+Preprocessing is fitted once per (repeat, fold) and stored (``ml/prepared``); every
+family is fitted on each of them.  The benchmark, the champion and the fairness
+audit use all rows in repeated stratified folds; ``holdout_eval`` fits on
+development rows only and scores the test rows once.
 """
 
 from __future__ import annotations
 
-import json
-import math
 import uuid
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-import numpy as np
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,97 +19,69 @@ from ..operators import evaluate as ev
 from ..operators import split as sp
 from ..plans.fixtures import applications_v1
 from ..session import materialize
-from .candidates import FAMILIES, SEED, pipeline
+from . import prepared as pp
+from .candidates import CHALLENGER, FAMILIES, TREE_FAMILIES, estimators
+from .preprocess import v1_stages
 
-FOLDS_FAST, SPLIT_SEED, FOLD_SEED, TEST_SIZE = 3, 2026, 42, 0.2
+FOLDS, REPEATS, SPLIT_SEED, FOLD_SEED, TEST_SIZE = 5, 5, 2026, 42, 0.2
+ID = "application_id"
 
 
-def training_frame(spark: SparkSession, sf_dir: str, folds: int = FOLDS_FAST) -> DataFrame:
-    """v1 rows with label, balanced class weight, dev/test split and fold
-    (folds assigned on dev rows only)."""
-    a = applications_v1(spark, sf_dir).withColumn(
-        "label", (F.trim(F.col("loan_status")) == "Y").cast("double"))
-    s = sp.stratified_split(a.select("application_id", "label"), "application_id", "label", TEST_SIZE, SPLIT_SEED)
-    a = a.join(s.select("application_id", "split"), "application_id")
-    dev = a.where(F.col("split") == "dev")
-    f = sp.stratified_folds(dev.select("application_id", "label"), "application_id", "label", folds, FOLD_SEED)
-    a = a.join(f.select("application_id", "fold"), "application_id", "left")
-    w = ev.class_weights(dev, "label").select(F.col("label"), F.col("weight"))
-    return a.join(F.broadcast(w), "label", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v1 rows with label and dev/test split."""
+    a = applications_v1(spark, sf_dir).withColumn("label", (F.trim(F.col("loan_status")) == "Y").cast("double"))
+    s = sp.stratified_split(a.select(ID, "label"), ID, "label", TEST_SIZE, SPLIT_SEED)
+    return a.join(s.select(ID, "split"), ID)
 
 
-def _p1(df: DataFrame) -> DataFrame:
-    return df.withColumn("p", vector_to_array(F.col("probability")).getItem(1))
+def with_folds(train: DataFrame, repeats: int = REPEATS, folds: int = FOLDS) -> DataFrame:
+    """``fold_<r>`` of every repeat."""
+    f = sp.repeated_folds(train.select(ID, "label"), ID, "label", folds, repeats, FOLD_SEED)
+    wide = f.groupBy(ID).agg(*[F.max(F.when(F.col("repeat") == r, F.col("fold"))).alias(f"fold_{r}") for r in range(repeats)])
+    return train.join(wide, ID)
 
 
-def oof_predictions(train: DataFrame, families=FAMILIES, quality: str = "fast") -> DataFrame:
-    """(application_id, model, fold, y, p): each fold scored by a pipeline
-    fitted -- preprocessing included -- on the other folds."""
-    dev = train.where(F.col("split") == "dev")
-    folds = sorted(r[0] for r in dev.select("fold").distinct().collect())   # k values
+def prepared_folds(train: DataFrame, repeats: int = REPEATS, folds: int = FOLDS) -> dict:
+    """{(repeat, fold): Prepared}"""
+    rows = materialize(with_folds(train, repeats, folds), "v1_folds", (uuid.uuid4().hex,))
+    return pp.prepare_folds(rows, v1_stages, {(r, k): F.col(f"fold_{r}") == k for r in range(repeats)
+                                              for k in range(folds)}, ID)
 
-    def scored(job):
-        name, k = job
-        model = pipeline(name, quality).fit(dev.where(F.col("fold") != k))
-        pred = _p1(model.transform(dev.where(F.col("fold") == k)))
-        return pred.select("application_id", F.lit(name).alias("model"), "fold", F.col("label").cast("int").alias("y"), "p")
 
-    with ThreadPoolExecutor(4) as pool:                     # each fit is a distributed job of its own
-        return reduce(DataFrame.unionByName, pool.map(scored, [(n, k) for n in families for k in folds]))
+def held_scores(train: DataFrame, families=FAMILIES, repeats: int = REPEATS, folds: int = FOLDS) -> DataFrame:
+    """(application_id, model, repeat, fold, y, p) of every family."""
+    return pp.held_scores(prepared_folds(train, repeats, folds), {f: (f, None) for f in families}, estimators, ID)
 
 
-def benchmark(oof: DataFrame) -> DataFrame:
-    """Mean and population std over folds of accuracy, balanced accuracy,
+def benchmark(scores: DataFrame) -> DataFrame:
+    """Mean and population std over all folds of accuracy, balanced accuracy,
     AUC, F1, recall(1), recall(0)."""
-    m = ev.classification_metrics(oof, "y", "p", 0.5, ["model", "fold"])
-    a = ev.auc(oof, "y", "p", ["model", "fold"])
-    fm = m.join(a, ["model", "fold"])
-    return ev.mean_std_over_folds(fm, ["model"], ["accuracy", "balanced_accuracy", "auc", "f1", "recall",
-                                                  "recall_0"])
-
-
-def sample_params(name: str, trials: int, seed: int = SEED) -> list[dict]:
-    """Seeded random search space per family (log-uniform via exp)."""
-    rng = np.random.default_rng(seed)
-    out = []
-    for _ in range(trials):
-        if name == "logistic_regression":
-            out.append({"regParam": float(math.exp(rng.uniform(math.log(1e-4), math.log(1.0))))})
-        elif name in ("random_forest", "extra_trees_standin"):
-            out.append({"numTrees": int(rng.integers(10, 40)), "maxDepth": int(rng.integers(3, 8)),
-                        "minInstancesPerNode": int(rng.integers(1, 8))})
-        elif name == "gradient_boosting":
-            out.append({"maxIter": int(rng.integers(10, 40)), "stepSize": float(rng.uniform(0.03, 0.3)),
-                        "maxDepth": int(rng.integers(2, 4))})
-        else:
-            raise ValueError(name)
-    return out
-
-
-def random_search(train: DataFrame, name: str, trials: int = 3, quality: str = "fast") -> DataFrame:
-    """``CrossValidator`` over sampled parameter maps with the stratified
-    ``fold`` column; maximises CV accuracy.  Returns (model, trial, params,
-    cv_accuracy)."""
-    dev = train.where(F.col("split") == "dev").withColumn("fold", F.col("fold").cast("int"))
-    pipe = pipeline(name, quality)
-    est = pipe.getStages()[-1]
-    trials_p = sample_params(name, trials)
-    maps = [{getattr(est, k): v for k, v in p.items()} for p in trials_p]
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol="fold", parallelism=2, seed=SEED,
-                        evaluator=MulticlassClassificationEvaluator(metricName="accuracy", labelCol="label"))
-    cvm = cv.fit(dev)
-    spark = train.sparkSession
-    rows = [(name, i, json.dumps(p, sort_keys=True), float(m)) for i, (p, m) in enumerate(zip(trials_p, cvm.avgMetrics))]
-    return spark.createDataFrame(rows, "model string, trial int, params string, cv_accuracy double")
-
-
-def holdout_eval(train: DataFrame, name: str, quality: str = "fast") -> DataFrame:
-    """Fit on all dev rows, score the held-out test rows once."""
-    dev = train.where(F.col("split") == "dev")
-    test = train.where(F.col("split") == "test")
-    model = pipeline(name, quality).fit(dev)
-    pred = _p1(model.transform(test)).select(F.col("label").cast("int").alias("y"), "p")
-    pred = materialize(pred, "holdout_scores", (uuid.uuid4().hex,))       # three metrics read the scores
-    m = ev.classification_metrics(pred, "y", "p", 0.5)
-    return m.crossJoin(ev.auc(pred, "y", "p")).crossJoin(ev.brier(pred, "y", "p")) \
+    by = ["model", "repeat", "fold"]
+    fm = ev.classification_metrics(scores, "y", "p", 0.5, by).join(ev.auc(scores, "y", "p", by), by)
+    return ev.mean_std_over_folds(fm, ["model"], ["accuracy", "balanced_accuracy", "auc", "f1", "recall", "recall_0"])
+
+
+def champion(bench: DataFrame) -> str:
+    """The tree family with the best (AUC, balanced accuracy); ties: the smaller name."""
+    order = (F.col("auc_mean").desc(), F.col("balanced_accuracy_mean").desc(), "model")
+    return bench.where(F.col("model").isin(TREE_FAMILIES)).orderBy(*order).first()["model"]
+
+
+def fit_pair(train: DataFrame, name: str) -> tuple[PipelineModel, dict[str, PipelineModel]]:
+    """Preprocessing, and champion and challenger, fitted on all rows."""
+    split = pp.prepare(train, v1_stages(), F.lit(False), ID)
+    return split.model, pp.fit_all(split, {f: (f, None) for f in FAMILIES}, [name, CHALLENGER], estimators)
+
+
+def holdout_scores(train: DataFrame, family: str) -> DataFrame:
+    """(application_id, y, p) of the test rows, by a fit on the development rows."""
+    split = pp.prepare(train, v1_stages(), F.col("split") == "test", ID)
+    model = pp.fit_all(split, {family: (family, None)}, [family], estimators)[family]
+    scored = model.transform(split.held())
+    return scored.select(ID, F.col("label").cast("int").alias("y"), pp.p1(scored).alias("p"))
+
+
+def holdout_metrics(scores: DataFrame, name: str) -> DataFrame:
+    m = ev.classification_metrics(scores, "y", "p", 0.5)
+    return m.crossJoin(ev.auc(scores, "y", "p")).crossJoin(ev.brier(scores, "y", "p")) \
             .select(F.lit(name).alias("model"), "*")

@@ -10,13 +10,15 @@ from .globalrank import exact_quantiles
 
 def quality_profile(df: DataFrame, id_col: str, label_approved) -> DataFrame:
     """rows, columns, duplicate rows, duplicate ids, missing cells, approval
-    rate.  Duplicates are counted from grouped counts (partial aggregation
-    before the shuffle), not by collecting rows."""
+    rate.  Equal rows have equal ids: ids are counted first (one column), and
+    only rows of repeated ids are compared as a whole."""
     cols = df.columns
-    dup_rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("c")).agg(
+    ids = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("c"))
+    dup_ids = ids.agg(F.sum(F.col("c") - 1).alias("duplicate_ids"))
+    repeated = ids.where("c > 1").select(F.col(id_col).alias("_id"))
+    suspects = df.join(repeated, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    dup_rows = suspects.groupBy(*cols).agg(F.count(F.lit(1)).alias("c")).agg(
         F.sum(F.col("c") - 1).alias("duplicate_rows"))
-    dup_ids = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("c")).agg(
-        F.sum(F.col("c") - 1).alias("duplicate_ids"))
     base = df.agg(F.count(F.lit(1)).alias("rows"),
                   sum(F.count_if(F.col(c).isNull()) for c in cols).alias("missing_cells"),
                   F.round(F.avg(F.when(label_approved, 1.0).otherwise(0.0)), 6).alias("historical_approval_rate"))

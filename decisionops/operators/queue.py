@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import clip, safe_number
@@ -78,14 +78,28 @@ def matches(search: str):
     return text.contains(search.lower())
 
 
+def preset_queues(frame: DataFrame, presets=tuple(PRESETS), search: str = "", approve: float = 0.75,
+                  reject: float = 0.25, limit: int = QUEUE_DEFAULT_LIMIT) -> DataFrame:
+    """Top-k of the manual cases that pass a search, under each preset.  All manual cases are
+    ranked once, then filtered, so a match is found whatever its rank; a case goes to every
+    preset that it passes, and tasks keep at most k cases a preset before the last ranking."""
+    if int(limit) < 1:
+        raise ValueError("a queue needs a limit of at least 1")
+    found = queue_candidates(frame, approve, reject).where(matches(search))
+    passed = F.array_compact(F.array(*[
+        F.lit(p) if PRESETS[p] is None else F.when(PRESETS[p](), F.lit(p)) for p in presets]))
+    order = (F.col("policy_priority").desc(), F.col("processing_hours").desc(), F.col("loan_value").desc(),
+             F.col("application_id").asc())
+    dealt = found.withColumn("preset", F.explode(passed))
+    top = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("preset").orderBy(*order)))
+    return (queue_columns(top.where(F.col("_rank") <= int(limit)), "preset")
+            .withColumn("priority_band", priority_band("priority")))
+
+
 def filtered_queue(frame: DataFrame, preset: str = "all", search: str = "", approve: float = 0.75,
                    reject: float = 0.25, limit: int = QUEUE_DEFAULT_LIMIT) -> DataFrame:
-    """Top-k of the manual cases that pass a preset and a search.  All manual
-    cases are filtered, then ranked, so a match is found whatever its rank."""
-    found = queue_candidates(frame, approve, reject).where(matches(search))
-    if PRESETS[preset] is not None:
-        found = found.where(PRESETS[preset]())
-    return queue_columns(_top(found, limit)).withColumn("priority_band", priority_band("priority"))
+    """Top-k of the manual cases that pass a preset and a search."""
+    return preset_queues(frame, (preset,), search, approve, reject, limit).drop("preset")
 
 
 def case_records(frame: DataFrame, requests: DataFrame, id_col: str = "application_id") -> DataFrame:

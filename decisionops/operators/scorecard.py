@@ -125,12 +125,10 @@ def score(df: DataFrame, sc: Scorecard = DEFAULT_SCORECARD, out: str = "approval
 def factors(df: DataFrame, id_col: str, sc: Scorecard = DEFAULT_SCORECARD, top_n: int = 6) -> DataFrame:
     """Top-n features per row by |contribution| (ties by feature name), as
     rows (id, rank, feature, contribution, direction).  Row-local."""
-    arr = F.array(*[F.struct(F.abs(contribution(sc, f)).alias("mag"), F.lit(f).alias("feature"),
+    # ascending by -|contribution|, then feature
+    arr = F.array(*[F.struct((-F.abs(contribution(sc, f))).alias("mag"), F.lit(f).alias("feature"),
                              contribution(sc, f).alias("contribution")) for f in sc.features])
-    # sort by magnitude desc, then feature asc
-    srt = F.array_sort(arr, lambda a, b: F.when(a.mag > b.mag, -1).when(a.mag < b.mag, 1)
-                       .when(a.feature < b.feature, -1).when(a.feature > b.feature, 1).otherwise(0))
-    top = F.slice(srt, 1, top_n)
+    top = F.slice(F.sort_array(arr), 1, top_n)
     return (df.select(id_col, F.posexplode(top).alias("pos", "f"))
               .select(id_col, (F.col("pos") + 1).cast("long").alias("rank"),
                       F.col("f.feature").alias("feature"),

@@ -66,6 +66,16 @@ def validate_rows_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
                             va.V1_RULES, "application_id")
 
 
+PARTIAL_COLUMNS = ["applicant_income", "loan_amount", "credit_history", "married"]
+
+
+def validate_rows_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrive without most optional columns: absent columns take their defaults,
+    nulls of columns that are there stay violations."""
+    return va.validate_rows(applications_v1(spark, sf_dir).select("application_id", *PARTIAL_COLUMNS),
+                            va.V1_RULES, "application_id")
+
+
 def validate_rows_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.validate_rows(cl.normalize(applications_v2_raw(spark, sf_dir)), va.V2_RULES, "loan_id")
 
@@ -225,6 +235,15 @@ def sql_validate_rows_v1() -> str:
     return "WITH " + SQL_APPLICATIONS_V1 + _validate_sql(va.V1_RULES, "application_id", "applications_v1")
 
 
+def sql_validate_rows_partial() -> str:
+    def default(name, spec):
+        return f"{spec[2]!r} AS {name}"
+    absent = ", ".join(default(n, s) for n, s in va.V1_RULES.items() if n not in PARTIAL_COLUMNS)
+    return "WITH " + SQL_APPLICATIONS_V1 + f""",
+partial AS (SELECT application_id, {", ".join(PARTIAL_COLUMNS)}, {absent} FROM applications_v1)""" + _validate_sql(
+        va.V1_RULES, "application_id", "partial")
+
+
 def sql_validate_rows_v2() -> str:
     return "WITH " + SQL_APPLICATIONS_V2_RAW + _sql_clean_ctes() + _validate_sql(va.V2_RULES, "loan_id", "norm")
 
@@ -319,6 +338,7 @@ QUERIES = {
     "clean_v2_report": (clean_v2_report, sql_clean_v2_report),
     "validate_rows_v1": (validate_rows_v1, sql_validate_rows_v1),
     "validate_rows_v2": (validate_rows_v2, sql_validate_rows_v2),
+    "validate_rows_partial": (validate_rows_partial, sql_validate_rows_partial),
     "dataset_checks": (dataset_checks, sql_dataset_checks),
     "quality_profile": (quality_profile, sql_quality_profile),
     "missing_by_field": (missing_by_field, sql_missing_by_field),

@@ -12,6 +12,7 @@ _MODULES = [
     "decisionops.plans.scorecard_queries",
     "decisionops.plans.ml_queries",
     "decisionops.plans.stream_queries",
+    "decisionops.plans.report",
 ]
 
 

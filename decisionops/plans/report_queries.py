@@ -7,11 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import policy as pol
+from ..operators import profile as pr
 from ..operators import queue as q
 from ..operators import segments as seg
+from ..operators import toplists as tops
 from ..sources.tables import read_table
 from .analysis_frame import ROUTE_MANUAL, analysis_frame, analysis_frame_sql, route_sql
+from .fixtures import V1_COLUMNS, applications_v1
 from .policy_queries import _policies_values, brute_policy_sql
+from .scorecard_queries import importance_rollup, sql_importance_rollup
 
 QUEUE_SEARCH = "analyst b"
 ALL_DIMS = list(seg.DIMENSIONS)
@@ -41,13 +45,8 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The searched queue under every preset, one after the other."""
-    f = analysis_frame(spark, sf_dir)
-    out = None
-    for preset in q.PRESETS:
-        one = q.filtered_queue(f, preset, QUEUE_SEARCH).withColumn("preset", F.lit(preset))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """The searched queue under every preset."""
+    return q.preset_queues(analysis_frame(spark, sf_dir), search=QUEUE_SEARCH)
 
 
 def priority_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +77,16 @@ def case_records_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join("audit.simulation_fields", ",").alias("simulation_fields"))
 
 
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that are asked for: users of events, and twice the event number, a range that goes
+    beyond the applications."""
+    asked = F.array(F.col("user_id").cast("long"), F.col("event_id").cast("long") * 2)
+    return read_table(spark, sf_dir, "events").select(F.explode(asked).alias("application_id")).distinct()
+
+
 def cases_not_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested ids that no application has (the anti-join form of the lookup)."""
-    req = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("application_id")).distinct()
-    return req.join(analysis_frame(spark, sf_dir).select("application_id"), "application_id", "left_anti")
+    return _requests(spark, sf_dir).join(analysis_frame(spark, sf_dir).select("application_id"), "application_id", "left_anti")
 
 
 def decision_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,8 +187,49 @@ def segment_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.where(F.col("s1").isNotNull()).select(text.alias("narrative"))
 
 
+# Sizes of the report's lists.
+LIST_SIZES = {"opportunities": 4, "segment_cards": 3, "missing_fields": 6, "importances": 10}
+LIST_DIMENSIONS = {"opportunities": "channel", "segment_cards": "property_area"}
+
+
+def top_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four fixed-size lists: segments by opportunity (of two dimensions), fields by missing
+    values, features by the scorecard's rolled-up importance."""
+    f = analysis_frame(spark, sf_dir)
+    parts = []
+    for name, dimension in LIST_DIMENSIONS.items():
+        segs = seg.segment_metrics(f, dimension)
+        detail = F.concat(F.format_string("%.6f", "manual_review_rate"), F.lit(" manual, "),
+                          F.format_string("%.2f", "avg_processing_hours"), F.lit(" h"))
+        parts.append(tops.entries(segs, name, F.col("segment"), F.col("opportunity_score"), F.col("applications"),
+                                  value=F.col("applications"), detail=detail))
+    missing = pr.missing_by_field(applications_v1(spark, sf_dir))
+    parts.append(tops.entries(missing, "missing_fields", F.col("field"), value=F.col("missing")))
+    parts.append(tops.entries(importance_rollup(spark, sf_dir), "importances", F.col("feature"), value=F.col("importance")))
+    return tops.top_lists(parts, LIST_SIZES)
+
+
 # ------------------------------------------------------------------ DuckDB
 
+def sql_top_lists() -> str:
+    segments = ", ".join(f"""
+  l_{name} AS (SELECT '{name}' AS list, segment AS label, CAST(applications AS DOUBLE) AS value,
+    printf('%.6f', manual_review_rate) || ' manual, ' || printf('%.2f', avg_processing_hours) || ' h' AS detail,
+    opportunity_score AS k1, applications AS k2 FROM segs WHERE dimension = '{dimension}')"""
+                         for name, dimension in LIST_DIMENSIONS.items())
+    fields = " UNION ALL ".join(f"SELECT '{c}' AS label, count_if({c} IS NULL) AS n FROM applications_v1" for c in V1_COLUMNS)
+    sizes = " ".join(f"WHEN '{name}' THEN {k}" for name, k in LIST_SIZES.items())
+    return "WITH " + analysis_frame_sql() + "," + _segments_sql(list(LIST_DIMENSIONS.values())) + "," + segments + f""",
+  l_missing AS (SELECT 'missing_fields' AS list, label, CAST(n AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS detail, n AS k1,
+    0 AS k2 FROM ({fields}) WHERE n > 0),
+  l_importance AS (SELECT 'importances' AS list, feature AS label, CAST(importance AS DOUBLE) AS value,
+    CAST(NULL AS VARCHAR) AS detail, importance AS k1, 0 AS k2 FROM ({sql_importance_rollup()})),
+  lists AS ({" UNION ALL ".join(f"SELECT * FROM l_{n}" for n in (*LIST_DIMENSIONS, "missing", "importance"))}),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY list ORDER BY k1 DESC, k2 DESC, label) AS INTEGER) AS rank
+    FROM lists)
+SELECT list, rank, label, value, detail FROM ranked WHERE rank <= CASE list {sizes} END"""
+
+
 def _label_sql(d: str) -> str:
     c = seg.DIMENSIONS[d]
     if d == "credit_history":
@@ -357,8 +403,8 @@ FROM flat WHERE found"""
 
 def sql_cases_not_found() -> str:
     return "WITH " + analysis_frame_sql() + """
-SELECT DISTINCT user_id AS application_id FROM events
-WHERE NOT EXISTS (SELECT 1 FROM analysis a WHERE a.application_id = user_id)"""
+SELECT DISTINCT application_id FROM (SELECT user_id AS application_id FROM events UNION ALL SELECT 2 * event_id FROM events) e
+WHERE NOT EXISTS (SELECT 1 FROM analysis a WHERE a.application_id = e.application_id)"""
 
 
 def sql_decision_mix() -> str:
@@ -443,4 +489,5 @@ QUERIES = {
     "reporting_period": (reporting_period, sql_reporting_period),
     "analysis_summary": (analysis_summary, sql_analysis_summary),
     "segment_narrative": (segment_narrative, sql_segment_narrative),
+    "top_lists": (top_lists, sql_top_lists),
 }

@@ -99,51 +99,62 @@ def local_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns of one projection, sorted inside an array and sliced -- no
     explode before the ranking and no shuffle by id."""
     sc = DEFAULT_SCORECARD
-    apps = applications_v1(spark, sf_dir)
-    x = add_v1_features(apps).withColumn("p", probability(sc))
+    x = add_v1_features(applications_v1(spark, sf_dir))
     x = x.crossJoin(F.broadcast(_baseline_row(spark, sf_dir)))
 
-    def val(g, f):
-        if g != f:
-            return F.col(g)
-        b = F.col(f"b_{g}")
-        return b.cast("double") if g == "credit_history" else b
-
-    def variant_p(f):
-        a, c = val("applicant_income", f), val("coapplicant_income", f)
-        loan = val("loan_amount", f)
-        total = F.coalesce(a, F.lit(0.0)) + F.coalesce(c, F.lit(0.0))
-        cols = {g: val(g, f) for g in V1_PREDICTORS}
-        cols["log_total_income"] = F.log(F.lit(1.0) + F.when(total < 0, F.lit(0.0)).otherwise(total))
-        cols["log_loan_amount"] = F.log(F.lit(1.0) + F.when(loan < 0, F.lit(0.0)).otherwise(loan))
-        return _probability_of(sc, cols)
-
-    # each variant score is evaluated once, as a column of one projection
-    x = x.select("application_id", *[(F.col("p") - variant_p(f)).alias(f"d_{f}") for f in V1_PREDICTORS])
+    def with_baseline(f):
+        """The scorecard feature that predictor f moves, and its value at f's baseline."""
+        b = F.col(f"b_{f}")
+        if f in ("applicant_income", "coapplicant_income"):
+            a, c = (b if g == f else F.col(g) for g in ("applicant_income", "coapplicant_income"))
+            total = F.coalesce(a, F.lit(0.0)) + F.coalesce(c, F.lit(0.0))
+            return "log_total_income", F.log(F.lit(1.0) + F.when(total < 0, F.lit(0.0)).otherwise(total))
+        if f == "loan_amount":
+            return "log_loan_amount", F.log(F.lit(1.0) + F.when(b < 0, F.lit(0.0)).otherwise(b))
+        return f, b.cast("double") if f == "credit_history" else b
+
+    # every term once, the logit once; a variant exchanges the one term that it moves
+    terms = {f: contribution(sc, f) for f in sc.features}
+    moved = {f: with_baseline(f) for f in V1_PREDICTORS}
+    x = x.select("application_id", *[c.alias(f"t_{f}") for f, c in terms.items()],
+                 *[term_of(sc, g, v).alias(f"n_{f}") for f, (g, v) in moved.items()])
+    z = F.lit(float(sc.intercept))
+    for f in sc.features:
+        z = z + F.col(f"t_{f}")
+    x = x.withColumn("z", z)
+
+    def p(z):
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+    x = x.select("application_id", *[(p(F.col("z")) - p(F.col("z") - F.col(f"t_{g}") + F.col(f"n_{f}"))).alias(f"d_{f}")
+                                     for f, (g, _) in moved.items()])
     items = [F.struct((-F.abs(fround(F.col(f"d_{f}"), 9))).alias("mag"), F.lit(f).alias("feature"),
                       F.col(f"d_{f}").alias("delta")) for f in V1_PREDICTORS]
     top = F.slice(F.sort_array(F.array(*items)), 1, TOP_FACTORS)       # largest first, then by name
     return (x.select("application_id", F.posexplode(top).alias("pos", "v"))
              .select("application_id", (F.col("pos") + 1).cast("long").alias("rank"),
-                     F.col("v.feature").alias("feature"), F.round("v.delta", 6).alias("delta")))
+                     F.col("v.feature").alias("feature"), (F.round("v.delta", 6) + F.lit(0.0)).alias("delta")))
+
+
+def term_of(sc: Scorecard, f: str, c):
+    """The scorecard's term of feature f for a value given as a column expression."""
+    if f in sc.categorical:
+        levels = sc.categorical[f]
+        lv = c.cast("int").cast("string") if f == "credit_history" else c
+        e = F.when(lv.isNull(), F.lit(float(levels.get(None, 0.0))))
+        for lvl, coef in levels.items():
+            if lvl is not None:
+                e = e.when(lv == lvl, F.lit(float(coef)))
+        return e.otherwise(F.lit(0.0))
+    slope, centre = sc.numeric[f]
+    return F.coalesce(F.lit(float(slope)) * (c - F.lit(float(centre))), F.lit(0.0))
 
 
 def _probability_of(sc: Scorecard, cols: dict):
     """The scorecard probability over given column expressions."""
     z = F.lit(float(sc.intercept))
     for f in sc.features:
-        c = cols[f]
-        if f in sc.categorical:
-            levels = sc.categorical[f]
-            lv = c.cast("int").cast("string") if f == "credit_history" else c
-            e = F.when(lv.isNull(), F.lit(float(levels.get(None, 0.0))))
-            for lvl, coef in levels.items():
-                if lvl is not None:
-                    e = e.when(lv == lvl, F.lit(float(coef)))
-            z = z + e.otherwise(F.lit(0.0))
-        else:
-            slope, centre = sc.numeric[f]
-            z = z + F.coalesce(F.lit(float(slope)) * (c - F.lit(float(centre))), F.lit(0.0))
+        z = z + term_of(sc, f, cols[f])
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 

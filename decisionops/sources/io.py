@@ -52,3 +52,14 @@ def read_published(spark: SparkSession, published: str) -> DataFrame:
     """The version that was published last."""
     last = spark.read.parquet(f"{published}/pointer").orderBy(F.col("at").desc()).first()
     return spark.read.parquet(last["version"])
+
+
+def append_run(record: DataFrame, log: str) -> None:
+    """Append a run's record to the one log; earlier runs stay."""
+    record.coalesce(1).write.mode("append").parquet(log)
+
+
+def read_runs(spark: SparkSession, log: str, as_of=None) -> DataFrame:
+    """All runs of the log, or those up to a point in time."""
+    runs = spark.read.parquet(log)
+    return runs if as_of is None else runs.where(F.col("created_at") <= F.lit(as_of))

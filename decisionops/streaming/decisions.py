@@ -20,9 +20,10 @@ from ..operators.scorecard import DEFAULT_SCORECARD, probability
 from ..plans.analysis_frame import DEFAULT_APPROVE, DEFAULT_REJECT, route
 
 
-def decisions(apps: DataFrame, approve: float = DEFAULT_APPROVE, reject: float = DEFAULT_REJECT) -> DataFrame:
+def decisions(apps: DataFrame, approve: float = DEFAULT_APPROVE, reject: float = DEFAULT_REJECT,
+              keep: tuple = ()) -> DataFrame:
     """Row-local: score, route and event time (the day of the application, at
-    a drawn time of day); batch or streaming input."""
+    a drawn time of day); batch or streaming input.  ``keep``: further columns."""
     k = F.col("application_id")
     u = hash_uniforms(k, "ops1", 3)
     day = F.col("applied_on")
@@ -33,7 +34,7 @@ def decisions(apps: DataFrame, approve: float = DEFAULT_APPROVE, reject: float =
     ts = F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), hour, minute, F.lit(0), F.lit("UTC"))
     x = add_v1_features(apps).withColumn("p", probability(DEFAULT_SCORECARD))
     return x.select("application_id", route("p", approve, reject).alias("route"), ts.alias("created_ts"),
-                    F.date_format(day, "yyyy-MM-dd").alias("day"))
+                    F.date_format(day, "yyyy-MM-dd").alias("day"), *keep)
 
 
 def daily_route_counts(decided: DataFrame, watermark: str | None = None) -> DataFrame:

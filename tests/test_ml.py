@@ -33,61 +33,172 @@ def test_csv_roundtrip_keeps_rows_and_nulls(spark):
     assert r["null_loan_amount"] == a.where("loan_amount IS NULL").count() and r["differing_rows"] == 0
 
 
-def test_unseen_level_is_all_zeros(spark):
-    from decisionops.ml.preprocess import preprocessing_stages
+def test_unseen_level_is_all_zeros_and_only_numbers_are_scaled(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from decisionops.ml.preprocess import V1_NUMERIC, v1_stages
     from decisionops.plans.fixtures import applications_v1
     from tests.conftest import SF_SMALL
     a = applications_v1(spark, SF_SMALL)
-    model = Pipeline(stages=preprocessing_stages(scale=False)).fit(a)
-    from pyspark.sql import functions as F
+    model = Pipeline(stages=v1_stages()).fit(a)
     odd = a.limit(1).withColumn("property_area", F.lit("Offshore"))
     row = model.transform(odd.unionByName(a.where("property_area = 'Rural'").limit(1))).select("property_area_ohe").collect()
     assert sorted(r[0].toArray().sum() for r in row) == [0.0, 1.0] and row[0][0].size == 3
+    rows = model.transform(a).select("plain", "scaled").collect()
+    plain, scaled = (np.array([r[c].toArray() for r in rows]) for c in ("plain", "scaled"))
+    n = len(V1_NUMERIC)
+    assert np.allclose(scaled[:, :n].mean(0), 0, atol=1e-9) and np.allclose(scaled[:, :n].std(0), 1)      # population
+    assert (scaled[:, n:] == plain[:, n:]).all() and set(np.unique(scaled[:, n:])) == {0.0, 1.0}
 
 
-def test_fitted_coefficients_score_like_the_model(spark):
-    import __spark_entry__ as E
-    from tests.conftest import SF_SMALL
-    r = E.queries()["fitted_score_check"](spark, SF_SMALL).first()
-    assert r["rows"] == 1500 and r["differing"] == 0
-    f = E.queries()["fitted_factors"](spark, SF_SMALL).where("application_id = 1").orderBy("rank").collect()
-    assert len(f) == 6 and [abs(x.contribution) for x in f] == sorted((abs(x.contribution) for x in f), reverse=True)
+def test_kernel_width_and_features_of_the_data(spark):
+    """gamma is 1 / (slots x variance of all entries); the features approximate that kernel."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from decisionops.ml.rff import RandomFourierFeatures
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(40, 6)) * 3 + 1
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], ["id", "scaled"])
+    model = RandomFourierFeatures(numFeatures=4000).fit(df)
+    gamma = model.getOrDefault(model.gamma)
+    assert abs(gamma - 1 / (6 * x.var())) < 1e-12
+    z = np.array([r.rff.toArray() for r in model.transform(df).orderBy("id").collect()])
+    exact = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(-1))
+    assert np.abs(z @ z.T - exact).max() < 0.12
+    assert model.transform(df.where("id < 0")).count() == 0
+
+
+def test_tuning_ranges():
+    from decisionops.ml import enhanced as en
+    for family, ranges in en.RANGES.items():
+        for quality in ("fast", "balanced", "max"):
+            drawn = en.sample_params(family, 40, quality)
+            assert drawn == en.sample_params(family, 40, quality) and len(drawn) == 40
+            for p in drawn:
+                assert set(p) == set(ranges)
+                for name, (kind, *of) in ranges.items():
+                    if kind == "steps":
+                        low, high, step = of[0][quality]
+                        assert low <= p[name] <= high and (p[name] - low) % step == 0
+                    elif kind == "one of":
+                        assert p[name] in of[0]
+                    else:
+                        assert of[0] <= p[name] <= of[1]
+            assert all(en.estimators(quality)(family, p, 100) for p in drawn[:3])
 
 
 def test_v2_finalists_blend_and_bundle(spark, tmp_path):
-    """Two families, small sizes: order of finalists, blend by brute force, bundle round trip."""
+    """Two families, small sizes: order of finalists, blend by brute force, bundle round trip, scores of one row
+    and its sensitivity by hand."""
     import numpy as np
+    from pyspark.sql import functions as F
 
     from decisionops.ml import enhanced as en
     from tests.conftest import SF_SMALL
     train = en.training_frame(spark, SF_SMALL).persist()
-    tuning = en.tune(train, "random_forest", trials=1)
-    assert tuning.where("best").count() == 1
     candidates = {"logistic_regression": ("logistic_regression", None),
-                  "small_forest": ("random_forest", {"numTrees": 5, "maxDepth": 3})}
-    oof = en.out_of_fold(train, candidates).persist()
+                  "random_forest#0": ("random_forest", {"n_estimators": 5, "max_depth": 3, "class_weight": "balanced"}),
+                  "random_forest#1": ("random_forest", {"n_estimators": 3, "max_depth": 2})}
+    folds = en.prepared_folds(train)
+    assert all(f.rows.where("held").count() + f.n_train == train.where("split = 'dev'").count() for f in folds.values())
+    oof = en.out_of_fold(folds, candidates).persist()
     rows = oof.collect()
     dev = train.where("split = 'dev'").count()
-    assert len(rows) == 2 * dev
-    names = en.finalists(oof)
+    assert len(rows) == 3 * dev
+    trials = {n: c for n, c in candidates.items() if "#" in n}
+    tuning = en.tuning_table(oof, trials).collect()
+    assert [r.model for r in tuning] == ["random_forest"] * 2 and sum(r.best for r in tuning) == 1
+    top = max(tuning, key=lambda r: (r.cv_accuracy, -r.trial))
+    assert top.best and en.with_tuned(en.tuning_table(oof, trials))["random_forest"][1] == trials[f"random_forest#{top.trial}"][1]
+    names = en.finalists(oof, 2)
     acc = {n: np.mean([(r.p >= 0.5) == r.y for r in rows if r.model == n]) for n in candidates}
-    assert names == sorted(candidates, key=lambda n: (-acc[n], n)) or acc[names[0]] == acc[names[1]]
+    assert [acc[n] for n in names] == sorted(acc.values(), reverse=True)[:2]
     best = en.blend(oof, names).first()
     y = {r.loan_id: r.y for r in rows}
     p = [{r.loan_id: r.p for r in rows if r.model == n} for n in names]
     ids = sorted(y)
-    top = max(np.mean([(w / 10 * p[0][i] + (10 - w) / 10 * p[1][i] >= t / 100) == y[i] for i in ids])
-              for w in range(11) for t in range(30, 71, 5))
-    assert best.accuracy >= top - 1e-9
-    members = en.fit_members(train, candidates, names)
+    reach = max(np.mean([(w / 10 * p[0][i] + (10 - w) / 10 * p[1][i] >= t / 100) == y[i] for i in ids])
+                for w in range(11) for t in range(30, 71, 5))
+    assert best.accuracy >= reach - 1e-9
+    bundle = en.fit_bundle(train, candidates, names, [best.w1, best.w2], best.threshold, {"a": 1})
+    en.save_bundle(spark, str(tmp_path / "b"), bundle)
+    loaded = en.load_bundle(spark, str(tmp_path / "b"))
+    for k in ("weights", "threshold", "baselines", "metadata"):
+        assert getattr(loaded, k) == getattr(bundle, k)
+    assert list(loaded.members) == names and len(loaded.baselines) == 11
     test = train.where("split = 'test'")
-    w = [best.w1, best.w2]
-    scored = en.ensemble_scores(test, members, w).collect()
-    en.save_bundle(spark, str(tmp_path / "b"), members, w, best.threshold, en.baselines(train), {"a": 1})
-    loaded, w2, threshold, meta, base = en.load_bundle(spark, str(tmp_path / "b"))
-    again = {r.loan_id: r.p for r in en.ensemble_scores(test, loaded, w2).collect()}
-    assert list(loaded) == names and w2 == w and threshold == best.threshold and meta == {"a": 1}
-    assert base.count() == 11 and all(abs(again[r.loan_id] - r.p) < 1e-12 for r in scored)
+    scored = {r.loan_id: r for r in en.ensemble_scores(test, bundle).collect()}
+    again = {r.loan_id: r.p for r in en.ensemble_scores(test, loaded).collect()}
+    assert all(abs(again[i] - r.p) < 1e-12 for i, r in scored.items())
+    assert all(abs(r.p - best.w1 * r[f"p_{names[0]}"] - best.w2 * r[f"p_{names[1]}"]) < 1e-12 for r in scored.values())
+
+    one = test.orderBy("loan_id").limit(1)
+    i = one.first().loan_id
+    moved = {}
+    for f, v in loaded.baselines.items():
+        changed = one.withColumn(f, F.lit(v).cast(one.schema[f].dataType))
+        moved[f] = scored[i].p - en.ensemble_scores(changed, loaded).first().p
+    want = sorted(moved, key=lambda f: (-abs(round(moved[f], 6)), f))[:6]
+    got = en.sensitivity(en.sensitivity_scores(one, loaded)).orderBy("rank").collect()
+    assert [r.feature for r in got] == want
+    assert all(abs(r.contribution - moved[r.feature]) < 1e-6 for r in got) and got[0].label in en.LABELS.values()
+    out = en.predictions(one, loaded).first()
+    assert out.likely_approved == (scored[i].p >= loaded.threshold) and len(out.ensemble_members) == 2
+
+    perm = en.permutation_scores(test, loaded, repeats=2).persist()
+    n = test.count()
+    assert perm.count() == n * (1 + 11 * 2)
+    base = perm.where(F.col("feature") == en.BASE).collect()
+    assert all(abs(r.p - scored[r.loan_id].p) < 1e-12 for r in base)
+    imp = {r.feature: r for r in en.permutation_importance(perm, loaded.threshold).collect()}
+    right = np.mean([(r.p >= loaded.threshold) == (r.label == 1) for r in base])
+    drops = [right - np.mean([(r.p >= loaded.threshold) == (r.label == 1) for r in
+                              perm.where((F.col("feature") == "cibil_score") & (F.col("repeat") == k)).collect()]) for k in (0, 1)]
+    assert abs(imp["cibil_score"].importance - np.mean(drops)) < 1e-6 and abs(imp["cibil_score"].std - np.std(drops)) < 1e-6
+
+
+def test_tree_digest_of_files(spark, tmp_path):
+    """Bytes of several files, whatever the splits: equal to the digest of the bytes themselves."""
+    import os
+    import random
+
+    from decisionops.sources.digest import file_digests, tree_digest
+    rnd = random.Random(3)
+    contents = {"a.bin": rnd.randbytes(300_000), "b.txt": b"one\r\ntwo\n\nthree", "c.txt": b"one\r\ntwo\n\nthree\n",
+                "d.bin": b"\x00" * 5000 + b"\n" * 9000}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    want = {n: (len(c), tree_digest(c, 64)) for n, c in contents.items()}
+    assert len({d for _, d in want.values()}) == 4
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "1000", "77777"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {r.file: (r.bytes, r.digest) for r in file_digests(spark, str(tmp_path), 64).collect()}
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    changed = bytearray(contents["a.bin"])
+    changed[150_000] ^= 1
+    assert tree_digest(bytes(changed), 64) != want["a.bin"][1] and os.listdir(tmp_path)
+
+
+def test_run_log_grows(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from decisionops.sources import io
+    log = str(tmp_path / "log")
+    record = spark.range(1).select(F.current_timestamp().alias("created_at"))
+    for run, members in enumerate(([("a", 0.4), ("b", 0.6)], [("a", 1.0)])):
+        m = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(w).alias("weight")) for n, w in members])
+        io.append_run(record.select(F.lit(run).alias("run"), m.alias("members"), "created_at"), log)
+        if run == 0:
+            then = io.read_runs(spark, log).first().created_at
+    rows = io.read_runs(spark, log).orderBy("run").collect()
+    assert [(r.run, [(m.model, m.weight) for m in r.members]) for r in rows] == [(0, [("a", 0.4), ("b", 0.6)]), (1, [("a", 1.0)])]
+    assert [r.run for r in io.read_runs(spark, log, then).collect()] == [0]
 
 
 def test_published_version_survives_a_bad_load(spark, tmp_path):

@@ -14,7 +14,8 @@ NAMES = ["policy_kpis_baseline", "policy_surface", "policy_optimum", "scenario_c
          "scorecard_factors", "local_sensitivity", "leaderboard", "blend_search", "permutation_importance",
          "queue_filters", "case_records_nested", "cases_not_found", "decision_mix", "analysis_summary", "champion",
          "json_roundtrip", "csv_roundtrip", "staged_publish", "run_metadata", "file_fingerprint", "row_fingerprint",
-         "stream_route_counts"]
+         "stream_route_counts", "stream_daily_trend", "stream_quarantine", "stream_clean", "top_lists",
+         "validate_rows_partial", "scenario_report", "quality_profile", "describe_numeric"]
 
 
 def _norm(v):

@@ -38,3 +38,40 @@ def test_split_windows_are_partitioned_by_bucket(spark):
     # the row-level ranking window runs inside (label, bucket) partitions
     rn = [ln for ln in p.splitlines() if "row_number()" in ln]
     assert rn and all("_bkt" in ln for ln in rn)
+
+
+def test_queue_presets_share_one_ranking(spark):
+    p = _plan(E.queries()["queue_filters"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p                         # k cases a preset and task before the last ranking
+    assert p.count("Scan parquet") <= 3                    # not once a preset
+
+
+def test_lists_are_limited_where_they_are_ranked(spark):
+    assert "WindowGroupLimit" in _plan(E.queries()["top_lists"](spark, SF_SMALL))
+
+
+def test_only_rows_of_repeated_ids_are_compared(spark):
+    p = _plan(E.queries()["quality_profile"](spark, SF_SMALL))
+    assert "LeftSemi" in p
+
+
+def test_factors_are_sorted_without_a_comparator(spark):
+    assert "lambda" not in _plan(E.queries()["scorecard_factors"](spark, SF_SMALL))
+
+
+def test_ensemble_members_are_scored_in_one_pass(spark):
+    """Several fitted members on one scan of the rows, without a join."""
+    from decisionops.ml import enhanced as en
+    train = en.training_frame(spark, SF_SMALL)
+    small = {n: ("random_forest", {"n_estimators": k, "max_depth": 2}) for n, k in (("a", 2), ("b", 3), ("c", 2))}
+    bundle = en.fit_bundle(train, small, list(small), [0.2, 0.3, 0.5], 0.5, {})
+    rows = spark.read.parquet(_written(train))
+    p = _plan(en.ensemble_scores(rows, bundle))
+    assert "Join" not in p and p.count("Scan parquet") == 2          # the tree of operators, and the scan's details
+
+
+def _written(df) -> str:
+    import tempfile
+    path = tempfile.mkdtemp(prefix="decisionops-plan-") + "/rows"
+    df.write.parquet(path)
+    return path
