@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,15 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system.  Python workers stay alive between stages,
+    and allocators keep freed memory, so idle workers would add up beside a full heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:                          # glibc
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -55,3 +66,47 @@ def crc_mod(id_col: Column, k: int) -> Column:
 def cells_for(n_rows: int, rows_per_cell: int = 200_000, least: int = 32) -> int:
     """Number of hash cells that keeps a cell near ``rows_per_cell`` rows."""
     return max(least, -(-n_rows // rows_per_cell))
+
+
+HASH_BITS, LEVEL_BITS = 60, 12
+
+
+def sample_hash(*cols: str, salt: str) -> Column:
+    """A hash of ``HASH_BITS`` bits; equal rows have equal ones."""
+    return F.xxhash64(*cols, F.lit(salt)).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+
+
+def sample_bounds(rows: DataFrame, group: str, u: str, most: int) -> dict:
+    """group -> upper bound (exclusive) of ``u`` (``sample_hash``) under which it has at most
+    ``most`` rows, equal hashes counted once, and nearly as many if there are.
+
+    Rows are counted per group and hash prefix (4096 a group); the prefix that would overflow
+    is split by its next bits, so however many rows share an id or a text, no more than
+    ``most`` rows a group are ever taken."""
+    taken: dict = {}             # rows so far
+    bound: dict = {}
+    open_at: dict = {}           # prefix that is split next
+    for level in range(1, HASH_BITS // LEVEL_BITS + 1):
+        shift = HASH_BITS - level * LEVEL_BITS
+        here = rows.withColumn("_prefix", F.shiftright(u, shift))
+        if level > 1:
+            if not open_at:
+                break
+            inside = rows.sparkSession.createDataFrame(
+                [(g, p) for g, p in open_at.items()], f"_g {rows.schema[group].dataType.simpleString()}, _p long")
+            here = here.join(F.broadcast(inside), F.col(group).eqNullSafe(F.col("_g"))
+                             & (F.shiftright("_prefix", LEVEL_BITS) == F.col("_p")), "left_semi")
+        per: dict = {}
+        for r in here.groupBy(group, "_prefix").count().collect():        # groups x 4096 counts
+            per.setdefault(r[group], {})[r["_prefix"]] = r["count"]
+        open_at = {}
+        for g, counts in per.items():
+            for prefix in sorted(counts):
+                n = counts[prefix] if shift else 1                      # at the last level all hashes are equal
+                if taken.get(g, 0) + n > most:
+                    if shift and taken.get(g, 0) < most:
+                        open_at[g] = prefix
+                    break
+                taken[g] = taken.get(g, 0) + n
+                bound[g] = (prefix + 1) << shift
+    return bound

@@ -10,9 +10,10 @@ added, since a few bytes decide there.  A text whose final margin is still
 too narrow is rejected (``rejected``), as is one without letters (``und``).
 
 Training: ``DICTIONARIES`` dictionaries of ``DICT_BYTES`` bytes a language,
-each filled with slices of at most ``SLICE`` letters from the middle of the
-``SAMPLE_ROWS`` training rows with the smallest id hashes.  This bounded
-sample is the documented size of the model; it does not grow with the corpus.
+each filled with slices of at most ``SLICE`` letters from the middle of at most
+``SAMPLE_ROWS`` training rows, those with the smallest hashes of id and text, of
+the ``LANGUAGES`` most common languages.  This bounded sample is the documented
+size of the model; it does not grow with the corpus, whatever ids repeat.
 
 Cases: a null text, an empty text or one without letters is ``und`` with
 score 0 and rejected; rows with a null language are not learned from; with no
@@ -24,17 +25,19 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import give_back, sample_bounds, sample_hash, small_batches
 
 DICT_BYTES = 32 << 10
 DICTIONARIES = 4          # the first one is the main dictionary
 SLICE = 1024
 SAMPLE_ROWS = 4000        # training rows a language
+LANGUAGES = 64            # the most common ones are learned
 LEVEL = 6
 CHUNK = 2048
 CLOSE = 0.03              # below this margin the further dictionaries are used
@@ -49,29 +52,25 @@ def letters(text: str) -> str:
 
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, list[bytes]]:
-    """language -> dictionaries, the most common language first, from a bounded sample of ``rows``.  A language's
-    sample is the rows with the smallest id hashes, found without sorting rows:
-    the hash bound that leaves enough rows comes from a count per hash bucket."""
+    """language -> dictionaries, the most common language first, from a bounded sample of ``rows``: the rows with
+    the smallest hashes of id and text of each of the ``LANGUAGES`` most common languages, equal rows once.  They
+    are found without sorting rows (``sample_bounds``)."""
     rows = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.lit("langid")), F.lit(1 << 20)).alias("u"),
-        F.col(text_col).alias("text"))
-    per = rows.groupBy("lang", F.shiftright("u", 8).alias("b")).count().collect()     # languages x 4096 counts
-    by_lang = defaultdict(dict)
-    for r in per:
-        by_lang[r["lang"]][r["b"]] = r["count"]
-    bound = F.lit(-1)
-    for lang, counts in by_lang.items():
-        n, top = 0, 0
-        for b in sorted(counts):
-            if n and n + counts[b] > SAMPLE_ROWS:
-                break
-            n, top = n + counts[b], b
-        bound = F.when(F.col("lang") == lang, F.lit((top + 1) << 8)).otherwise(bound)
+        F.col(lang_col).alias("lang"), sample_hash(id_col, text_col, salt="langid").alias("u"), F.col(text_col).alias("text"))
+    order = (F.col("n").desc(), "lang")
+    common = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(*order).limit(LANGUAGES)
+              .collect()]
+    if not common:
+        return {}
+    spark = rows.sparkSession
+    known = spark.createDataFrame([(lang,) for lang in common], "lang string")
+    rows = rows.join(F.broadcast(known), "lang")
+    bounds = spark.createDataFrame(list(sample_bounds(rows, "lang", "u", SAMPLE_ROWS).items()), "lang string, bound long")
     middle = F.greatest(F.lit(1), F.floor((F.length("text") - 2 * SLICE) / 2) + 1).cast("int")
-    sample = rows.where(F.col("u") < bound).select("lang", "u", F.col("text").substr(middle, F.lit(2 * SLICE)).alias("t"))
-    common = sorted(by_lang, key=lambda lang: (-sum(by_lang[lang].values()), lang))
+    sample = rows.join(F.broadcast(bounds), "lang").where("u < bound").groupBy("lang", "u").agg(
+        F.min(F.col("text").substr(middle, F.lit(2 * SLICE))).alias("t"))
     texts = defaultdict(list)
-    for r in sorted(sample.collect(), key=lambda r: (r["u"], r["t"])):
+    for r in sorted(sample.collect(), key=lambda r: (r["u"], r["t"])):        # at most LANGUAGES x SAMPLE_ROWS slices
         t = letters(r["t"])[:SLICE]
         if t:
             texts[r["lang"]].append(t)
@@ -131,29 +130,21 @@ class Classifier:
         return (b - a) / b
 
 
-_READY: dict = {}
-
-
-def _classifier(model_key: str, model: dict) -> Classifier:
-    if model_key not in _READY:
-        _READY.clear()
-        _READY[model_key] = Classifier(model)
-    return _READY[model_key]
-
-
 def predict_column(docs: DataFrame, model: dict[str, list[bytes]], text_col: str = "text") -> Column:
     """struct(lang_pred, score, rejected) of a text column.  The model (a few
-    hundred kilobytes, a fixed size a language) is broadcast."""
-    import hashlib
-    key = hashlib.sha256(repr(list(model.items())).encode()).hexdigest()
+    hundred kilobytes, a fixed size a language) is broadcast; its compressors
+    live as long as a task."""
     shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        classify = _classifier(key, shared.value)
-        rows = [classify(t) for t in texts]
-        return pd.DataFrame({"lang_pred": [r[0] for r in rows], "score": [r[1] for r in rows],
-                             "rejected": [r[2] < MIN_MARGIN for r in rows]})
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        classify = Classifier(shared.value)
+        for texts in batches:
+            rows = [classify(t) for t in texts]
+            yield pd.DataFrame({"lang_pred": [r[0] for r in rows], "score": [r[1] for r in rows],
+                                "rejected": [r[2] < MIN_MARGIN for r in rows]})
+        del classify
+        give_back()
 
     return predict(F.col(text_col))
 

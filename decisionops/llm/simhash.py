@@ -32,13 +32,15 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from .common import give_back, small_batches, stored
 from .components import connected_components
 
 SEED = 42
@@ -82,8 +84,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprint_column(text_col: str, shingle: int = SHINGLE) -> Column:
     @F.pandas_udf("long")
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+    def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+        give_back()
 
     return simhash(F.col(text_col))
 

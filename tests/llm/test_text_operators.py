@@ -328,3 +328,32 @@ def test_main_range_against_brute_force():
     for _ in range(3000):
         mass = [rnd.choice([0, 0, 0, 5, 20, 60, 120]) for _ in range(rnd.randint(0, 25))]
         assert html._main_range(mass) == brute_range(mass), mass
+
+
+@pytest.mark.parametrize("ids, texts", [(1, 1), (1, 20_000), (20_000, 1), (20_000, 20_000)])
+def test_training_samples_are_bounded(spark, ids, texts):
+    """However many rows share an id, a text or both: at most the stated number of rows a group,
+    equal rows once, and many where there are many."""
+    from decisionops.llm.common import sample_bounds, sample_hash
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 50 == 0, "rare").otherwise("common").alias("g"), (F.col("id") % ids).alias("doc_id"),
+        (F.col("id") % texts).cast("string").alias("text")).withColumn("u", sample_hash("doc_id", "text", salt="x"))
+    bounds = sample_bounds(rows, "g", "u", 300)
+    for g in ("rare", "common"):
+        kept = rows.where(F.col("g") == g).select("u").distinct().where(F.col("u") < bounds[g])
+        there = rows.where(F.col("g") == g).select("u").distinct().count()
+        assert min(there, 140) <= kept.count() <= 300          # copies count towards the bound
+
+
+def test_models_with_repeated_and_null_ids(spark):
+    """Training rows that all share an id, or have none, give a model; ties of languages go to the
+    more common one."""
+    rows = [(5, f"the cat sat on mat number {i} and then it left the house", "en") for i in range(40)]
+    rows += [(None, f"le chat est sur le tapis et il quitte la maison {i}", "fr") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert set(model) == {"en", "fr"}
+    tie = langid.Classifier({"b": [b"same words here"] * langid.DICTIONARIES, "a": [b"same words here"] * langid.DICTIONARIES})
+    assert tie("same words here")[0] == "b" and tie("same words here")[2] == 0.0
+    labelled = docs.select("doc_id", "text", (F.col("lang") == "fr").cast("int").alias("toxic"))
+    assert toxicity.fit(labelled.union(labelled)).score(docs.select("doc_id", "text")).count() == 80
