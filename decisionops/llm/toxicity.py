@@ -15,14 +15,14 @@ the others did not: a hit in the trees' rows is then as meaningful as in any
 new text.
 
 Training sample: at most ``SAMPLE_ROWS`` labelled rows, those with the
-smallest id hashes.  This bound is the documented size of the training set;
-scoring covers all rows.
+smallest hashes of id, text and label, equal rows once.  This bound is the
+documented size of the training set, whatever ids repeat; scoring covers all rows.
 
 Cases: null and empty texts have zero features and get the score of a text
 without hits; documents without labels are only scored; null labels are not
 learned from; with no training rows of both labels the score is the share of
-toxic training rows (0 if there are none); a document labelled twice counts
-twice; an empty table gives no rows; other columns are ignored.
+toxic training rows (0 if there are none); a document labelled twice with
+different labels counts twice; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, small_batches, stored
+from .common import crc_mod, sample_bounds, sample_hash, small_batches, stored
 
 SAMPLE_ROWS = 24_000
 LEXICON_SIZE = 3000
@@ -204,15 +204,11 @@ def _raw(rows: DataFrame) -> DataFrame:
 def fit(rows: DataFrame) -> Model:
     """``rows`` (doc_id, text, toxic): labelled training rows."""
     rows = rows.where(F.col("toxic").isin(0, 1)).select(
-        "text", F.col("toxic").cast("double").alias("toxic"),
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxicity")), F.lit(1 << 20)).alias("u"))
-    counts = {r["b"]: r["count"] for r in rows.groupBy(F.shiftright("u", 8).alias("b")).count().collect()}
-    total, bound = 0, 0
-    for b in sorted(counts):
-        if total and total + counts[b] > SAMPLE_ROWS:
-            break
-        total, bound = total + counts[b], b + 1
-    rows = rows.where(F.col("u") < bound << 8).withColumn("part", F.pmod(F.xxhash64("u"), F.lit(10)))
+        "text", F.col("toxic").cast("double").alias("toxic"), F.lit("all").alias("all"),
+        sample_hash("doc_id", "text", "toxic", salt="toxicity").alias("u"))
+    bound = sample_bounds(rows, "all", "u", SAMPLE_ROWS).get("all", 0)
+    rows = rows.where(F.col("u") < bound).groupBy("u").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("u"), F.lit(10)))
     rows = stored(rows.select("text", "toxic", "part"), "toxicity_sample")
     lexicon = learn_lexicon(rows.where("part < 5"))
     rest = rows.where("part >= 5")
