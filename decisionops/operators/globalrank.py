@@ -18,8 +18,6 @@ average-tie percent ranks and rank-sum AUC follow.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,18 +108,29 @@ def exact_median(df: DataFrame, value_col: str, alias: str = "median") -> DataFr
     return one.join(q, "q", "left").select(F.col("value").alias(alias))
 
 
+HOT_SHARE = 1000         # a value held by over a thousandth of a group's rows is hot
+
+
 def percent_rank_avg(df: DataFrame, value_col: str, out_col: str = "pct_rank",
                      group_cols: list[str] | None = None, bucket=log_bucket) -> DataFrame:
     """pandas ``rank(pct=True)``: ties get their average rank, divided by the
-    number of non-null values; null values get 0 (``fillna(0)``)."""
-    group_cols = list(group_cols or [])
-    r = running_before(value_counts(df, value_col, group_cols), value_col, ["_cnt"],
-                       group_cols, bucket)
-    r = r.select(*group_cols, value_col,
-                 ((F.col("_cnt_before") + (F.col("_cnt") + 1) / 2.0) / F.col("_cnt_total"))
-                 .alias(out_col))
-    out = df.join(r, [*group_cols, value_col], "left")
-    return out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(0.0)))
+    number of non-null values; null values get 0 (``fillna(0)``).
+
+    Rows take their rank by value.  The hot values (fewer than ``HOT_SHARE`` a
+    group) are broadcast, so their rows and those without a value stay where they
+    are; the other rows are joined by value, of which none is hot."""
+    keys = [*(group_cols or []), value_col]
+    r = running_before(value_counts(df, value_col, group_cols), value_col, ["_cnt"], group_cols, bucket)
+    r = r.select(*keys, (F.col("_cnt") * HOT_SHARE > F.col("_cnt_total")).alias("_is_hot"),
+                 ((F.col("_cnt_before") + (F.col("_cnt") + 1) / 2.0) / F.col("_cnt_total")).alias(out_col))
+    hot = r.where("_is_hot").select(*keys, F.col(out_col).alias("_hot"))
+    tagged = df.join(F.broadcast(hot), keys, "left")
+    placed = F.col("_hot").isNotNull() | F.col(value_col).isNull()
+    direct = tagged.where(placed).withColumn(out_col, F.coalesce("_hot", F.lit(0.0)))
+    rest = tagged.where(~placed).join(r.where("NOT _is_hot").drop("_is_hot"), keys, "left")
+    columns = [*df.columns, out_col]
+    return direct.select(columns).unionByName(
+        rest.withColumn(out_col, F.coalesce(out_col, F.lit(0.0))).select(columns))
 
 
 def rank_sum_auc(df: DataFrame, score_col: str, label_col: str,
@@ -141,6 +150,3 @@ def rank_sum_auc(df: DataFrame, score_col: str, label_col: str,
     return out.select(*group_cols, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
                                           F.col("_u") / (F.col("_p") * F.col("_n"))).alias("auc"))
 
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)

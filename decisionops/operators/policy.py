@@ -19,11 +19,14 @@ before it is broadcast.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.analysis_frame import (DEFAULT_ANALYSTS, DEFAULT_PRODUCTIVE_HOURS,
                                     DEFAULT_REVIEW_MINUTES)
+from ..session import materialize
 
 MAX_POLICIES = 10_000    # parameter-table bound for broadcasting
 
@@ -114,7 +117,8 @@ def evaluate_policies(frame: DataFrame, rows, **cols) -> DataFrame:
     policies = policies_frame(frame.sparkSession, rows)
     approve_ts = sorted({r[1] for r in rows})
     reject_ts = sorted({r[2] for r in rows})
-    cells_day = route_cells(frame, approve_ts, reject_ts, **cols)
+    # cells and days both come from the stored cell table: one scan of the rows
+    cells_day = materialize(route_cells(frame, approve_ts, reject_ts, **cols), "policy_cells", (uuid.uuid4().hex,))
     days = cells_day.agg(F.count_distinct("day").alias("distinct_days"))
     cells = cells_day.groupBy("a", "r").agg(
         F.sum("n").alias("n"), F.sum("n_hist").alias("n_hist"),

@@ -21,11 +21,17 @@ def entries(df: DataFrame, name: str, label: Column, *order: Column, value: Colu
                      keys[0].alias("_first"), second.alias("_second"))
 
 
-def top_lists(parts: list[DataFrame], sizes: dict[str, int]) -> DataFrame:
-    """(list, rank, label, value, detail): the first ``sizes[list]`` entries of every list."""
+def top_lists(parts: list[DataFrame], sizes: dict[str, int], floors: dict[str, float]) -> DataFrame:
+    """(list, rank, label, value, relative_to_max, detail): the first ``sizes[list]`` entries of
+    every list; the relative value is against the whole list's maximum (at least ``floors[list]``,
+    negative values count as 0)."""
     rows = reduce(DataFrame.unionByName, parts)
+    floor = F.coalesce(*[F.when(F.col("list") == name, F.lit(v)) for name, v in floors.items()], F.lit(1.0))
+    most_of = rows.groupBy("list").agg(F.max("value").alias("_max"))             # one row a list
     order = (F.col("_first").desc(), F.col("_second").desc(), "label")
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("list").orderBy(*order)))
     most = F.coalesce(*[F.when(F.col("list") == name, F.lit(k)) for name, k in sizes.items()], F.lit(0))
     kept = ranked.where(F.col("rank") <= max(sizes.values())).where(F.col("rank") <= most)
-    return kept.select("list", "rank", "label", "value", "detail")
+    relative = F.greatest(F.lit(0.0), F.col("value")) / F.greatest(F.col("_max"), floor)
+    return kept.join(F.broadcast(most_of), "list").select("list", "rank", "label", "value",
+                                                          F.round(relative, 6).alias("relative_to_max"), "detail")

@@ -39,13 +39,6 @@ V2_RULES = {
     "luxury_assets_value": ("range", (0.0, True, 500_000_000.0), 0.0),
     "bank_asset_value": ("range", (0.0, True, 500_000_000.0), 0.0),
 }
-SCENARIO_RULES = {
-    "approve_threshold": ("open", (0.5, 1.0)),
-    "reject_threshold": ("open", (0.0, 0.5)),
-    "analysts": ("closed", (1, 500)),
-    "productive_hours": ("open_closed", (0.5, 12.0)),
-    "volume_multiplier": ("open_closed", (0.1, 10.0)),
-}
 SEGMENT_DIMENSIONS = ["channel", "property_area", "education", "self_employed", "credit_history"]
 
 
@@ -93,13 +86,6 @@ def validate_rows(df: DataFrame, rules: dict, id_col: str) -> DataFrame:
         (F.size(fails) == 0).alias("valid"))
 
 
-def split_valid(df: DataFrame, rules: dict, id_col: str):
-    """(valid rows, quarantine rows with their violations) from one plan."""
-    v = validate_rows(df, rules, id_col)
-    j = with_defaults(df, rules).join(v, id_col)
-    return j.where("valid").drop("violation_count", "violations", "valid"), j.where(~F.col("valid"))
-
-
 def scenario_violations(scenarios: DataFrame, dimension_col: str = "segment_dimension") -> DataFrame:
     c = F.col
     checks = [
@@ -122,6 +108,7 @@ class Expectation:
     required: tuple
     min_rows: int = 0
     exact_rows: int | None = None
+    min_usable: int = 0                # rows with a known label
     label_col: str | None = None
     allowed_labels: tuple = ()
     forbidden: tuple = ()
@@ -154,6 +141,9 @@ def dataset_checks(df: DataFrame, exp: Expectation) -> DataFrame:
     parts = [F.struct(F.lit(f"{exp.name}.row_count").alias("check"), n_ok.alias("passed"),
                       F.col("_n").cast("string").alias("detail"))]
     if exp.label_col:
+        usable = F.col("_n") - F.col("_unmapped")
+        parts.append(F.struct(F.lit(f"{exp.name}.usable_rows").alias("check"), (usable >= exp.min_usable).alias("passed"),
+                              usable.cast("string").alias("detail")))
         parts.append(F.struct(F.lit(f"{exp.name}.label_domain").alias("check"), (F.col("_bad") == 0).alias("passed"),
                               F.col("_bad").cast("string").alias("detail")))
         parts.append(F.struct(F.lit(f"{exp.name}.unmapped_labels").alias("check"),

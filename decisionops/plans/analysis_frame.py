@@ -129,10 +129,6 @@ def analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsPara
     return df
 
 
-def release_frames() -> None:
-    _FRAMES.clear()
-
-
 def build_analysis_frame(spark: SparkSession, sf_dir: str, params: OpsParams = OpsParams(),
                          scorecard: Scorecard = DEFAULT_SCORECARD, apps: DataFrame | None = None) -> DataFrame:
     apps = apps if apps is not None else applications_v1_dated(spark, sf_dir)

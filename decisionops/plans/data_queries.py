@@ -19,7 +19,7 @@ from .fixtures import (ASSET_COLUMNS, SQL_APPLICATIONS_BOTH, SQL_APPLICATIONS_V1
 
 V1_EXPECT = va.Expectation("v1", tuple(V1_COLUMNS), min_rows=500, label_col="loan_status",
                            allowed_labels=("Y", "N"), forbidden=("gender",))
-V2_EXPECT = va.Expectation("v2", tuple(["loan_id", *V2_PREDICTORS, "loan_status"]), min_rows=4000,
+V2_EXPECT = va.Expectation("v2", tuple(["loan_id", *V2_PREDICTORS, "loan_status"]), min_rows=4000, min_usable=4000,
                            label_col="loan_status", allowed_labels=tuple(cl.TARGET_MAP),
                            forbidden=("gender",))
 APPROVAL_BY_COLUMNS = ["credit_history", "property_area", "education", "married", "dependents",
@@ -248,12 +248,14 @@ def sql_validate_rows_v2() -> str:
     return "WITH " + SQL_APPLICATIONS_V2_RAW + _sql_clean_ctes() + _validate_sql(va.V2_RULES, "loan_id", "norm")
 
 
-def _label_checks(name, src, allowed, min_rows) -> str:
+def _label_checks(name, src, allowed, min_rows, min_usable=0) -> str:
     al = ", ".join(f"'{a}'" for a in allowed)
     return f"""
 SELECT '{name}.required_columns' AS "check", true AS passed, '' AS detail
 UNION ALL SELECT '{name}.forbidden_columns', true, ''
 UNION ALL SELECT '{name}.row_count', count(*) >= {min_rows}, CAST(count(*) AS VARCHAR) FROM {src}
+UNION ALL SELECT '{name}.usable_rows', count_if(coalesce(trim(loan_status) IN ({al}), false)) >= {min_usable},
+  CAST(count_if(coalesce(trim(loan_status) IN ({al}), false)) AS VARCHAR) FROM {src}
 UNION ALL SELECT '{name}.label_domain', count_if(trim(loan_status) IS NOT NULL AND trim(loan_status) NOT IN ({al})) = 0,
   CAST(count_if(trim(loan_status) IS NOT NULL AND trim(loan_status) NOT IN ({al})) AS VARCHAR) FROM {src}
 UNION ALL SELECT '{name}.unexpected_label', false, trim(loan_status) || ': ' || CAST(count(*) AS VARCHAR) FROM {src}
@@ -263,12 +265,12 @@ UNION ALL SELECT '{name}.unmapped_labels', count_if(NOT coalesce(trim(loan_statu
 
 
 def sql_v2_checks() -> str:
-    return _label_checks("v2", "norm", tuple(cl.TARGET_MAP), V2_EXPECT.min_rows)
+    return _label_checks("v2", "norm", tuple(cl.TARGET_MAP), V2_EXPECT.min_rows, V2_EXPECT.min_usable)
 
 
 def sql_dataset_checks() -> str:
     return ("WITH " + SQL_APPLICATIONS_BOTH + _sql_clean_ctes()
-            + _label_checks("v1", "applications_v1", ("Y", "N"), V1_EXPECT.min_rows)
+            + _label_checks("v1", "applications_v1", ("Y", "N"), V1_EXPECT.min_rows, V1_EXPECT.min_usable)
             + "\nUNION ALL" + sql_v2_checks()
             + "".join(f"\nUNION ALL SELECT '{t}.{c}', {ok}, '{d}'" for t, c, ok, d in (
                 ("v1_scoring", "required_columns", "true", ""), ("v1_scoring", "forbidden_columns", "true", ""),

@@ -189,6 +189,7 @@ def segment_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Sizes of the report's lists.
 LIST_SIZES = {"opportunities": 4, "segment_cards": 3, "missing_fields": 6, "importances": 10}
+LIST_FLOORS = {"missing_fields": 1.0, "importances": 0.001}
 LIST_DIMENSIONS = {"opportunities": "channel", "segment_cards": "property_area"}
 
 
@@ -206,7 +207,7 @@ def top_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = pr.missing_by_field(applications_v1(spark, sf_dir))
     parts.append(tops.entries(missing, "missing_fields", F.col("field"), value=F.col("missing")))
     parts.append(tops.entries(importance_rollup(spark, sf_dir), "importances", F.col("feature"), value=F.col("importance")))
-    return tops.top_lists(parts, LIST_SIZES)
+    return tops.top_lists(parts, LIST_SIZES, LIST_FLOORS)
 
 
 # ------------------------------------------------------------------ DuckDB
@@ -219,15 +220,17 @@ def sql_top_lists() -> str:
                          for name, dimension in LIST_DIMENSIONS.items())
     fields = " UNION ALL ".join(f"SELECT '{c}' AS label, count_if({c} IS NULL) AS n FROM applications_v1" for c in V1_COLUMNS)
     sizes = " ".join(f"WHEN '{name}' THEN {k}" for name, k in LIST_SIZES.items())
+    floors = " ".join(f"WHEN '{name}' THEN {v!r}" for name, v in LIST_FLOORS.items())
     return "WITH " + analysis_frame_sql() + "," + _segments_sql(list(LIST_DIMENSIONS.values())) + "," + segments + f""",
   l_missing AS (SELECT 'missing_fields' AS list, label, CAST(n AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS detail, n AS k1,
     0 AS k2 FROM ({fields}) WHERE n > 0),
   l_importance AS (SELECT 'importances' AS list, feature AS label, CAST(importance AS DOUBLE) AS value,
     CAST(NULL AS VARCHAR) AS detail, importance AS k1, 0 AS k2 FROM ({sql_importance_rollup()})),
   lists AS ({" UNION ALL ".join(f"SELECT * FROM l_{n}" for n in (*LIST_DIMENSIONS, "missing", "importance"))}),
-  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY list ORDER BY k1 DESC, k2 DESC, label) AS INTEGER) AS rank
-    FROM lists)
-SELECT list, rank, label, value, detail FROM ranked WHERE rank <= CASE list {sizes} END"""
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY list ORDER BY k1 DESC, k2 DESC, label) AS INTEGER) AS rank,
+    round(greatest(0.0, value) / greatest(max(value) OVER (PARTITION BY list), CASE list {floors} ELSE 1.0 END), 6)
+      AS relative_to_max FROM lists)
+SELECT list, rank, label, value, relative_to_max, detail FROM ranked WHERE rank <= CASE list {sizes} END"""
 
 
 def _label_sql(d: str) -> str:

@@ -90,7 +90,3 @@ def materialize(df, name: str, key=(), spark=None):
 
 def materialized_path(spark, name: str, key=()):
     return _PATHS.get((spark.sparkContext.applicationId, name, key))
-
-
-def forget_materialized() -> None:
-    _MATERIALIZED.clear()
