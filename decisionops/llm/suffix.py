@@ -20,6 +20,9 @@ cannot separate equal windows:
    of a passage that a third of all documents share) is not sorted in one
    task: its windows are dealt out by a 128-bit hash of their content in
    packed blocks, counted there, and sent back.  This is exact for any size.
+   Windows with very many occurrences (a periodic text, an edge in a third of all
+   documents) are counted in the tasks first; they repeat for certain, are marked
+   where they are and dealt to no one, so no bucket grows with them.
 
 The window spans found are merged per text and cut out.
 
@@ -48,6 +51,10 @@ SHARD_BYTES = 256 << 10
 GROUP_CLASSES = 200           # an anchor with more classes ...
 GROUP_BYTES = 128 << 10       # ... or bytes is dealt out by window
 BLOCK = 1 << 21
+# A window of a large group that occurs this often (at least a quarter of a million times, and a
+# 20,000th of all) is hot.  Windows that a task sees fewer than LOCAL times in half a million are not
+# counted; what that can miss of a hot window is under half of its occurrences.
+HOT_WINDOWS, HOT_SHARE, LOCAL = 1 << 18, 20_000, 8
 
 _POWERS: dict = {}
 
@@ -191,6 +198,7 @@ def _sort_shard(length: int):
 
 # A window of a large group in a packed block: 128-bit content hash, class, start.
 _WINDOW = np.dtype([("x", "<u8"), ("y", "<u8"), ("cls", "<i8"), ("at", "<i4"), ("many", "?")])
+_CONTENT = np.dtype([("x", "<u8"), ("y", "<u8")])
 _HIT = np.dtype([("cls", "<i8"), ("at", "<i4")])
 
 
@@ -202,27 +210,85 @@ def _packed(rec: np.ndarray, bucket: np.ndarray):
         yield int(bucket[a]), rec[a:b].tobytes()
 
 
-def _deal_windows(length: int, buckets: int):
-    """Windows of large groups, packed by content hash."""
+def _window_records(pdf: pd.DataFrame, length: int):
+    """Windows of large groups as records, a piece of a segment at a time."""
+    for cls, seg, n in zip(pdf["cls"], pdf["seg"], pdf["n"]):
+        seg = bytes(seg)
+        for p in range(0, len(seg) - length + 1, BLOCK):
+            x = np.frombuffer(seg[p:p + BLOCK + length - 1], np.uint8)
+            rec = np.zeros(len(x) - length + 1, _WINDOW)
+            rec["x"], rec["y"] = _gram_hashes(x, length, _BASE), _gram_hashes(x, length, _BASE2)
+            rec["cls"], rec["at"], rec["many"] = cls, np.arange(p, p + len(rec)), n > 1
+            yield rec
+
+
+def _frequent_windows(length: int):
+    """(x, y, n): windows that occur ``LOCAL`` times or more among some half a million of a task."""
+    def counted(held):
+        rec = np.concatenate(held)
+        pair = np.empty(len(rec), _CONTENT)
+        pair["x"], pair["y"] = rec["x"], rec["y"]
+        pair, n = np.unique(pair, return_counts=True)
+        pair, n = pair[n >= LOCAL], n[n >= LOCAL]
+        return pd.DataFrame({"x": pair["x"].view(np.int64), "y": pair["y"].view(np.int64), "n": n})
+
+    def run(batches):
+        held, size = [], 0
+        for pdf in batches:
+            for rec in _window_records(pdf, length):
+                held.append(rec)
+                size += len(rec)
+                if size >= BLOCK // 4:
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
+
+    return run
+
+
+def _is_hot(rec: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Whether the windows are among ``hot`` (sorted contents)."""
+    if not len(hot):
+        return np.zeros(len(rec), bool)
+    pair = np.empty(len(rec), _CONTENT)
+    pair["x"], pair["y"] = rec["x"], rec["y"]
+    at = np.minimum(np.searchsorted(hot, pair), len(hot) - 1)
+    return hot[at] == pair
+
+
+def _hot_runs(length: int, hot):
+    """Runs of hot windows of each class, found where the class is."""
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for rec in _window_records(pdf[pdf["n"] == 1], length):
+                at = rec["at"][_is_hot(rec, hot.value)].astype(np.int64)
+                if len(at):
+                    rows.append((int(rec["cls"][0]), [{"f": f, "t": t} for f, t in _runs(at, length)]))
+            yield pd.DataFrame(rows, columns=["cls", "runs"])
+
+    return run
+
+
+def _deal_windows(length: int, buckets: int, hot):
+    """Other windows of large groups, packed by content hash."""
+    def packed(held):
+        rec = np.concatenate(held)
+        return pd.DataFrame(_packed(rec, rec["x"] % np.uint64(buckets)), columns=["bucket", "block"])
+
     def run(batches):
         for pdf in batches:
             held, size = [], 0
-            for cls, seg, n in zip(pdf["cls"], pdf["seg"], pdf["n"]):
-                seg = bytes(seg)
-                for p in range(0, len(seg) - length + 1, BLOCK):
-                    x = np.frombuffer(seg[p:p + BLOCK + length - 1], np.uint8)
-                    rec = np.zeros(len(x) - length + 1, _WINDOW)
-                    rec["x"], rec["y"] = _gram_hashes(x, length, _BASE), _gram_hashes(x, length, _BASE2)
-                    rec["cls"], rec["at"], rec["many"] = cls, np.arange(p, p + len(rec)), n > 1
-                    held.append(rec)
-                    size += len(rec)
-                    if size >= BLOCK // 4:
-                        rec = np.concatenate(held)
-                        yield pd.DataFrame(_packed(rec, rec["x"] % np.uint64(buckets)), columns=["bucket", "block"])
-                        held, size = [], 0
+            for rec in _window_records(pdf, length):
+                rec = rec[~_is_hot(rec, hot.value)]
+                held.append(rec)
+                size += len(rec)
+                if size >= BLOCK // 4:
+                    yield packed(held)
+                    held, size = [], 0
             if held:
-                rec = np.concatenate(held)
-                yield pd.DataFrame(_packed(rec, rec["x"] % np.uint64(buckets)), columns=["bucket", "block"])
+                yield packed(held)
 
     return run
 
@@ -300,7 +366,17 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     if total.get(True):
         buckets = cells_for(total[True], 1 << 18, 64)
         blocks = "bucket long, block binary"
-        dealt = segs.where("large").select("cls", "seg", "n").mapInPandas(_deal_windows(length, buckets), blocks)
+        parts = segs.where("large").select("cls", "seg", "n")
+        # windows with very many occurrences repeat for certain; they are marked where they are
+        frequent = max(HOT_WINDOWS, total[True] // HOT_SHARE)
+        hot = (parts.mapInPandas(_frequent_windows(length), "x long, y long, n long").groupBy("x", "y")
+               .agg(F.sum("n").alias("n")).where(F.col("n") >= frequent // 2).select("x", "y").collect())
+        contents = np.array([(r["x"] % (1 << 64), r["y"] % (1 << 64)) for r in hot], _CONTENT)
+        hot = texts.sparkSession.sparkContext.broadcast(np.sort(contents))         # at most 2 x HOT_SHARE windows
+        if len(contents):
+            marked = parts.mapInPandas(_hot_runs(length, hot), f"cls long, {RUNS}")
+            runs = runs.unionByName(segs.where("large").select("cls", "h", "s1", "s2").join(marked, "cls").drop("cls"))
+        dealt = parts.mapInPandas(_deal_windows(length, buckets, hot), blocks)
         hits = (dealt.groupBy("bucket").applyInPandas(_count_windows(buckets), blocks)
                 .groupBy("bucket").applyInPandas(_collect_hits(length), f"cls long, {RUNS}"))
         runs = runs.unionByName(segs.where("large").select("cls", "h", "s1", "s2").join(hits, "cls").drop("cls"))

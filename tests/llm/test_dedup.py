@@ -147,6 +147,25 @@ def test_repeat_report(docs, monkeypatch, classes):
     assert got == Counter(x[:5] for x in brute_repeats(DOCS))
 
 
+@pytest.mark.parametrize("hot", [4, 20, 300])
+def test_hot_windows_are_marked_where_they_are(docs, monkeypatch, hot):
+    """Windows over a bound of occurrences are never dealt out; the rest is as before."""
+    monkeypatch.setattr(suffix, "GROUP_CLASSES", 0)
+    monkeypatch.setattr(suffix, "HOT_WINDOWS", hot)
+    monkeypatch.setattr(suffix, "LOCAL", 1)
+    assert Counter(tuple(r) for r in suffix.repeat_report(docs).collect()) == Counter(x[:5] for x in brute_repeats(DOCS))
+
+
+def test_very_long_periodic_text_and_a_common_edge(spark):
+    """Millions of equal windows of one text, and a passage that ends differently in 2,000 documents."""
+    passage = " ".join(f"common{i}" for i in range(60))
+    rows = [(0, "ab" * 2_000_000 + "end")] + [(i, f"own{i} " + passage + f" tail{i} " + "z" * 40) for i in range(1, 2001)]
+    got = {r.doc_id: r for r in suffix.repeat_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[0].n_bytes, got[0].n_removed, got[0].n_spans) == (4_000_003, 4_000_000, 1)
+    shared = len((" " + passage + " tail").encode())
+    assert {(r.n_spans, r.n_removed >= shared) for i, r in got.items() if i} == {(1, True)}
+
+
 def test_blocks_of_long_texts(docs, monkeypatch):
     monkeypatch.setattr(suffix, "BLOCK", 1000)
     import pyarrow as pa
