@@ -48,9 +48,12 @@ def prepared_folds(train: DataFrame, repeats: int = REPEATS, folds: int = FOLDS)
                                               for k in range(folds)}, ID)
 
 
-def held_scores(train: DataFrame, families=FAMILIES, repeats: int = REPEATS, folds: int = FOLDS) -> DataFrame:
-    """(application_id, model, repeat, fold, y, p) of every family."""
-    return pp.held_scores(prepared_folds(train, repeats, folds), {f: (f, None) for f in families}, estimators, ID)
+def held_scores(train: DataFrame, families=FAMILIES, repeats: int = REPEATS, folds: int = FOLDS,
+                sizes: dict | None = None) -> DataFrame:
+    """(application_id, model, repeat, fold, y, p) of every family; ``sizes``: parameters that
+    differ from the families' own."""
+    return pp.held_scores(prepared_folds(train, repeats, folds), {f: (f, (sizes or {}).get(f)) for f in families},
+                          estimators, ID)
 
 
 def benchmark(scores: DataFrame) -> DataFrame:
@@ -67,10 +70,11 @@ def champion(bench: DataFrame) -> str:
     return bench.where(F.col("model").isin(TREE_FAMILIES)).orderBy(*order).first()["model"]
 
 
-def fit_pair(train: DataFrame, name: str) -> tuple[PipelineModel, dict[str, PipelineModel]]:
+def fit_pair(train: DataFrame, name: str, sizes: dict | None = None) -> tuple[PipelineModel, dict[str, PipelineModel]]:
     """Preprocessing, and champion and challenger, fitted on all rows."""
     split = pp.prepare(train, v1_stages(), F.lit(False), ID)
-    return split.model, pp.fit_all(split, {f: (f, None) for f in FAMILIES}, [name, CHALLENGER], estimators)
+    candidates = {f: (f, (sizes or {}).get(f)) for f in FAMILIES}
+    return split.model, pp.fit_all(split, candidates, [name, CHALLENGER], estimators)
 
 
 def holdout_scores(train: DataFrame, family: str) -> DataFrame:

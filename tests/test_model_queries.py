@@ -25,6 +25,8 @@ def small_models():
     patch.setattr(enhanced, "BOOSTS", {"fast": 2})
     for name in ("TUNED_TREES", "TUNED_BOOSTS"):
         patch.setitem(getattr(enhanced, name), "fast", (2, 4, 1))
+    patch.setattr(mq, "V1_SIZES", {})
+    patch.setattr(mq, "V2_TRIALS", 3)
     patch.setattr(mq, "_V1", {})
     patch.setattr(mq, "_V2", {})
     yield
