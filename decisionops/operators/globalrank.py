@@ -18,9 +18,13 @@ average-tie percent ranks and rank-sum AUC follow.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _LOG_STEPS = 64          # buckets per octave
 _LOG_OFFSET = 200000     # keeps positive and negative keys apart
 
@@ -123,6 +127,7 @@ def percent_rank_avg(df: DataFrame, value_col: str, out_col: str = "pct_rank",
     r = running_before(value_counts(df, value_col, group_cols), value_col, ["_cnt"], group_cols, bucket)
     r = r.select(*keys, (F.col("_cnt") * HOT_SHARE > F.col("_cnt_total")).alias("_is_hot"),
                  ((F.col("_cnt_before") + (F.col("_cnt") + 1) / 2.0) / F.col("_cnt_total")).alias(out_col))
+    r = materialize(r, "percent_ranks", (uuid.uuid4().hex,))        # a row a distinct value, read twice
     hot = r.where("_is_hot").select(*keys, F.col(out_col).alias("_hot"))
     tagged = df.join(F.broadcast(hot), keys, "left")
     placed = F.col("_hot").isNotNull() | F.col(value_col).isNull()
