@@ -201,13 +201,22 @@ def _raw(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_p", F.get(vector_to_array("_prob"), F.lit(1))).drop("_raw", "_prob", "_pred")
 
 
+def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """u (hash of id, text and label), text, toxic: at most ``SAMPLE_ROWS`` labelled rows of ``docs``
+    (doc_id, text), by ``labels`` (label_id, toxic).  They are chosen on hashes; texts are fetched
+    for the chosen rows only, whose keys are broadcast."""
+    d = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
+    known = d.select("doc_id", "version").join(labels, F.col("doc_id") == F.col("label_id")).where(F.col("toxic").isin(0, 1))
+    known = stored(known.select("doc_id", "version", F.col("toxic").cast("double").alias("toxic"), F.lit("all").alias("all"))
+                   .withColumn("u", sample_hash("doc_id", "version", "toxic", salt="toxicity")), "toxicity_labelled")
+    bound = sample_bounds(known, "all", "u", SAMPLE_ROWS).get("all", 0)
+    keys = known.where(F.col("u") < bound).select(F.col("doc_id").alias("_id"), F.col("version").alias("_of"), "u", "toxic")
+    rows = d.join(F.broadcast(keys.dropDuplicates(["u"])), (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_of")))
+    return rows.groupBy("u").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+
+
 def fit(rows: DataFrame) -> Model:
-    """``rows`` (doc_id, text, toxic): labelled training rows."""
-    rows = rows.where(F.col("toxic").isin(0, 1)).select(
-        "text", F.col("toxic").cast("double").alias("toxic"), F.lit("all").alias("all"),
-        sample_hash("doc_id", "text", "toxic", salt="toxicity").alias("u"))
-    bound = sample_bounds(rows, "all", "u", SAMPLE_ROWS).get("all", 0)
-    rows = rows.where(F.col("u") < bound).groupBy("u").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    """``rows`` (u, text, toxic): a bounded sample of labelled rows."""
     rows = rows.withColumn("part", F.pmod(F.xxhash64("u"), F.lit(10)))
     rows = stored(rows.select("text", "toxic", "part"), "toxicity_sample")
     lexicon = learn_lexicon(rows.where("part < 5"))
@@ -236,7 +245,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held = F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False))
     d = docs.select("doc_id", "text")
     known = labels.select(F.col("doc_id").alias("label_id"), "toxic").where("toxic is not null")
-    train = d.where(~held).join(known, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
-    scored = fit(train).score(d)
+    scored = fit(training_sample(d.where(~held), known)).score(d)
     return scored.select("doc_id", held.alias("held_out"), F.col("_score").alias("score"),
                          (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -218,7 +218,8 @@ def test_cosine_links(spark, monkeypatch, leaf, fanout):
     rng = np.random.default_rng(leaf)
     centres = rng.normal(size=(25, 16))
     x = np.concatenate([centres[rng.integers(0, 25, 250)] + 0.35 * rng.normal(size=(250, 16)), rng.normal(size=(60, 16)),
-                        np.repeat(rng.normal(size=(1, 16)), 50, 0), 1e-9 * rng.normal(size=(150, 16)) + centres[:1]])
+                        np.repeat(rng.normal(size=(1, 16)), 50, 0), 1e-9 * rng.normal(size=(150, 16)) + centres[:1],
+                        1e-4 * rng.normal(size=(300, 16)) + centres[1:2]])       # a hot group, counted as a whole
     x = x.astype(np.float32)
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [
         (900, None, 1), (901, [0.0] * 16, 1), (902, [math.nan] + [1.0] * 15, 1), (903, [None] + [1.0] * 15, 1), (904, [], 1),
@@ -254,6 +255,57 @@ def test_pipeline_stages(spark):
     assert "pipeline" in E.queries() and set(QUERIES) <= set(E.queries())
 
 
+def test_pipeline_stages_against_brute_force(spark):
+    """Content of every filtering stage on its own input."""
+    import re
+
+    import corpus_pipeline
+    from tests.llm.test_dedup import brute_fingerprint, brute_repeats, components
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(160)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    leak = spark.createDataFrame([(5000, f"before it {items[0][1]} after it", "en", "s", 0), (None, items[1][1], "en", "s", 0),
+                                  (5001, None, "en", "s", 0)], docs.schema)
+    docs = stored(docs.union(leak), "test_stage")
+
+    def rows(df):
+        return Counter((r.doc_id, r.text) for r in df.collect())
+
+    got = stages["simhash_near_dedup"](spark, docs, SF_SMALL)
+    have = [(r.doc_id, r.text) for r in docs.collect()]
+    fps = [brute_fingerprint(t) for _, t in have]
+    group = components(range(len(have)), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 2)
+    first = {}
+    for k, (i, _) in enumerate(have):
+        if i is not None:
+            first[group[k]] = min(first.get(group[k], i), i)
+    assert rows(got) == Counter((i, t) for k, (i, t) in enumerate(have) if i is None or first[group[k]] == i)
+    docs = stored(got, "test_stage")
+
+    got = stages["suffix_array_dedup"](spark, docs, SF_SMALL)
+    have = [(r.doc_id, r.text) for r in docs.collect()]
+    assert rows(got) == Counter((i, None if t is None else x[5].decode("utf-8", "ignore"))
+                                for (i, t), x in zip(have, brute_repeats(have)))
+    docs = stored(got, "test_stage")
+
+    def shingles(t):
+        w = re.findall(r"[^\W_]+", (t or "").lower())
+        return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    wanted = [shingles(t) for _, t in items]
+    bad = [(r.doc_id, r.text) for r in docs.collect()
+           if any(w and len(shingles(r.text) & w) >= 0.8 * len(w) - 1e-9 for w in wanted)]
+    assert (None, items[1][1]) in bad
+    assert rows(stages["benchmark_decontamination"](spark, docs, SF_SMALL)) == rows(docs) - Counter(bad)
+    assert rows(stages["language_id"](spark, docs, SF_SMALL)) - rows(docs) == Counter()
+
+
+def test_pipeline_of_an_empty_table(spark, no_docs):
+    import corpus_pipeline
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, SF_SMALL).count() == 0, name
+
+
 @pytest.mark.parametrize("broken", ['<a "', "<svg ", "<a ", '<a "<a >" ', '<a x="', "<p title='", "<style>", '<a <a "x>"'])
 def test_html_of_a_long_damaged_page(broken):
     """One forward scan: a megabyte of tags that never end takes seconds."""
@@ -355,5 +407,7 @@ def test_models_with_repeated_and_null_ids(spark):
     assert set(model) == {"en", "fr"}
     tie = langid.Classifier({"b": [b"same words here"] * langid.DICTIONARIES, "a": [b"same words here"] * langid.DICTIONARIES})
     assert tie("same words here")[0] == "b" and tie("same words here")[2] == 0.0
-    labelled = docs.select("doc_id", "text", (F.col("lang") == "fr").cast("int").alias("toxic"))
-    assert toxicity.fit(labelled.union(labelled)).score(docs.select("doc_id", "text")).count() == 80
+    labels = spark.createDataFrame([(5, 0), (5, 1), (5, 1), (None, 1), (6, 0)], "label_id long, toxic int")
+    sample = toxicity.training_sample(docs.union(docs), labels).collect()
+    assert len(sample) == 80 and {r.toxic for r in sample} == {0.0, 1.0}            # forty texts, two labels, once each
+    assert toxicity.fit(toxicity.training_sample(docs, labels)).score(docs.select("doc_id", "text")).count() == 80
