@@ -82,3 +82,9 @@ def _written(df) -> str:
     path = tempfile.mkdtemp(prefix="decisionops-plan-") + "/rows"
     df.write.parquet(path)
     return path
+
+
+def test_draws_are_not_stored_with_the_joined_orders(spark):
+    """Each layout makes the draws it reads; the table that both read holds none."""
+    from decisionops.plans.fixtures import order_base
+    assert not [c for c in order_base(spark, SF_SMALL).columns if c.startswith("u_")]
