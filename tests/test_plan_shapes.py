@@ -88,3 +88,36 @@ def test_draws_are_not_stored_with_the_joined_orders(spark):
     """Each layout makes the draws it reads; the table that both read holds none."""
     from decisionops.plans.fixtures import order_base
     assert not [c for c in order_base(spark, SF_SMALL).columns if c.startswith("u_")]
+
+
+def test_fits_keep_only_the_training_rows_and_the_vector_they_read(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.sql import functions as F
+
+    from decisionops.ml import candidates, cv
+    from decisionops.ml import prepared as pp
+    seen = []
+
+    class Seen(LogisticRegression):
+        def _fit(self, rows):
+            seen.append((set(rows.columns), rows.storageLevel.useMemory, rows.count()))
+            return super()._fit(rows)
+
+    split = pp.prepare(cv.training_frame(spark, SF_SMALL), cv.v1_stages(), F.col("split") == "test", "application_id")
+    pp.fit_all(split, {"m": ("any", None)}, ["m"], lambda *_: [Seen(featuresCol="scaled", maxIter=2)])
+    assert seen == [({"label", "weight", "scaled"}, True, split.n_train)]
+    assert [pp.vector_read(candidates.estimators(f, None, 10)) for f in candidates.FAMILIES] == [
+        "scaled", "plain", "plain", "scaled", "plain"]
+
+
+def test_rows_are_dealt_out_before_they_become_vectors(spark, monkeypatch):
+    """The shuffle that sizes the partitions of prepared rows moves raw columns."""
+    from pyspark.sql import functions as F
+
+    from decisionops.ml import cv
+    from decisionops.ml import prepared as pp
+    dealt, kind = [], type(spark.range(1))
+    real = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda df, *a: dealt.append(df.columns) or real(df, *a))
+    pp.prepare(cv.training_frame(spark, SF_SMALL), cv.v1_stages(), F.col("split") == "test", "application_id")
+    assert len(dealt) == 1 and "loan_amount" in dealt[0] and not {"plain", "scaled"} & set(dealt[0])
