@@ -216,3 +216,27 @@ def test_published_version_survives_a_bad_load(spark, tmp_path):
         assert got.status == status
         want = [1, 2] if k < 2 else [3]
         assert sorted(r.x for r in io.read_published(spark, out).collect()) == want
+
+
+def test_deep_forests_cache_nodes_and_grow_the_same_trees(spark):
+    """Forests of both builds keep the rows' nodes (a level sends open nodes only); the trees are those without it."""
+    import random
+
+    from pyspark.ml.linalg import Vectors
+
+    from decisionops.ml import candidates
+    from decisionops.ml import enhanced as en
+    from decisionops.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    rnd = random.Random(5)
+    rows = spark.createDataFrame([(float(rnd.random() < 0.4), rnd.uniform(0.5, 2.0), Vectors.dense([rnd.random() for _ in range(6)]))
+                                  for _ in range(600)], ["label", "weight", "plain"]).repartition(3).persist()
+    forests = [candidates.estimators("random_forest", {"numTrees": 6, "maxDepth": 14}, 600)[0]]
+    for family, weights in (("random_forest", "balanced"), ("extra_trees_standin", None)):
+        forests += en.estimators("fast")(family, {"n_estimators": 6, "class_weight": weights}, 600)
+    for forest in forests:
+        assert forest.getCacheNodeIds()
+        cached, plain = forest.fit(rows), forest.copy().setCacheNodeIds(False).fit(rows)
+        assert max(t.depth for t in cached.trees) > 10          # past a checkpoint of the rows' nodes
+        assert [t.toDebugString.split("\n", 1)[1] for t in cached.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
+    rows.unpersist()
