@@ -36,3 +36,10 @@ def v1_calls(monkeypatch):
 def test_v1_build_has_all_repeats(v1_calls):
     assert (v1_calls["repeats"], v1_calls["folds"]) == (5, 5)
     assert "count(*) = 25" in mq.sql_cv_benchmark("scores")
+
+
+def test_v1_families_have_their_own_sizes_in_every_fold(spark, v1_calls):
+    assert v1_calls["candidates"] == {f: (f, None) for f in cv.FAMILIES} and len(cv.FAMILIES) == 5
+    stages = {f: cv.estimators(f, p, 100)[0] for f, p in v1_calls["candidates"].values() if f in cv.TREE_FAMILIES}
+    assert stages["random_forest"].getNumTrees() == 500 and stages["random_forest"].getMaxDepth() == 30
+    assert [stages[f].getMaxIter() for f in ("gradient_boosting", "second_boosting")] == [150, 300]
