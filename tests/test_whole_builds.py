@@ -1,5 +1,7 @@
 """The registered model builds run whole: every repeat, family size and trial (no fit is made here)."""
 
+from types import SimpleNamespace
+
 import pytest
 
 from decisionops.ml import cv
@@ -43,3 +45,23 @@ def test_v1_families_have_their_own_sizes_in_every_fold(spark, v1_calls):
     stages = {f: cv.estimators(f, p, 100)[0] for f, p in v1_calls["candidates"].values() if f in cv.TREE_FAMILIES}
     assert stages["random_forest"].getNumTrees() == 500 and stages["random_forest"].getMaxDepth() == 30
     assert [stages[f].getMaxIter() for f in ("gradient_boosting", "second_boosting")] == [150, 300]
+
+
+def test_champion_and_challenger_are_fitted_at_their_own_sizes(spark, v1_calls, monkeypatch):
+    made = {}
+
+    def scores(train, **how):
+        assert "sizes" not in how
+
+    def fit_all(split, candidates, names, estimators):
+        made.update({n: candidates[n] for n in names})
+        raise Stop
+
+    monkeypatch.setattr(cv, "held_scores", scores)
+    monkeypatch.setattr(cv, "benchmark", lambda scores: None)
+    monkeypatch.setattr(cv, "champion", lambda bench: "random_forest")
+    monkeypatch.setattr(pp, "prepare", lambda *_: SimpleNamespace(model=None))
+    monkeypatch.setattr(pp, "fit_all", fit_all)
+    with pytest.raises(Stop):
+        mq._v1(None, "nowhere")
+    assert made == {f: (f, None) for f in ("random_forest", "logistic_regression")}
