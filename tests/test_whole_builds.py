@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from decisionops.ml import cv
+from decisionops.ml import cv, enhanced
 from decisionops.ml import prepared as pp
 from decisionops.plans import ml_queries as mq
 
@@ -65,3 +65,21 @@ def test_champion_and_challenger_are_fitted_at_their_own_sizes(spark, v1_calls,
     with pytest.raises(Stop):
         mq._v1(None, "nowhere")
     assert made == {f: (f, None) for f in ("random_forest", "logistic_regression")}
+
+
+def test_v2_build_has_every_trial_of_its_mode(monkeypatch):
+    asked = {}
+
+    def out_of_fold(folds, candidates, quality):
+        asked.update(candidates)
+        raise Stop
+
+    monkeypatch.setattr(mq, "_V2", {})
+    monkeypatch.setattr(mq, "_key", lambda spark, sf_dir: sf_dir)
+    monkeypatch.setattr(mq, "materialize", lambda *_: None)
+    monkeypatch.setattr(enhanced, "prepared_folds", lambda *_: None)
+    monkeypatch.setattr(enhanced, "out_of_fold", out_of_fold)
+    with pytest.raises(Stop):
+        mq._v2(None, "nowhere")
+    assert set(asked) == {*enhanced.FAMILIES, *(f"{f}#{i}" for f in enhanced.TUNED for i in range(3))}
+    assert len(enhanced.trial_candidates(quality="balanced")) == 4 * 12
