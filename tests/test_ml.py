@@ -240,3 +240,28 @@ def test_deep_forests_cache_nodes_and_grow_the_same_trees(spark):
         assert max(t.depth for t in cached.trees) > 10          # past a checkpoint of the rows' nodes
         assert [t.toDebugString.split("\n", 1)[1] for t in cached.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
     rows.unpersist()
+
+
+def test_fits_that_pack_their_rows_keep_no_second_copy(spark, monkeypatch):
+    """Logistic and SVM fits read the stored rows; the scores are those of a fit on kept rows."""
+    from types import SimpleNamespace
+
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    from decisionops.ml import candidates
+    from decisionops.ml import prepared as pp
+    rows = spark.createDataFrame([(i, float(i % 3 == 0), 1.0, Vectors.dense([i % 7, i % 5, 1.0])) for i in range(200)],
+                                 ["id", "label", "weight", "scaled"])
+    split, seen, fit = SimpleNamespace(train=lambda: rows, n_train=200), [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, df: seen.append(df.storageLevel.useMemory) or fit(self, df),
+                        raising=False)
+    names = ["logistic_regression", "rbf_svm_standin"]
+    made = pp.fit_all(split, {n: (n, None) for n in names}, names, candidates.estimators)
+    assert seen == [False, False]
+    scored = made[names[0]].transform(rows)
+    p = [r[0] for r in scored.select(pp.p1(scored)).collect()]
+    kept = rows.persist()
+    again = candidates.estimators("logistic_regression", None, 200)[0].fit(kept).transform(kept)
+    assert all(abs(a - b[0]) < 1e-9 for a, b in zip(p, again.select(pp.p1(again)).collect()))
+    kept.unpersist()
