@@ -411,3 +411,23 @@ def test_models_with_repeated_and_null_ids(spark):
     sample = toxicity.training_sample(docs.union(docs), labels).collect()
     assert len(sample) == 80 and {r.toxic for r in sample} == {0.0, 1.0}            # forty texts, two labels, once each
     assert toxicity.fit(toxicity.training_sample(docs, labels)).score(docs.select("doc_id", "text")).count() == 80
+
+
+def test_cover_tree_keeps_vectors_off_the_driver(spark, monkeypatch):
+    """The driver gets numbers and the bytes of one pass's centres, no sampled vectors and no literal a leaf."""
+    monkeypatch.setattr(covertree, "LEAF", 40)
+    monkeypatch.setattr(covertree, "FANOUT", 4)
+    x = np.random.default_rng(5).normal(size=(600, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    points = spark.createDataFrame([(i, 1, 8, v.tolist()) for i, v in enumerate(x)], "pid long, n long, dim int, x array<double>").persist()
+    fetched, kind = [], type(points)
+    real = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: fetched.append((df.columns, real(df))) or fetched[-1][1])
+    placed, nodes, centres = covertree._build(points)
+    assert all("x" not in columns for columns, _ in fetched) and centres.count() == len(nodes) > 20
+    assert max(len(rows) for columns, rows in fetched if "raw" in columns) <= covertree.BATCH * 4
+    counts = {r["node"]: r["count"] for r in real(placed.groupBy("node").count())}
+    assert counts == {n.node: n.size for n in nodes if n.leaf} and sum(counts.values()) == 600
+    plan = covertree.links(points)._jdf.queryExecution().optimizedPlan().toString()
+    assert "map(keys" not in plan.lower() and "keys: [" not in plan.lower()
+    points.unpersist()
